@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The warehouse is a daily batch: it has no stream source, watermark, event-time
+window or stateful operator, so there is nothing to express with Structured
+Streaming.
+"""
