@@ -94,12 +94,15 @@ def strip_accents(text: Column) -> Column:
     fraction, a Hangul syllable) is taken apart character by character.
     """
     source, target, expanded = _fold_tables()
-    pairs = [F.lit(x) for pair in expanded.items() for x in pair]
+    expansions = F.str_to_map(
+        F.lit("\n".join(f"{char}\t{folded}" for char, folded in expanded.items())),
+        F.lit("\n"), F.lit("\t"),
+    )
 
     def fold_char(char: Column) -> Column:
         return (
             F.when(char.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST)), _hangul(char))
-            .otherwise(F.coalesce(F.try_element_at(F.create_map(*pairs), char), char))
+            .otherwise(F.coalesce(F.try_element_at(expansions, char), char))
         )
 
     per_char = F.array_join(F.transform(F.split(text, ""), fold_char), "")

@@ -79,7 +79,7 @@ def _dq_calendar_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_grain_violations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = testdata.table(spark, sf_dir, "lineitem")
     return duplicated_keys(lines, ["l_orderkey", "l_linenumber"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace import config
 from terrace.plans import gold, silver
+from terrace.sources.lazy import LazyTables
 from terrace.sources.tables import materialise
 
 # Keeps a table and returns it as read back.
@@ -46,7 +47,7 @@ class Warehouse:
 
     @classmethod
     def from_raw(cls, spark: SparkSession, raw: Mapping[str, DataFrame], **options) -> Warehouse:
-        return cls(spark, {t: silver_table(raw, t) for t in config.SILVER_TABLES}, **options)
+        return cls(spark, LazyTables(config.SILVER_TABLES, lambda t: silver_table(raw, t)), **options)
 
     def build(self, table: str) -> DataFrame:
         """Plan of one gold table (or of the customer bridge)."""

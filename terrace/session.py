@@ -44,3 +44,12 @@ def work_folder(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         _FOLDERS[app] = f"{root.rstrip('/')}/terrace-{app}-{uuid.uuid4().hex[:8]}"
     return _FOLDERS[app]
+
+
+def drop_work_folder(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables once nothing reads them any more."""
+    from terrace.sources import storage
+
+    folder = _FOLDERS.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        storage.delete(spark, folder)

@@ -46,3 +46,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)

@@ -8,16 +8,32 @@ the 25 nations and 5 regions), see FIXTURES.md.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import config
+from terrace.sources.lazy import LazyTables
+
+# Columns of the test tables. Stating them saves a schema job per read.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _text(moment: Column) -> Column:
@@ -36,8 +52,8 @@ def _zip(nation_key: str) -> Column:
 
 
 def _placed(spark: SparkSession, sf_dir: str, df: DataFrame, nation_key: str) -> DataFrame:
-    nations = _table(spark, sf_dir, "nation").join(
-        _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select(
         F.col("n_nationkey").alias(nation_key),
         F.concat(F.lit("  São "), F.col("n_name"), F.lit(" ")).alias("_city"),
@@ -48,7 +64,7 @@ def _placed(spark: SparkSession, sf_dir: str, df: DataFrame, nation_key: str) ->
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth customer is listed twice; the second listing has another city."""
-    listed = _table(spark, sf_dir, "customer").select(
+    listed = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "_metadata.file_path", "_metadata.row_index"
     )
     copies = F.when(F.col("c_custkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -65,7 +81,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    return _table(spark, sf_dir, "customer").filter("c_nationkey <> 24").select(
+    return table(spark, sf_dir, "customer").filter("c_nationkey <> 24").select(
         _zip("c_nationkey").alias("geolocation_zip_code_prefix"),
         (key % 50 - 40).cast("double").alias("geolocation_lat"),
         (-30 - key % 47).cast("double").alias("geolocation_lng"),
@@ -75,7 +91,7 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return _placed(spark, sf_dir, suppliers, "s_nationkey").select(
         F.col("s_suppkey").alias("seller_id"),
         _zip("s_nationkey").alias("seller_zip_code_prefix"),
@@ -87,7 +103,7 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates are text; a carrier date in five hundred is unreadable."""
     key, bought, state = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
-    return _table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(state == "F", "Delivered ").when(state == "O", "shipped").when(state == "P", "processing")
@@ -105,7 +121,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The item id packs line, part and supplier: (order, line) alone repeats here."""
-    return _table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         ((F.col("l_partkey") * 100000000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
@@ -120,7 +136,7 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to seven consecutive events pay the same order."""
     user, event = F.col("user_id"), F.col("event_id")
     kinds = F.array(*[F.lit(k) for k in ("Credit_Card ", "boleto", "voucher", "debit_card")])
-    return _table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
+    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
         (event - event % 7).alias("order_id"),
         (event % 7 + 1).cast("int").alias("payment_sequential"),
         F.element_at(kinds, (user % 4 + 1).cast("int")).alias("payment_type"),
@@ -131,7 +147,7 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, moment = F.col("event_id"), F.col("ts")
-    return _table(spark, sf_dir, "events").filter("event_type in ('view', 'click')").select(
+    return table(spark, sf_dir, "events").filter("event_type in ('view', 'click')").select(
         (event - event % 2).alias("review_id"),
         (event * 7 % 300).alias("order_id"),
         (1 + event % 7 % 5).cast("string").alias("review_score"),
@@ -144,7 +160,7 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
-    return _table(spark, sf_dir, "part").select(
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.when(F.col("p_type") != "SMALL", F.lower("p_type")).alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
@@ -160,7 +176,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Categories found in the parts, but for one that has no English name."""
     name = F.lower("p_type")
-    return _table(spark, sf_dir, "part").filter("p_type not in ('SMALL', 'MEDIUM')").select(
+    return table(spark, sf_dir, "part").filter("p_type not in ('SMALL', 'MEDIUM')").select(
         name.alias("product_category_name"), F.concat(name, F.lit("_en")).alias("product_category_name_english")
     ).distinct()
 
@@ -178,5 +194,5 @@ _READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    return {entity: read(spark, sf_dir) for entity, read in _READERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return LazyTables(_READERS, lambda entity: _READERS[entity](spark, sf_dir))
