@@ -45,11 +45,12 @@ def _copy_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     and its retry starts over.
     """
     import uuid
+    from urllib.parse import quote
 
     from pyarrow import fs
 
     def place(uri: str):
-        return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
 
     for batch in batches:
         sizes, times = [], []
@@ -138,8 +139,6 @@ def _csv(spark: SparkSession, source: config.Source):
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        # Compare the header with the schema instead of trusting the order.
-        .option("enforceSchema", False)
     )
 
 
@@ -175,7 +174,8 @@ def read_latest(spark: SparkSession, bronze_dir: str, source: config.Source) ->
     """
     day = latest_date(spark, bronze_dir, source)
     path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}/{source.file_name}"
-    scan = _csv(spark, source).csv(path)
+    # Compare the header with the schema instead of trusting the order.
+    scan = _csv(spark, source).option("enforceSchema", False).csv(path)
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
