@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.operators.union import union_all
+
 # Longer text is compared by its SHA-256, which keeps shuffled keys narrow.
 _LONG_TEXT = 64
 
@@ -14,35 +16,27 @@ _LONG_TEXT = 64
 def profile(df: DataFrame, table: str) -> DataFrame:
     """One row per column: type, table shape, nulls, distinct values.
 
-    The columns are turned into (column, value) pairs and counted per value, so
-    the table is scanned once, common values collapse before the shuffle and no
-    task ever holds the set of values of a column.
+    Every column is counted per value on its own: the scan reads that column
+    only, values keep their native type, common values collapse before the
+    shuffle and no task ever holds the set of values of a column. Meant for
+    column-oriented storage; store parsed text first.
     """
-    columns = [c for c in df.columns if not c.startswith("_")]
+    columns = [name for name in df.columns if not name.startswith("_")]
     types = dict(df.dtypes)
-    described = df.sparkSession.createDataFrame(
-        [(i, table, c, types[c], len(columns)) for i, c in enumerate(columns)],
-        "_column int, table string, column string, type string, columns int",
-    )
 
-    def comparable(name: str) -> Column:
-        text = F.col(name).cast("string")
-        return F.when(F.length(text) > _LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+    def counted(name: str) -> DataFrame:
+        value = f"`{name}`"
+        if types[name] == "string":
+            value = f"CASE WHEN length({value}) > {_LONG_TEXT} THEN sha2({value}, 256) ELSE {value} END"
+        return df.selectExpr(f"{value} AS _value").groupBy("_value").count().selectExpr(
+            f"'{table}' AS table", f"'{name}' AS column", f"'{types[name]}' AS type",
+            f"{len(columns)} AS columns",
+            "coalesce(sum(count), 0) AS rows",
+            "coalesce(sum(count) FILTER (WHERE _value IS NULL), 0) AS nulls",
+            "count(_value) AS distinct_values",
+        )
 
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_column"), comparable(c).alias("_value"))
-        for i, c in enumerate(columns)
-    ])))
-    values = pairs.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows"))
-    counted = values.groupBy("_column").agg(
-        F.sum("_rows").alias("rows"),
-        F.sum(F.when(F.col("_value").isNull(), F.col("_rows")).otherwise(0)).alias("nulls"),
-        F.count("_value").alias("distinct_values"),
-    )
-    return described.join(counted, "_column", "left").select(
-        "table", "column", "type", "columns",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "nulls", "distinct_values")],
-    )
+    return union_all(counted(name) for name in columns)
 
 
 def approximate_profile(df: DataFrame, table: str) -> DataFrame:
@@ -86,16 +80,15 @@ def key_differences(pairs: list[KeyPair]) -> DataFrame:
     Null counts as a key of its own. All pairs share one shuffle of distinct
     keys; each side collapses its repeats before that.
     """
-    tagged = None
+    sides = []
     for pair, left, left_key, right, right_key in pairs:
         for df, key, is_left in ((left, left_key, True), (right, right_key, False)):
             column = F.col(key) if isinstance(key, str) else key
-            side = df.select(
+            sides.append(df.select(
                 F.lit(pair).alias("pair"), column.cast("string").alias("_key"),
                 F.lit(is_left).alias("_left"), F.lit(not is_left).alias("_right"),
-            )
-            tagged = side if tagged is None else tagged.unionAll(side)
-    seen = tagged.groupBy("pair", "_key").agg(
+            ))
+    seen = union_all(sides).groupBy("pair", "_key").agg(
         F.max("_left").alias("_left"), F.max("_right").alias("_right")
     )
     return seen.groupBy("pair").agg(

@@ -15,6 +15,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.operators.union import union_all
+
 RESULT_COLUMNS = ("rule", "column", "checked", "unexpected", "failures", "unexpected_pct", "success")
 
 
@@ -190,7 +192,4 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     row_rules = [r for r in rules if isinstance(r, RowRule)]
     parts = [_row_results(df, row_rules)] if row_rules else []
     parts += [_key_result(df, r) for r in rules if isinstance(r, KeyRule)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_all(parts)

@@ -11,6 +11,7 @@ from terrace import config
 from terrace.operators.rules import (
     AcceptedValues, Between, InSet, LengthEquals, NotNull, Relationship, Rule, Unique, evaluate,
 )
+from terrace.operators.union import union_all
 
 # The rules every raw load has to pass.
 RAW_SUITES: dict[str, list[Rule]] = {
@@ -50,7 +51,7 @@ class DataQualityError(RuntimeError):
 
 def raw_results(raw: Mapping[str, DataFrame]) -> DataFrame:
     """(suite, rule, column, checked, unexpected, ..., success) for all raw suites."""
-    return _union(
+    return union_all(
         evaluate(raw[suite], rules).withColumn("suite", F.lit(suite))
         for suite, rules in RAW_SUITES.items()
     )
@@ -102,7 +103,7 @@ def model_rules(gold: Mapping[str, DataFrame]) -> dict[str, list[Rule]]:
 
 def model_results(gold: Mapping[str, DataFrame]) -> DataFrame:
     """(model, test, column, failures, success): what each assertion would return."""
-    return _union(
+    return union_all(
         evaluate(gold[model], rules).select(
             F.lit(model).alias("model"), F.col("rule").alias("test"), "column", "failures", "success"
         )
@@ -120,17 +121,9 @@ def calendar_coverage(gold: Mapping[str, DataFrame]) -> DataFrame:
         ),
         "fact_reviews": ("review_creation_date_key", "review_answer_date_key"),
     }
-    return _union(
+    return union_all(
         evaluate(gold[model], [
             Relationship((c,), parent=gold["dim_date"], parent_column="date_key") for c in names
         ]).select(F.lit(model).alias("model"), F.col("rule").alias("test"), "column", "failures", "success")
         for model, names in columns.items()
     )
-
-
-def _union(parts) -> DataFrame:
-    parts = list(parts)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result

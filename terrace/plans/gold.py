@@ -14,6 +14,7 @@ from terrace.functions.dates import date_key
 from terrace.operators.dedupe import first_per_key
 from terrace.operators.joins import balanced_join
 from terrace.operators.keys import dense_key
+from terrace.operators.union import union_all
 from terrace.plans import staging
 
 
@@ -38,14 +39,13 @@ def covering_days(orders: DataFrame, order_items: DataFrame, order_reviews: Data
         (order_items, ("shipping_limit_date",)),
         (order_reviews, ("review_creation_date", "review_answer_timestamp")),
     )
-    bounds = None
+    bounds = []
     for df, columns in dated:
         days = F.array(*[F.col(c).cast("date") for c in columns])
-        part = df.select(
+        bounds.append(df.select(
             F.array_min(days).alias("first"), F.array_max(days).alias("last")
-        ).agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        bounds = part if bounds is None else bounds.unionAll(part)
-    span = bounds.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        ).agg(F.min("first").alias("first"), F.max("last").alias("last")))
+    span = union_all(bounds).agg(F.min("first").alias("first"), F.max("last").alias("last"))
     return span.select(F.explode(F.sequence("first", "last")).alias("full_date"))
 
 
@@ -131,20 +131,17 @@ def _key(name: str, unknown_key: int | None) -> Column:
 
 def fact_order_items(
     order_items: DataFrame,
-    orders: DataFrame,
-    bridge: DataFrame,
+    fact_orders: DataFrame,
     dim_products: DataFrame,
     dim_sellers: DataFrame,
     unknown_key: int | None = None,
 ) -> DataFrame:
-    """One row per order line that belongs to an order."""
-    heads = balanced_join(
-        staging.orders(orders).select(
-            "order_id", "customer_id",
-            date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
-        ),
-        bridge, "customer_id", "left",
-    ).select("order_id", "purchase_date_key", "customer_key")
+    """One row per order line that belongs to an order.
+
+    Customer and purchase date were looked up per order already; they are taken
+    from the stored order rows instead of being looked up again per line.
+    """
+    heads = fact_orders.select("order_id", "purchase_date_key", "customer_key")
     lines = staging.order_items(order_items).withColumn(
         "shipping_limit_date_key", date_key(F.col("shipping_limit_date"))
     ).drop("shipping_limit_date")
@@ -153,8 +150,7 @@ def fact_order_items(
     found = balanced_join(found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left")
     return found.select(
         "order_id", "order_item_id",
-        _key("product_key", unknown_key), _key("seller_key", unknown_key),
-        _key("customer_key", unknown_key),
+        _key("product_key", unknown_key), _key("seller_key", unknown_key), "customer_key",
         "purchase_date_key", "shipping_limit_date_key", "price", "freight_value",
     )
 

@@ -11,6 +11,7 @@ from terrace import config
 from terrace.functions.text import zero_pad
 from terrace.operators.dedupe import duplicated_keys, first_duplicated_rows, has_duplicates
 from terrace.operators.profile import KeyPair, key_differences, missing_members, preview, profile
+from terrace.operators.union import union_all
 from terrace.plans import business, checks, staging
 from terrace.plans.warehouse import Warehouse, silver_table
 from terrace.sources import testdata
@@ -87,11 +88,7 @@ def _dq_grain_violations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile_nulls_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [profile(df, name) for name, df in testdata.raw_tables(spark, sf_dir).items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_all(profile(df, name) for name, df in testdata.raw_tables(spark, sf_dir).items())
 
 
 def _profile_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,13 +106,12 @@ _KEYS = {
 
 def _profile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = testdata.raw_tables(spark, sf_dir)
-    result = None
-    for table, keys in _KEYS.items():
-        part = has_duplicates(raw[table], keys).select(
+    return union_all(
+        has_duplicates(raw[table], keys).select(
             F.lit(table).alias("table"), F.lit(",".join(keys)).alias("columns"), "has_duplicates"
         )
-        result = part if result is None else result.unionByName(part)
-    return result
+        for table, keys in _KEYS.items()
+    )
 
 
 def _profile_duplicate_rows_top20(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ class Warehouse:
                 return gold.customer_bridge(s["customers"], self["dim_customers"])
             case "fact_order_items":
                 return gold.fact_order_items(
-                    s["order_items"], s["orders"], self["customer_bridge"],
+                    s["order_items"], self["fact_orders"],
                     self["dim_products"], self["dim_sellers"], self.unknown_key,
                 )
             case "fact_orders":

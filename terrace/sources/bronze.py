@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from terrace import config
 from terrace.functions.text import blank_to_null
+from terrace.operators.union import union_all
 from terrace.sources import storage
 from terrace.sources.tables import materialise
 
@@ -110,11 +111,10 @@ def land(
         "landed",
     )
     entities = sorted({job[0] for job in jobs})
-    counts = None
-    for entity in entities:
-        names = [job[4] for job in jobs if job[0] == entity]
-        part = _count_records(spark, sources[entity], names)
-        counts = part if counts is None else counts.unionAll(part)
+    counts = union_all(
+        _count_records(spark, sources[entity], [job[4] for job in jobs if job[0] == entity])
+        for entity in entities
+    )
     manifest = materialise(
         copied.join(counts, "key", "left").select(
             F.col("entity").alias("table_name"), "source_file", F.col("key").alias("s3_key"),
