@@ -78,6 +78,7 @@ POSITION = "_position"
 class Source:
     """One raw entity and the file (or glob of part files) that carries it.
 
+    ``file_name`` is relative to the raw folder and may name a folder within it.
     ``multi_line`` keeps quoted line breaks inside one record. Such files cannot
     be split, so large entities should arrive as many files per load; switch it
     off only for a feed known to hold one record per physical line.
@@ -87,6 +88,11 @@ class Source:
     file_name: str
     multi_line: bool = True
 
+    @property
+    def landed_name(self) -> str:
+        """The file name (or glob) inside a load folder."""
+        return self.file_name.rpartition("/")[2]
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType(

@@ -94,15 +94,16 @@ def strip_accents(text: Column) -> Column:
     fraction, a Hangul syllable) is taken apart character by character.
     """
     source, target, expanded = _fold_tables()
-    expansions = F.str_to_map(
-        F.lit("\n".join(f"{char}\t{folded}" for char, folded in expanded.items())),
-        F.lit("\n"), F.lit("\t"),
-    )
+    expanding = F.lit("".join(expanded))
+    expansions = F.split(F.lit("\n".join(expanded.values())), "\n")
 
     def fold_char(char: Column) -> Column:
+        at = F.instr(expanding, char)
         return (
-            F.when(char.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST)), _hangul(char))
-            .otherwise(F.coalesce(F.try_element_at(expansions, char), char))
+            F.when(char <= "\x7f", char)
+            .when(char.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST)), _hangul(char))
+            .when(at > 0, F.element_at(expansions, at))
+            .otherwise(char)
         )
 
     per_char = F.array_join(F.transform(F.split(text, ""), fold_char), "")

@@ -60,7 +60,7 @@ def balanced_join(left: DataFrame, right: DataFrame, on: str | list[str], how: s
     return salted_join(left, right, on, how)
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
     """(key hash, salts) of the keys too heavy for one task.
 
     One pass over the key columns with a sketch of fixed size per task; nothing
@@ -74,7 +74,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
         sketch.select(F.explode("_top").alias("_hot"))
         .select(
             F.col("_hot.item").alias("_key"),
-            F.ceil(F.col("_hot.count") / F.lit(rows_per_task)).cast("int").alias("_salts"),
+            F.ceil(F.col("_hot.count") / F.lit(rows_per_task or ROWS_PER_TASK)).cast("int").alias("_salts"),
         )
         .filter("_salts > 1")
     )
@@ -85,7 +85,7 @@ def salted_join(
     right: DataFrame,
     on: str | list[str],
     how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Spread hot left keys over salts and repeat only their right rows.
 

@@ -474,6 +474,21 @@ def _date_of(key: str) -> str:
     return f"case when {key} > 0 then strptime({key}::varchar, '%Y%m%d')::date end"
 
 
+_ORDER_TEXT = """order_status,
+        strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') as order_purchase_timestamp,
+        strftime(order_approved_at, '%Y-%m-%d %H:%M:%S') as order_approved_at,
+        case when bad_carrier then 'unreadable'
+             else strftime(order_delivered_carrier_date, '%Y-%m-%d %H:%M:%S') end as order_delivered_carrier_date,
+        strftime(order_delivered_customer_date, '%Y-%m-%d %H:%M:%S') as order_delivered_customer_date,
+        strftime(order_estimated_delivery_date, '%Y-%m-%d %H:%M:%S') as order_estimated_delivery_date"""
+
+_LAYERS = {
+    "silver": ("customers", "geolocation", "orders", "order_items", "order_payments", "order_reviews",
+               "products", "sellers"),
+    "gold": ("dim_date", "dim_customers", "dim_products", "dim_sellers", "fact_order_items", "fact_orders",
+             "fact_payments", "fact_reviews"),
+}
+
 _BODIES: dict[str, str] = {
     "silver_customers": _round("silver_customers"),
     "silver_geolocation": _round("silver_geolocation", "geolocation_lat", "geolocation_lng"),
@@ -504,16 +519,7 @@ _BODIES: dict[str, str] = {
         select l_orderkey, l_linenumber, count(*) as copies from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
     "profile_nulls_distinct": _PROFILE,
-    "profile_preview": """
-        select order_id, customer_id, order_status,
-               strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') as order_purchase_timestamp,
-               strftime(order_approved_at, '%Y-%m-%d %H:%M:%S') as order_approved_at,
-               case when bad_carrier then 'unreadable'
-                    else strftime(order_delivered_carrier_date, '%Y-%m-%d %H:%M:%S') end
-                    as order_delivered_carrier_date,
-               strftime(order_delivered_customer_date, '%Y-%m-%d %H:%M:%S') as order_delivered_customer_date,
-               strftime(order_estimated_delivery_date, '%Y-%m-%d %H:%M:%S') as order_estimated_delivery_date
-        from raw_orders order by order_id limit 10""",
+    "profile_preview": f"select order_id, customer_id, {_ORDER_TEXT} from raw_orders order by order_id limit 10",
     "profile_duplicates": "\nunion all\n".join([
         _any_duplicate("geolocation", "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"),
         _any_duplicate("order_items", "order_id", "order_item_id"),
@@ -524,6 +530,9 @@ _BODIES: dict[str, str] = {
         select review_id, order_id, review_score::varchar as review_score from raw_order_reviews
         where review_id in (select review_id from raw_order_reviews group by 1 having count(*) > 1)
         order by review_id, order_id limit 20""",
+    "profile_duplicate_rows": """
+        select review_id, order_id, review_score::varchar as review_score from raw_order_reviews
+        where review_id in (select review_id from raw_order_reviews group by 1 having count(*) > 1)""",
     "profile_referential_integrity": _PAIRS,
     "profile_missing_category": """
         select product_category_name, count(*) as rows from raw_products
@@ -577,6 +586,19 @@ _BODIES: dict[str, str] = {
         select count(*) as paid_orders, round(sum(total_payment_value), 4) as total_value,
                round(sum(total_payment_value) / count(*), 4) as avg_order_value
         from fact_orders where payment_method_count > 0""",
+    "bronze_roundtrip": f"""
+        select order_id::varchar as order_id, customer_id::varchar as customer_id, {_ORDER_TEXT}
+        from raw_orders""",
+    "bronze_manifest": "\nunion all\n".join(
+        f"select '{table}' as table_name, '2024-01-01' as ingestion_date, count(*) as row_count from raw_{table}"
+        for table in _TYPES
+    ),
+    "pipeline_report": "\nunion all\n".join(
+        f"""select '{layer}' as layer, '{table}' as "table", count(*) as rows_reported,
+                   count(*) as rows_stored from {"silver_" if layer == "silver" else ""}{table}"""
+        for layer, tables in _LAYERS.items()
+        for table in tables
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {name: _query(body) for name, body in _BODIES.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,16 @@ from pyspark.sql import functions as F
 
 from terrace import config
 from terrace.functions.text import zero_pad
-from terrace.operators.dedupe import duplicated_keys, first_duplicated_rows, has_duplicates
+from terrace.operators.dedupe import (
+    duplicated_keys, duplicated_rows, first_duplicated_rows, has_duplicates,
+)
 from terrace.operators.profile import KeyPair, key_differences, missing_members, preview, profile
 from terrace.operators.union import union_all
-from terrace.plans import business, checks, staging
+from terrace.plans import business, checks, pipeline, staging
 from terrace.plans.warehouse import Warehouse, silver_table
-from terrace.sources import testdata
+from terrace.session import work_folder
+from terrace.sources import bronze, testdata
+from terrace.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +161,63 @@ def _profile_zip_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]).select("pair", F.col("only_left").alias("missing_zips"))
 
 
+def _profile_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = testdata.order_reviews(spark, sf_dir)
+    return duplicated_rows(reviews, "review_id").select("review_id", "order_id", "review_score")
+
+
+# ----------------------------------------------------- bronze and whole runs
+
+
+def _as_files(spark: SparkSession, sf_dir: str, entities: list[str]) -> tuple[str, dict[str, config.Source]]:
+    """Write raw tables as CSV files, the way a feed would deliver them."""
+    folder = f"{work_folder(spark)}/feed-{uuid.uuid4().hex[:8]}"
+    raw = testdata.raw_tables(spark, sf_dir)
+    for entity in entities:
+        columns = list(config.RAW_COLUMNS[entity])
+        raw[entity].select(*columns).write.csv(
+            f"{folder}/{entity}", header=True, quote='"', escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    return folder, config.sources("{entity}/part-*.csv")
+
+
+def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files, landed on two dates, read back from the later one."""
+    folder, sources = _as_files(spark, sf_dir, ["orders"])
+    only = {"orders": sources["orders"]}
+    bronze_dir = f"{folder}-bronze"
+    for day in ("2024-01-01", "2024-02-01"):
+        bronze.land(spark, folder, bronze_dir, day, only)
+    return bronze.read_latest(spark, bronze_dir, sources["orders"]).drop(config.POSITION)
+
+
+def _bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables as files, landed; records per table as the manifest counts them."""
+    folder, sources = _as_files(spark, sf_dir, list(config.RAW_COLUMNS))
+    landing = bronze.land(spark, folder, f"{folder}-bronze", "2024-01-01", sources)
+    return landing.manifest.groupBy("table_name", "ingestion_date").agg(F.sum("row_count").alias("row_count"))
+
+
+def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and gold written from raw, twice under one date: rows per table."""
+    raw = testdata.raw_tables(spark, sf_dir)
+    root = f"{work_folder(spark)}/run-{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        silver_done = pipeline.build_silver(spark, raw, f"{root}/silver", "2024-01-01")
+        stored = {t: read_table(spark, f"{root}/silver", t) for t in config.SILVER_TABLES}
+        _, gold_done = pipeline.build_gold(spark, stored, f"{root}/gold", "2024-01-01", calendar=None)
+    parts = [("silver", silver_done), ("gold", gold_done)]
+    return union_all(
+        read_table(spark, f"{root}/{layer}", written.table).agg(
+            F.lit(layer).alias("layer"), F.lit(written.table).alias("table"),
+            F.lit(written.rows).cast("long").alias("rows_reported"), F.count(F.lit(1)).alias("rows_stored"),
+        )
+        for layer, done in parts
+        for written in done
+    )
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{t}": _silver(t) for t in config.SILVER_TABLES},
     "staging_products_rename": _staging_products,
@@ -170,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "profile_preview": _profile_preview,
     "profile_duplicates": _profile_duplicates,
     "profile_duplicate_rows_top20": _profile_duplicate_rows_top20,
+    "profile_duplicate_rows": _profile_duplicate_rows,
     "profile_referential_integrity": _profile_referential_integrity,
     "profile_missing_category": _profile_missing_category,
     "profile_zip_coverage": _profile_zip_coverage,
@@ -182,4 +245,7 @@ QUERIES: dict[str, Query] = {
     "payment_mix": _report(business.payment_mix),
     "installment_trend": _report(business.installment_trend),
     "avg_order_value": _report(business.avg_order_value),
+    "bronze_roundtrip": _bronze_roundtrip,
+    "bronze_manifest": _bronze_manifest,
+    "pipeline_report": _pipeline_report,
 }

@@ -160,10 +160,10 @@ def latest_date(spark: SparkSession, bronze_dir: str, source: config.Source) ->
     base = f"{bronze_dir.rstrip('/')}/{source.entity}"
     for folder in reversed(storage.child_folders(spark, base)):
         if folder.startswith("ingestion_date=") and storage.matching_files(
-            spark, f"{base}/{folder}/{source.file_name}"
+            spark, f"{base}/{folder}/{source.landed_name}"
         ):
             return folder.partition("=")[2]
-    raise FileNotFoundError(f"no load of {source.file_name} under {base}")
+    raise FileNotFoundError(f"no load of {source.landed_name} under {base}")
 
 
 def read_latest(spark: SparkSession, bronze_dir: str, source: config.Source) -> DataFrame:
@@ -173,7 +173,7 @@ def read_latest(spark: SparkSession, bronze_dir: str, source: config.Source) ->
     generated id grows in file order, and splits are ordered by their start.
     """
     day = latest_date(spark, bronze_dir, source)
-    path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}/{source.file_name}"
+    path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}/{source.landed_name}"
     # Compare the header with the schema instead of trusting the order.
     scan = _csv(spark, source).option("enforceSchema", False).csv(path)
     position = F.struct(
