@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
                 if landing.manifest is not None:
                     _show(landing.manifest)
             case "gate":
-                results = checks.raw_results(bronze.bronze_tables(spark, places.bronze, sources))
+                results = checks.raw_results(pipeline.parsed_raw(spark, places, sources))
                 return _verdict(results, "suite", "rule")
             case "silver":
                 raw = bronze.bronze_tables(spark, places.bronze, sources)

@@ -6,7 +6,7 @@ because a surrogate key has to be read back, never computed twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import config
@@ -122,21 +122,13 @@ def customer_bridge(customers: DataFrame, dim_customers: DataFrame) -> DataFrame
 # ----------------------------------------------------------------------- facts
 
 
-def _key(name: str, unknown_key: int | None) -> Column:
-    """Missing dimension keys stay null unless a sentinel is asked for."""
-    if unknown_key is None:
-        return F.col(name)
-    return F.coalesce(name, F.lit(unknown_key)).alias(name)
-
-
 def fact_order_items(
     order_items: DataFrame,
     fact_orders: DataFrame,
     dim_products: DataFrame,
     dim_sellers: DataFrame,
-    unknown_key: int | None = None,
 ) -> DataFrame:
-    """One row per order line that belongs to an order.
+    """One row per order line that belongs to an order; unmatched keys stay null.
 
     Customer and purchase date were looked up per order already; they are taken
     from the stored order rows instead of being looked up again per line.
@@ -150,7 +142,7 @@ def fact_order_items(
     found = balanced_join(found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left")
     return found.select(
         "order_id", "order_item_id",
-        _key("product_key", unknown_key), _key("seller_key", unknown_key), "customer_key",
+        "product_key", "seller_key", "customer_key",
         "purchase_date_key", "shipping_limit_date_key", "price", "freight_value",
     )
 
@@ -174,13 +166,14 @@ def fact_orders(
     order_payments: DataFrame,
     order_reviews: DataFrame,
     bridge: DataFrame,
-    unknown_key: int | None = None,
 ) -> DataFrame:
     """One row per order with its life-cycle dates and rolled-up measures.
 
     Payments and reviews are rolled up to the order before they are joined, so
     no order is repeated. The customer lookup goes first: after it, orders and
-    both roll-ups meet on order_id with a single exchange each.
+    both roll-ups meet on order_id with a single exchange each. These two joins
+    need no salting, all three sides have one row per order (the raw gate has
+    checked orders for that).
     """
     heads = balanced_join(staging.orders(orders), bridge, "customer_id", "left")
     measured = (
@@ -196,7 +189,7 @@ def fact_orders(
         "estimated_delivery_date_key": "order_estimated_delivery_date",
     }
     return measured.select(
-        "order_id", _key("customer_key", unknown_key),
+        "order_id", "customer_key",
         *[date_key(F.col(source)).alias(name) for name, source in dates.items()],
         "order_status", "delivery_delay_days",
         F.coalesce("total_payment_value", F.lit(0.0)).alias("total_payment_value"),

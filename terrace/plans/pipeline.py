@@ -50,6 +50,21 @@ def _raw_metrics(table: str) -> dict[str, Column]:
     return counts
 
 
+def parsed_raw(
+    spark: SparkSession, places: Places, sources: Mapping[str, config.Source]
+) -> dict[str, DataFrame]:
+    """The newest raw tables. Gated ones are scanned once per rule group and again
+    by silver, so their text is parsed once and kept in columns. Only customers
+    need to know where a row stood in its file."""
+    tables = bronze.bronze_tables(spark, places.bronze, sources)
+    for entity in tables.keys() - {"customers"}:
+        tables[entity] = tables[entity].drop(config.POSITION)
+    return {
+        entity: materialise(df, f"raw-{entity}") if entity in checks.RAW_SUITES else df
+        for entity, df in tables.items()
+    }
+
+
 def build_silver(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, load_id: str
 ) -> list[Written]:
@@ -81,7 +96,6 @@ def build_gold(
     root: str,
     load_id: str,
     calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
-    unknown_key: int | None = None,
 ) -> tuple[dict[str, DataFrame], list[Written]]:
     """Write the star schema in dependency order; facts read the stored dimensions."""
     done: list[Written] = []
@@ -90,7 +104,7 @@ def build_gold(
         done.append(write_table(df, root, table, load_id))
         return spark.read.parquet(done[-1].path)
 
-    tables = Warehouse(spark, silver_tables, calendar, store, unknown_key).gold()
+    tables = Warehouse(spark, silver_tables, calendar, store).gold()
     return tables, [w for w in done if w.table in config.GOLD_TABLES]
 
 
@@ -104,7 +118,6 @@ def run(
     ingestion_date: str,
     sources: Mapping[str, config.Source] | None = None,
     calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
-    unknown_key: int | None = None,
     databases: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Run every step for one date and return its report.
@@ -146,21 +159,14 @@ def run(
     for name in landing.missing:
         note("bronze", name, missing=1)
 
-    # The gated tables are scanned once per rule group and again by silver; their
-    # text is parsed once and kept in columns for that.
-    raw = {
-        entity: materialise(df, f"raw-{entity}") if entity in checks.RAW_SUITES else df
-        for entity, df in bronze.bronze_tables(spark, places.bronze, sources).items()
-    }
+    raw = parsed_raw(spark, places, sources)
     judge("gate", checks.raw_results(raw).select("suite", "rule", "column", "failures", "success"))
 
     for written in build_silver(spark, raw, places.silver, ingestion_date):
         note("silver", written.table, rows=written.rows, **written.metrics)
 
     silver_tables = {t: read_table(spark, places.silver, t) for t in config.SILVER_TABLES}
-    gold, stored = build_gold(
-        spark, silver_tables, places.gold, ingestion_date, calendar, unknown_key
-    )
+    gold, stored = build_gold(spark, silver_tables, places.gold, ingestion_date, calendar)
     for written in stored:
         note("gold", written.table, rows=written.rows)
     judge("tests", checks.model_results(gold).select("model", "test", "column", "failures", "success"))

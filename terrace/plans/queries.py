@@ -28,7 +28,7 @@ _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse over one data folder, shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (work_folder(spark), sf_dir.rstrip("/"))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.from_raw(
             spark, testdata.raw_tables(spark, sf_dir), calendar=None

@@ -36,12 +36,10 @@ class Warehouse:
         silver_tables: Mapping[str, DataFrame],
         calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
         store: Store = materialise,
-        unknown_key: int | None = None,
     ):
         self.spark = spark
         self.silver = silver_tables
         self.calendar = calendar
-        self.unknown_key = unknown_key
         self._store = store
         self._stored: dict[str, DataFrame] = {}
 
@@ -70,12 +68,12 @@ class Warehouse:
             case "fact_order_items":
                 return gold.fact_order_items(
                     s["order_items"], self["fact_orders"],
-                    self["dim_products"], self["dim_sellers"], self.unknown_key,
+                    self["dim_products"], self["dim_sellers"],
                 )
             case "fact_orders":
                 return gold.fact_orders(
                     s["orders"], s["order_payments"], s["order_reviews"],
-                    self["customer_bridge"], self.unknown_key,
+                    self["customer_bridge"],
                 )
             case "fact_payments":
                 return gold.fact_payments(s["order_payments"])

@@ -31,12 +31,12 @@ def local_session(app: str = "terrace", cores: int | str = "*", partitions: int
 def work_folder(spark: SparkSession) -> str:
     """A folder for intermediate tables that every executor can reach.
 
-    Taken from ``spark.checkpoint.dir``. Only a local-mode session without that
+    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint folder). Only a local-mode session without that
     setting gets a temporary folder, because there one machine is the cluster.
     """
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if not root:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

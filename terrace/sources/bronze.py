@@ -6,11 +6,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +18,6 @@ from terrace.operators.union import union_all
 from terrace.sources import storage
 from terrace.sources.tables import materialise
 
-_CHUNK = 8 << 20
-
 MANIFEST_COLUMNS = (
     "table_name", "source_file", "s3_key", "row_count", "file_size_bytes",
     "uploaded_at", "ingestion_date",
@@ -38,38 +34,45 @@ class Landing:
     missing: tuple[str, ...]
 
 
-def _copy_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs on executors: stream each file to its place, return what was copied.
+def _file_copier():
+    """The task that streams files to their place and tells what it copied.
 
     The bytes go to a name of their own first and are moved into place at the
     end, so a task that dies half-way leaves no half file under the final name
-    and its retry starts over.
+    and its retry starts over. An inner function, so that Spark ships its code
+    and executors need not have this package installed.
     """
-    import uuid
-    from urllib.parse import quote
-
-    from pyarrow import fs
-
-    def place(uri: str):
-        return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
-
-    for batch in batches:
-        sizes, times = [], []
-        for source, target in zip(batch["source"], batch["target"], strict=True):
-            from_fs, from_path = place(source)
-            to_fs, to_path = place(target)
-            folder, _, name = to_path.rpartition("/")
-            to_fs.create_dir(folder, recursive=True)
-            partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
-            size = 0
-            with from_fs.open_input_stream(from_path) as reader, to_fs.open_output_stream(partial) as writer:
-                while chunk := reader.read(_CHUNK):
-                    writer.write(chunk)
-                    size += len(chunk)
-            to_fs.move(partial, to_path)
-            sizes.append(size)
-            times.append(datetime.now(timezone.utc).isoformat())
-        yield batch[["entity", "source_file", "key"]].assign(file_size_bytes=sizes, uploaded_at=times)
+    chunk_bytes = 8 << 20
+
+    def copy(batches):
+        import uuid
+        from datetime import datetime, timezone
+        from urllib.parse import quote
+
+        from pyarrow import fs
+
+        def place(uri):
+            return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
+
+        for batch in batches:
+            sizes, times = [], []
+            for source, target in zip(batch["source"], batch["target"], strict=True):
+                from_fs, from_path = place(source)
+                to_fs, to_path = place(target)
+                folder, _, name = to_path.rpartition("/")
+                to_fs.create_dir(folder, recursive=True)
+                partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
+                size = 0
+                with from_fs.open_input_stream(from_path) as reader, to_fs.open_output_stream(partial) as writer:
+                    while chunk := reader.read(chunk_bytes):
+                        writer.write(chunk)
+                        size += len(chunk)
+                to_fs.move(partial, to_path)
+                sizes.append(size)
+                times.append(datetime.now(timezone.utc).isoformat())
+            yield batch[["entity", "source_file", "key"]].assign(file_size_bytes=sizes, uploaded_at=times)
+
+    return copy
 
 
 def land(
@@ -105,7 +108,7 @@ def land(
     wanted = spark.createDataFrame(jobs, "entity string, source_file string, key string, source string, target string")
     copied = materialise(
         wanted.repartition(len(jobs)).mapInPandas(
-            _copy_files,
+            _file_copier(),
             "entity string, source_file string, key string, file_size_bytes long, uploaded_at string",
         ),
         "landed",
@@ -115,9 +118,10 @@ def land(
         _count_records(spark, sources[entity], [job[4] for job in jobs if job[0] == entity])
         for entity in entities
     )
+    # A null-safe match keeps Spark from testing the key per record instead of per file.
     manifest = materialise(
-        copied.join(counts, "key", "left").select(
-            F.col("entity").alias("table_name"), "source_file", F.col("key").alias("s3_key"),
+        copied.join(counts, copied["key"].eqNullSafe(counts["key"]), "left").select(
+            F.col("entity").alias("table_name"), "source_file", copied["key"].alias("s3_key"),
             F.coalesce("row_count", F.lit(0)).alias("row_count"), "file_size_bytes",
             "uploaded_at", F.lit(ingestion_date).alias("ingestion_date"),
         ),
@@ -149,10 +153,10 @@ def _key_of(path: Column) -> Column:
 
 def _count_records(spark: SparkSession, source: config.Source, paths: list[str]) -> DataFrame:
     """(key, row_count): records per file, header excluded, quoted breaks respected."""
-    scan = _csv(spark, source).csv(paths)
-    return scan.groupBy(_key_of(F.col("_metadata.file_path")).alias("key")).agg(
+    per_file = _csv(spark, source).csv(paths).groupBy(F.col("_metadata.file_path").alias("path")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
+    return per_file.select(_key_of(F.col("path")).alias("key"), "row_count")
 
 
 def latest_date(spark: SparkSession, bronze_dir: str, source: config.Source) -> str:

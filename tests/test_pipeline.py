@@ -242,15 +242,15 @@ def test_fact_order_items_keys(spark, finished):
     }
 
 
-def test_items_without_an_order_are_dropped_and_unknown_keys_filled(spark, finished):
+def test_items_without_an_order_are_dropped(spark, finished):
     places = finished[0]
     items = read_table(spark, places.silver, "order_items")
     orphan = items.limit(1).selectExpr("'zz' as order_id", *[c for c in items.columns if c != "order_id"])
     fact = gold.fact_order_items(
         items.unionByName(orphan), read_table(spark, places.gold, "fact_orders"),
-        read_table(spark, places.gold, "dim_products"), read_table(spark, places.gold, "dim_sellers"), unknown_key=-1,
+        read_table(spark, places.gold, "dim_products"), read_table(spark, places.gold, "dim_sellers"),
     )
-    assert rows(fact, "order_id", "product_key") == {("o1", 1), ("o1", 2), ("o2", 3), ("o4", -1)}
+    assert rows(fact, "order_id", "product_key") == {("o1", 1), ("o1", 2), ("o2", 3), ("o4", None)}
 
 
 def test_default_calendar(spark):
