@@ -51,13 +51,24 @@ def is_small(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
-def balanced_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """``left.join(right, on, how)`` for left, inner, left_semi and left_anti."""
+def balanced_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    how: str = "left",
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
+    """``left.join(right, on, how)`` for left, inner, left_semi and left_anti.
+
+    Where ``left`` is itself the result of joins or aggregates, pass the table its
+    key columns came from as ``keys_from``: looking for hot keys there is one scan
+    of those columns instead of a second run of everything below ``left``.
+    """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     if is_small(right):
         return left.join(right, on, how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, keys_from=keys_from)
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
@@ -86,6 +97,7 @@ def salted_join(
     on: str | list[str],
     how: str = "left",
     rows_per_task: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Spread hot left keys over salts and repeat only their right rows.
 
@@ -93,7 +105,7 @@ def salted_join(
     its rows as the lost one did. The broadcast side is bounded by ``_MAX_HOT``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(left, keys, rows_per_task))
+    hot = F.broadcast(hot_keys(left if keys_from is None else keys_from, keys, rows_per_task))
 
     row_hash = F.xxhash64(*left.columns)
     any_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1

@@ -77,23 +77,28 @@ class KeyPair(NamedTuple):
 def key_differences(pairs: list[KeyPair]) -> DataFrame:
     """(pair, only_left, only_right): distinct keys found on one side only.
 
-    Null counts as a key of its own. All pairs share one shuffle of distinct
-    keys; each side collapses its repeats before that.
+    Null counts as a key of its own. Both sides of a pair share one shuffle of
+    keys in their native type; repeats collapse before it.
     """
-    sides = []
-    for pair, left, left_key, right, right_key in pairs:
-        for df, key, is_left in ((left, left_key, True), (right, right_key, False)):
-            column = F.col(key) if isinstance(key, str) else key
-            sides.append(df.select(
-                F.lit(pair).alias("pair"), column.cast("string").alias("_key"),
-                F.lit(is_left).alias("_left"), F.lit(not is_left).alias("_right"),
-            ))
-    seen = union_all(sides).groupBy("pair", "_key").agg(
-        F.max("_left").alias("_left"), F.max("_right").alias("_right")
+    return union_all(_key_difference(pair) for pair in pairs)
+
+
+def _key_difference(pair: KeyPair) -> DataFrame:
+    def side(df: DataFrame, key: str | Column, is_left: bool) -> DataFrame:
+        column = F.col(key) if isinstance(key, str) else key
+        return df.select(column.alias("_key"), F.lit(is_left).alias("_left"))
+
+    left = side(pair.left, pair.left_key, True)
+    right = side(pair.right, pair.right_key, False)
+    if left.schema["_key"].dataType != right.schema["_key"].dataType:
+        left, right = (df.withColumn("_key", F.col("_key").cast("string")) for df in (left, right))
+    seen = left.unionAll(right).groupBy("_key").agg(
+        F.max("_left").alias("_in_left"), F.min("_left").alias("_only_left")
     )
-    return seen.groupBy("pair").agg(
-        F.count_if(~F.col("_right")).alias("only_left"),
-        F.count_if(~F.col("_left")).alias("only_right"),
+    return seen.agg(
+        F.lit(pair.pair).alias("pair"),
+        F.count_if("_only_left").alias("only_left"),
+        F.count_if(~F.col("_in_left")).alias("only_right"),
     )
 
 

@@ -45,8 +45,9 @@ def late_rate_by_region(gold: Gold) -> DataFrame:
 
 
 def late_rate_by_seller(gold: Gold) -> DataFrame:
-    pairs = gold["fact_order_items"].select("order_id", "seller_key").distinct()
-    judged = balanced_join(pairs, _delivered(gold).select("order_id", "late"), "order_id", "inner")
+    items = gold["fact_order_items"].select("order_id", "seller_key")
+    pairs = items.distinct()
+    judged = balanced_join(pairs, _delivered(gold).select("order_id", "late"), "order_id", "inner", keys_from=items)
     per_seller = judged.groupBy("seller_key").agg(
         F.count(F.lit(1)).alias("delivered_orders"), F.count_if("late").alias("late_orders")
     )
@@ -75,8 +76,8 @@ def sales_trend(gold: Gold) -> DataFrame:
     )
     region = gold["dim_customers"].select("customer_key", "customer_state")
     placed = items.join(_months(gold), "purchase_date_key", "left")
-    placed = balanced_join(placed, category, "product_key", "left")
-    placed = balanced_join(placed, region, "customer_key", "left")
+    placed = balanced_join(placed, category, "product_key", "left", keys_from=items)
+    placed = balanced_join(placed, region, "customer_key", "left", keys_from=items)
     # Items of one order in the same group collapse here, before orders are counted.
     groups = ["year", "month", "category", "customer_state"]
     per_order = placed.groupBy(*groups, "order_id").agg(
@@ -122,14 +123,15 @@ def _as_date(key: str) -> Column:
 
 def seller_performance(gold: Gold) -> DataFrame:
     """Revenue, items, orders and mean days from purchase to delivery, per seller."""
-    per_order = gold["fact_order_items"].groupBy("order_id", "seller_key").agg(
+    items = gold["fact_order_items"]
+    per_order = items.groupBy("order_id", "seller_key").agg(
         F.sum("price").alias("price"), F.count(F.lit(1)).alias("items")
     )
     days = gold["fact_orders"].select(
         "order_id",
         F.date_diff(_as_date("delivery_date_key"), _as_date("purchase_date_key")).alias("days"),
     )
-    timed = balanced_join(per_order, days, "order_id", "left")
+    timed = balanced_join(per_order, days, "order_id", "left", keys_from=items)
     per_seller = timed.groupBy("seller_key").agg(
         F.round(F.sum("price"), 4).alias("revenue"),
         F.sum("items").alias("item_count"),
@@ -162,9 +164,7 @@ def installment_trend(gold: Gold) -> DataFrame:
         F.count(F.lit(1)).alias("payments"), F.sum("payment_installments").alias("installments")
     )
     bought = gold["fact_orders"].select("order_id", "purchase_date_key")
-    dated = balanced_join(per_order, bought, "order_id", "inner").join(
-        _months(gold), "purchase_date_key", "left"
-    )
+    dated = per_order.join(bought, "order_id").join(_months(gold), "purchase_date_key", "left")
     return dated.groupBy("year", "month").agg(
         F.sum("payments").alias("payments"),
         F.round(F.sum("installments") / F.sum("payments"), 4).alias("mean_installments"),

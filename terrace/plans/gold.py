@@ -88,15 +88,17 @@ def representative_address(customers: DataFrame) -> DataFrame:
     return first_per_key(counted, ["customer_unique_id"], best).select(*address)
 
 
-def _with_coordinates(df: DataFrame, zip_code: str, geolocation: DataFrame) -> DataFrame:
+def _with_coordinates(
+    df: DataFrame, zip_code: str, geolocation: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
     places = staging.geolocation(geolocation).withColumnRenamed("zip_code_prefix", zip_code)
-    joined = balanced_join(df, places, zip_code, "left")
+    joined = balanced_join(df, places, zip_code, "left", keys_from)
     return joined.select(*df.columns, "latitude", "longitude")
 
 
 def dim_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
     people = _with_coordinates(
-        representative_address(customers), "customer_zip_code_prefix", geolocation
+        representative_address(customers), "customer_zip_code_prefix", geolocation, keys_from=customers
     )
     return dense_key(people, "customer_unique_id", "customer_key")
 
@@ -138,8 +140,8 @@ def fact_order_items(
         "shipping_limit_date_key", date_key(F.col("shipping_limit_date"))
     ).drop("shipping_limit_date")
     found = balanced_join(lines, heads, "order_id", "inner")
-    found = balanced_join(found, dim_products.select("product_id", "product_key"), "product_id", "left")
-    found = balanced_join(found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left")
+    found = balanced_join(found, dim_products.select("product_id", "product_key"), "product_id", "left", lines)
+    found = balanced_join(found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left", lines)
     return found.select(
         "order_id", "order_item_id",
         "product_key", "seller_key", "customer_key",

@@ -43,6 +43,15 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
     assert Counter(salted.collect()) == Counter(expected.collect())
 
 
+def test_hot_keys_may_come_from_another_table(spark, skewed):
+    """Whatever table they are looked up in, the result is the same."""
+    right = spark.range(300).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    expected = Counter(skewed.join(right, "k", "left").collect())
+    for keys_from in (skewed.filter("row % 2 = 0"), spark.range(50000).select((F.col("id") % 2).alias("k"))):
+        salted = salted_join(skewed, right, "k", "left", rows_per_task=100, keys_from=keys_from)
+        assert Counter(salted.collect()) == expected
+
+
 def test_salted_join_on_two_keys(spark, skewed):
     left = skewed.withColumn("k2", F.col("row") % 2)
     right = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 2).alias("k2"), F.lit(1).alias("v"))
