@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import forest, gam, sharding, toxicity
+from terrace.llm import forest, gam, line_chunks, sharding, toxicity
 from terrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 5) == 0, toxicity.score(model, F.col("text")))
 
 
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut, names = line_chunks.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", *names.values(), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = sharding.text_sizes(table(spark, sf_dir, "documents"))
     return sharding.shuffle_rows(sizes, 24, "op8").select(
@@ -52,9 +57,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op7_line_chunks": op7_line_chunks,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_chunks": line_chunks.ORACLE_SQL,
+}
