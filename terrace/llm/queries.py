@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import forest, gam, line_chunks, sharding, toxicity
+from terrace.llm import forest, gam, line_chunks, sharding, spm, toxicity
 from terrace.llm.common import table
 
+# Tokenizer files stay where they are installed.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,6 +33,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 5) == 0, toxicity.score(model, F.col("text")))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL) -> DataFrame:
+    model = spm.model_bytes(spark, model_path)
+    return table(spark, sf_dir, "documents").select("doc_id", spm.digest(model, F.col("text")).alias("d")).select("doc_id", "d.*")
+
+
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, names = line_chunks.without_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", *names.values(), F.sha2("text", 256).alias("kept_sha256"))
@@ -57,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op4_sentencepiece": op4_sentencepiece,
     "op7_line_chunks": op7_line_chunks,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
