@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import forest, gam, line_chunks, sharding, spm, toxicity
+from terrace.llm import decontaminate, forest, gam, line_chunks, sharding, spm, toxicity
 from terrace.llm.common import table
 
 # Tokenizer files stay where they are installed.
@@ -33,6 +33,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 5) == 0, toxicity.score(model, F.col("text")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"))
+    found = table(spark, sf_dir, "documents").select("doc_id", decontaminate.leaks(blocks, F.col("text")).alias("leaks"))
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("leaked"),
+        F.transform("leaks", lambda x: x["item_id"]).alias("item_ids"),
+        F.aggregate("leaks", F.lit(0), lambda n, x: n + x["edits"]).alias("edits"),
+    )
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL) -> DataFrame:
     model = spm.model_bytes(spark, model_path)
     return table(spark, sf_dir, "documents").select("doc_id", spm.digest(model, F.col("text")).alias("d")).select("doc_id", "d.*")
@@ -65,6 +75,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_line_chunks": op7_line_chunks,
     "op8_sharding": op8_sharding,
