@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, forest, gam, line_chunks, sharding, spm, toxicity
+from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, toxicity
 from terrace.llm.common import table
 
 # Tokenizer files stay where they are installed.
@@ -33,6 +33,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 5) == 0, toxicity.score(model, F.col("text")))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = minhash.Settings(shingle=3, percent=85, band_rows=5, bands=25)
+    return minhash.link(table(spark, sf_dir, "documents"), settings=settings)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"))
     found = table(spark, sf_dir, "documents").select("doc_id", decontaminate.leaks(blocks, F.col("text")).alias("leaks"))
@@ -75,6 +80,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_minhash": op2_minhash,
     "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_line_chunks": op7_line_chunks,
