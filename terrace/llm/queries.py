@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, toxicity
+from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, toxicity, windows
 from terrace.llm.common import table
 
 # Tokenizer files stay where they are installed.
@@ -53,6 +53,16 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL)
     return table(spark, sf_dir, "documents").select("doc_id", spm.digest(model, F.col("text")).alias("d")).select("doc_id", "d.*")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done, cut = windows.without_repeats(docs)
+    span = F.aggregate(f"{cut}.spans", F.lit(0), lambda n, s: n + s["to_word"] - s["from_word"])
+    return done.select(
+        "doc_id", f"{cut}.n_words", span.cast("long").alias("n_removed"),
+        F.sha2(F.col(f"{cut}.kept_text"), 256).alias("kept_sha256"),
+    )
+
+
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, names = line_chunks.without_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", *names.values(), F.sha2("text", 256).alias("kept_sha256"))
@@ -83,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op2_minhash": op2_minhash,
     "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_substrings": op6_substrings,
     "op7_line_chunks": op7_line_chunks,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
@@ -90,5 +101,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_substrings": op6_substrings,
     "op7_line_chunks": line_chunks.ORACLE_SQL,
 }
