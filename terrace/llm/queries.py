@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, toxicity, windows
+from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, token_shards, toxicity, windows
 from terrace.llm.common import table
+from terrace.session import work_folder
+from terrace.sources import storage
 
 # Tokenizer files stay where they are installed.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +57,14 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL)
     return table(spark, sf_dir, "documents").select("doc_id", spm.digest(model, F.col("text")).alias("d")).select("doc_id", "d.*")
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str, ranks_path: str = RANKS) -> DataFrame:
+    """The manifest of shards written to the shared work folder."""
+    encoder = token_shards.RankFile(spm.model_bytes(spark, ranks_path))
+    path = storage.qualified(spark, f"{work_folder(spark)}/token-shards-{uuid.uuid4().hex[:8]}")
+    manifest = token_shards.write_shards(table(spark, sf_dir, "documents"), path, encoder, stored=True)
+    return manifest.withColumn("first_doc", F.col("first_doc").cast("long"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done, cut = windows.without_repeats(docs)
@@ -93,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_minhash": op2_minhash,
     "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_token_shards": op5_token_shards,
     "op6_substrings": op6_substrings,
     "op7_line_chunks": op7_line_chunks,
     "op8_sharding": op8_sharding,
@@ -101,6 +114,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_token_shards": op5_token_shards,
     "op6_substrings": op6_substrings,
     "op7_line_chunks": line_chunks.ORACLE_SQL,
 }
