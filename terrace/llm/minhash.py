@@ -75,7 +75,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes; words seen before by this worker are looked up."""
-    new = set(words) - _hashes.keys()
+    new = set(words).difference(_hashes)
     if new:
         if len(_hashes) > _KNOWN_WORDS:
             _hashes.clear()

@@ -138,9 +138,6 @@ class Codec:
         return ((" " if self.prefix else "") + text).replace(" ", MARK)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.cache) > _CACHED_WORDS:
-            self.cache.clear()
-            self.odd.clear()
         plain = [w for w in words if w[0] == MARK and len(w) > 1 and w[1] != MARK]
         rest = [w for w in words if not (w[0] == MARK and len(w) > 1 and w[1] != MARK)]
         groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
@@ -191,11 +188,11 @@ class Codec:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """(ids, whether both libraries agree on every word) of each text."""
         split = [self.pattern.findall(self.normalised(t)) for t in texts]
-        new = set().union(*split) - self.cache.keys() if split else set()
-        if new:
+        if len(self.cache) > _CACHED_WORDS:
+            self.cache.clear()
+            self.odd.clear()
+        if new := set().union(*split).difference(self.cache):
             self._learn(sorted(new))
-            if len(self.cache) == len(new):  # emptied: words of this batch may have gone with it
-                self._learn(sorted(set().union(*split) - self.cache.keys()))
         return [
             (np.frombuffer(b"".join(map(self.cache.__getitem__, words)), np.int32), not self.odd or self.odd.isdisjoint(words))
             for words in split
