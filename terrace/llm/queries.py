@@ -114,7 +114,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op5_token_shards": op5_token_shards,
-    "op6_substrings": op6_substrings,
+    "op6_substrings": windows.ORACLE_SQL,
     "op7_line_chunks": line_chunks.ORACLE_SQL,
 }

@@ -223,3 +223,28 @@ def without_repeats(
     ).select("row", "d.text", "hashes", F.coalesce("whole", F.lit(False)).alias("whole"))
     done = met.select("row", cutting("text", "hashes", "whole").alias(name))
     return done.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], name), name
+
+
+# The same in SQL for a table documents(doc_id, text) with unique ids.
+ORACLE_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS content FROM places WHERE i + 19 <= len(words)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS nth FROM windows
+  ) WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + o AS i FROM later, range(20) AS t(o)
+), cut AS (
+  SELECT p.doc_id, count(*) AS n_words, count(g.i) AS n_removed,
+    coalesce(string_agg(p.words[p.i], ' ' ORDER BY p.i) FILTER (g.i IS NULL), '') AS kept
+  FROM places p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(c.n_words, 0) AS n_words, coalesce(c.n_removed, 0) AS n_removed,
+  sha256(coalesce(c.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""

@@ -1,0 +1,55 @@
+"""The five stages together, each checked on its own input."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+from test_dedup import groups
+
+from terrace.llm import queries
+from terrace.sources.tables import materialise
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_decide_on_their_own_input(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, inputs = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        inputs[name] = {r["doc_id"]: r["text"] for r in docs.collect()} if "text" in docs.columns else None
+        docs = materialise(stage(spark, docs, SF), f"test-{name}")
+        if name != "encoding":
+            assert docs.columns == columns
+    out = {r["doc_id"]: r for r in docs.collect()}
+    assert set(inputs["line_dedup"]) < set(inputs["quality_rules"])
+    assert set(out) == set(inputs["encoding"])
+    near = groups(inputs["near_dedup"].items(), 5, 80)
+    assert set(inputs["decontamination"]) == {i for i, root in near.items() if i == root}
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = {i for i, t in inputs["decontamination"].items() if not any(x in t for x in items)}
+    assert set(inputs["encoding"]) == clean
+    assert all(r["n_tokens"] == len(r["token_ids"]) > 0 for r in out.values())
+    assert corpus_pipeline.run(spark, SF).count() == len(out)
+
+
+def test_stages_on_tricky_rows(spark, tricky, no_docs):
+    rows = spark.createDataFrame(
+        [(i, t, "en", None, len(t or ""), "x") for i, t in tricky], "doc_id long, text string, lang string, source string, n_chars long, stat string"
+    )
+    for docs in (rows, rows.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            docs = materialise(stage(spark, docs, SF), "tricky")
+        assert docs.columns == ["doc_id", "n_tokens", "token_ids"]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql_twins(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "labels", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    expected = con.sql(queries.ORACLE_SQL[name]).df()
+    got = queries.QUERIES[name](spark, SF).select(*[F.col(c) for c in expected.columns]).toPandas()
+    key = list(expected.columns)
+    assert got.sort_values(key).reset_index(drop=True).equals(expected.sort_values(key).reset_index(drop=True))
