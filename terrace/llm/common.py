@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +55,8 @@ def pieces(rows: int, sizes: list[int], limit: int) -> Iterator[slice]:
         yield slice(start, rows)
 
 
-def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
-    """Python strings of an Arrow column, null as the empty text."""
-    return [t if t is not None else "" for t in column.to_pylist()]
+def small(batches: Iterator[pd.Series], rows: int = 500) -> Iterator[pd.Series]:
+    """The same rows in short batches: what is made of them leaves the worker sooner."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows]

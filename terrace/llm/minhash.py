@@ -15,7 +15,7 @@ would change nothing. So no link between components is lost, other than to the b
 
 Fixed cases: null or empty texts and texts without words have empty sets and link with
 nothing; rows with a null id link with nothing, get a null component and are kept; rows
-with one id are one document that links by each of its texts.
+with one id are one document that links by each of its texts with words.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import fresh, only, quoted, word_list
+from terrace.llm.common import fresh, only, quoted, small, word_list
 from terrace.llm.components import components
 from terrace.sources.tables import materialise
 
@@ -63,7 +63,7 @@ class Settings:
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _CHUNK = 4096
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 100_000
 _hashes: dict[bytes, int] = {}
 
 
@@ -143,7 +143,7 @@ def _signed(settings: Settings, text: Column) -> Column:
     @F.pandas_udf(_SIGNED)
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         seeds = _mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
-        for texts in batches:
+        for texts in small(batches):
             out = []
             for t in texts:
                 s = shingle_set(t, settings.shingle)
@@ -206,7 +206,7 @@ def link(
 
     @F.pandas_udf(T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("set", T.BinaryType())]))
     def full(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in small(batches):
             found = [shingle_set(t, width).tobytes() for t in texts]
             yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
 
@@ -218,8 +218,11 @@ def link(
         .dropDuplicates(["cls"]), "sets",
     )
 
+    # Texts under one id are one document.
+    texts_of = named.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a <> z")
+    links = materialise(named.join(texts_of.select("id", "a"), "id").select("a", F.col("cls").alias("b")).distinct(), "own-links")
+
     longs = settings.minima // 16
-    links: DataFrame | None = None
     roots: DataFrame | None = None
     for round_ in range(settings.rounds + 1):
         at = members if roots is None else members.join(
@@ -233,8 +236,7 @@ def link(
             pairs = _picked(at, round_, longs, settings)
         else:
             pairs = _crossing(at, longs, settings)
-        fresh_links = _confirmed(materialise(pairs, "pairs"), sets, settings)
-        links = fresh_links if links is None else links.union(fresh_links)
+        links = links.union(_confirmed(materialise(pairs, "pairs"), sets, settings))
         roots = components(links)
 
     # Smallest id of each component, then of each class.
@@ -244,8 +246,7 @@ def link(
     lowest = labelled.groupBy("root").agg(F.min("rep").alias("component"))
     of_class = materialise(labelled.join(lowest, "root").select("cls", "component"), "components")
     done = signed.select("id", "n_shingles", "cls").join(of_class, "cls", "left")
-    # Rows with one id belong to what any of them reached.
-    component = F.coalesce("component", F.col("id"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return done.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),

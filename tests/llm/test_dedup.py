@@ -87,6 +87,13 @@ def test_near_duplicates_keep_one_of_each_group(spark, tricky_docs, tricky, no_d
     assert minhash.link(no_docs).count() == 0
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(1, a), (2, b), (3, a), (3, b), (4, "c d e")]
+    got = minhash.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_equal_nibbles_are_counted(spark):
     import numpy as np
     from pyspark.sql import functions as F
