@@ -33,8 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--file", action="append", default=[], metavar="ENTITY=NAME",
                         help="file name of one entity, overrides --pattern")
     parser.add_argument("--calendar-start", default=config.CALENDAR_START)
-    parser.add_argument("--calendar-days", type=int, default=config.CALENDAR_DAYS,
-                        help="0 spans the dates found in the data")
+    parser.add_argument("--calendar-days", type=int, default=0,
+                        help="a calendar of so many days; 0 spans the dates found in the data")
     args = parser.parse_args(argv)
     if args.step in ("land", "run") and not args.raw:
         parser.error(f"{args.step} needs --raw")
@@ -44,8 +44,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 
 def _show(df: DataFrame) -> None:
-    """Print a report of a few dozen short rows."""
-    df.show(500, truncate=False)
+    """Print a whole report, row by row; it has a row per file, column or rule."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -66,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
                 results = checks.raw_results(pipeline.parsed_raw(spark, places, sources))
                 return _verdict(results, "suite", "rule")
             case "silver":
-                raw = bronze.bronze_tables(spark, places.bronze, sources)
+                raw = bronze.bronze_tables(spark, places.bronze, sources, until=args.date)
                 for written in pipeline.build_silver(spark, raw, places.silver, args.date):
                     print(written.table, written.rows, written.metrics)
             case "gold":

@@ -1,28 +1,27 @@
-"""Equi joins that stay balanced when one key carries a large share of the rows.
+"""Equi joins that stay balanced when some keys carry a large share of the rows.
 
 A right side that reads little needs no care: Spark checks its size, before or
 during the run, and broadcasts it or not; no hint forces it. Beyond that limit
 the join shuffles, and a hot key would send all its rows to one task.
-``balanced_join`` then spreads such keys over several salts. The choice of hot
-keys only steers placement: whichever keys are picked, every left row meets every
-matching right row exactly once.
+``balanced_join`` then spreads every such key over several salts. Keys are counted
+exactly, the answer is stored once and read by both sides, so every left row meets
+every matching right row exactly once. Both ways give the same rows and types: keys
+are brought to one type first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.sources.tables import materialise
+
 # A key is hot when one task would get more rows of it than this.
 ROWS_PER_TASK = 2_000_000
 
-# Size of the frequent-key sketch: at most this many hot keys are reported, and
-# every key above 1/_TRACKED of the rows is among those it tracks.
-_MAX_HOT = 1_000
-_TRACKED = 10_000
-
-# Null keys never match; they are only spread out.
-_NULL_SALTS = 1_000
+_JOINS = ("left", "inner", "left_semi", "left_anti")
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -64,31 +63,44 @@ def balanced_join(
     key columns came from as ``keys_from``: looking for hot keys there is one scan
     of those columns instead of a second run of everything below ``left``.
     """
-    if how not in ("left", "inner", "left_semi", "left_anti"):
+    if how not in _JOINS:
         raise ValueError(f"cannot salt a {how} join")
     if is_small(right):
+        left, right, _ = _aligned(left, right, [on] if isinstance(on, str) else list(on))
         return left.join(right, on, how)
     return salted_join(left, right, on, how, keys_from=keys_from)
 
 
+def _aligned(
+    left: DataFrame, right: DataFrame, keys: list[str], others: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Both sides (and another holder of the keys) with the keys in their common type.
+
+    Types without one are refused by Spark's own rules for unions.
+    """
+    frames = [f for f in (left, right, others) if f is not None]
+    types = {
+        k: reduce(DataFrame.union, [f.select(k) for f in frames]).schema[0].dataType
+        for k in keys if len({f.schema[k].dataType for f in frames}) > 1
+    }
+    cast = {k: F.col(k).cast(kind) for k, kind in types.items()}
+    fitted = [f.withColumns(cast) if cast else f for f in frames]
+    return fitted[0], fitted[1], fitted[2] if others is not None else None
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
-    """(key hash, salts) of the keys too heavy for one task.
+    """(keys, salts) of all keys too heavy for one task, null keys among them.
 
-    One pass over the key columns with a sketch of fixed size per task; nothing
-    is shuffled but the sketches, and the result has at most ``_MAX_HOT`` rows.
+    Rows are counted per key, partly before the shuffle, so a hot key arrives as one row
+    per task. There can be no more such keys than rows divided by the limit.
     """
-    sketch = (
-        df.select(F.xxhash64(*keys).alias("_key"))
-        .agg(F.expr(f"approx_top_k(_key, {_MAX_HOT}, {_TRACKED})").alias("_top"))
-    )
-    return (
-        sketch.select(F.explode("_top").alias("_hot"))
-        .select(
-            F.col("_hot.item").alias("_key"),
-            F.ceil(F.col("_hot.count") / F.lit(rows_per_task or ROWS_PER_TASK)).cast("int").alias("_salts"),
-        )
-        .filter("_salts > 1")
-    )
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    salts = F.ceil(F.col("_n") / F.lit(rows_per_task or ROWS_PER_TASK)).cast("int")
+    return counted.select(*keys, salts.alias("_salts")).filter("_salts > 1")
+
+
+def _met(left: str, right: str, keys: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
 def salted_join(
@@ -101,30 +113,21 @@ def salted_join(
 ) -> DataFrame:
     """Spread hot left keys over salts and repeat only their right rows.
 
-    The salt comes from a hash of the whole left row, so a recomputed task places
-    its rows as the lost one did. The broadcast side is bounded by ``_MAX_HOT``.
+    The salt comes from a hash of the whole left row, so a recomputed task places its
+    rows as the lost one did. Hot keys are stored, not hinted: Spark broadcasts them or
+    not by their true size. Null keys match nothing; they are only spread.
     """
+    if how not in _JOINS:
+        raise ValueError(f"cannot salt a {how} join")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(left if keys_from is None else keys_from, keys, rows_per_task))
-
-    row_hash = F.xxhash64(*left.columns)
-    any_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1
-    salt = (
-        F.when(any_null, F.pmod(row_hash, F.lit(_NULL_SALTS)))
-        .when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
-    spread = (
-        left.withColumn("_key", F.xxhash64(*keys))
-        .join(hot, "_key", "left")
-        .withColumn("_salt", salt)
-        .drop("_key", "_salts")
+    left, right, counted = _aligned(left, right, keys, keys_from)
+    hot = materialise(hot_keys(left if counted is None else counted, keys, rows_per_task), "hot-keys")
+
+    row_hash = F.xxhash64(*[F.col(f"l.`{c}`") for c in left.columns])
+    spread = left.alias("l").join(hot.alias("h"), _met("l", "h", keys), "left").select(
+        "l.*", F.coalesce(F.pmod(row_hash, F.col("h._salts")), F.lit(0)).cast("int").alias("_salt")
     )
-    repeated = (
-        right.withColumn("_key", F.xxhash64(*keys))
-        .join(hot, "_key", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        .drop("_key", "_salts")
+    repeated = right.alias("r").join(hot.alias("h"), _met("r", "h", keys), "left").select(
+        "r.*", F.explode(F.sequence(F.lit(0), F.coalesce("h._salts", F.lit(1)) - 1)).alias("_salt")
     )
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -118,7 +118,7 @@ def customer_bridge(customers: DataFrame, dim_customers: DataFrame) -> DataFrame
     """(customer_id, customer_key): the two hops from an order to a person, done once."""
     known = dim_customers.select("customer_unique_id", "customer_key")
     ids = staging.customers(customers).select("customer_id", "customer_unique_id")
-    return balanced_join(ids, known, "customer_unique_id", "left").select("customer_id", "customer_key")
+    return balanced_join(ids, known, "customer_unique_id", "left", keys_from=customers).select("customer_id", "customer_key")
 
 
 # ----------------------------------------------------------------------- facts
@@ -177,7 +177,7 @@ def fact_orders(
     need no salting, all three sides have one row per order (the raw gate has
     checked orders for that).
     """
-    heads = balanced_join(staging.orders(orders), bridge, "customer_id", "left")
+    heads = balanced_join(staging.orders(orders), bridge, "customer_id", "left", keys_from=orders)
     measured = (
         heads
         .join(payment_rollup(order_payments), "order_id", "left")

@@ -18,7 +18,7 @@ from terrace import config
 from terrace.plans import checks, silver
 from terrace.plans.warehouse import Warehouse, silver_table
 from terrace.sources import bronze
-from terrace.sources.tables import Written, materialise, publish, read_table, write_table
+from terrace.sources.tables import Written, materialise, publish, write_table
 
 
 @dataclass(frozen=True)
@@ -51,12 +51,12 @@ def _raw_metrics(table: str) -> dict[str, Column]:
 
 
 def parsed_raw(
-    spark: SparkSession, places: Places, sources: Mapping[str, config.Source]
+    spark: SparkSession, places: Places, sources: Mapping[str, config.Source], until: str | None = None
 ) -> dict[str, DataFrame]:
-    """The newest raw tables. Gated ones are scanned once per rule group and again
+    """The newest raw tables, up to a load date if one is given. Gated ones are scanned once per rule group and again
     by silver, so their text is parsed once and kept in columns. Only customers
     need to know where a row stood in its file."""
-    tables = bronze.bronze_tables(spark, places.bronze, sources)
+    tables = bronze.bronze_tables(spark, places.bronze, sources, until)
     for entity in tables.keys() - {"customers"}:
         tables[entity] = tables[entity].drop(config.POSITION)
     return {
@@ -95,7 +95,7 @@ def build_gold(
     silver_tables: Mapping[str, DataFrame],
     root: str,
     load_id: str,
-    calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
+    calendar: tuple[str, int] | None = None,
 ) -> tuple[dict[str, DataFrame], list[Written]]:
     """Write the star schema in dependency order; facts read the stored dimensions."""
     done: list[Written] = []
@@ -117,14 +117,16 @@ def run(
     places: Places,
     ingestion_date: str,
     sources: Mapping[str, config.Source] | None = None,
-    calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
+    calendar: tuple[str, int] | None = None,
     databases: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Run every step for one date and return its report.
 
-    The date is the load id of every layer: running it again replaces that load
-    and nothing else. A failed gate or model test raises after its results were
-    added to the report. ``databases`` names the catalog databases to register
+    The date is the load id of every layer, and every layer reads what was loaded
+    for it: running it again replaces that load and nothing else, whatever newer
+    loads there are. Where a source brought nothing that day, its load before that
+    date is used; the report names the load date of each table. A failed gate, model
+    test or calendar check raises after its results were added to the report. ``databases`` names the catalog databases to register
     silver and gold under.
     """
     sources = sources or config.sources()
@@ -159,17 +161,22 @@ def run(
     for name in landing.missing:
         note("bronze", name, missing=1)
 
-    raw = parsed_raw(spark, places, sources)
+    for name, source in sources.items():
+        day = bronze.load_date(spark, places.bronze, source, until=ingestion_date)
+        note("bronze", name, load_date=int("".join(filter(str.isdigit, day)) or 0))
+    raw = parsed_raw(spark, places, sources, until=ingestion_date)
     judge("gate", checks.raw_results(raw).select("suite", "rule", "column", "failures", "success"))
 
+    silver_tables = {}
     for written in build_silver(spark, raw, places.silver, ingestion_date):
         note("silver", written.table, rows=written.rows, **written.metrics)
+        silver_tables[written.table] = spark.read.parquet(written.path)
 
-    silver_tables = {t: read_table(spark, places.silver, t) for t in config.SILVER_TABLES}
     gold, stored = build_gold(spark, silver_tables, places.gold, ingestion_date, calendar)
     for written in stored:
         note("gold", written.table, rows=written.rows)
     judge("tests", checks.model_results(gold).select("model", "test", "column", "failures", "success"))
+    judge("calendar", checks.calendar_coverage(gold).select("model", "test", "column", "failures", "success"))
 
     if databases:
         publish(spark, databases[0], places.silver, config.SILVER_TABLES)

@@ -31,7 +31,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (work_folder(spark), sf_dir.rstrip("/"))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.from_raw(
-            spark, testdata.raw_tables(spark, sf_dir), calendar=None
+            spark, testdata.raw_tables(spark, sf_dir)
         )
     return _WAREHOUSES[key]
 
@@ -189,7 +189,7 @@ def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_dir = f"{folder}-bronze"
     for day in ("2024-01-01", "2024-02-01"):
         bronze.land(spark, folder, bronze_dir, day, only)
-    return bronze.read_latest(spark, bronze_dir, sources["orders"]).drop(config.POSITION)
+    return bronze.read_load(spark, bronze_dir, sources["orders"]).drop(config.POSITION)
 
 
 def _bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +206,7 @@ def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         silver_done = pipeline.build_silver(spark, raw, f"{root}/silver", "2024-01-01")
         stored = {t: read_table(spark, f"{root}/silver", t) for t in config.SILVER_TABLES}
-        _, gold_done = pipeline.build_gold(spark, stored, f"{root}/gold", "2024-01-01", calendar=None)
+        _, gold_done = pipeline.build_gold(spark, stored, f"{root}/gold", "2024-01-01")
     parts = [("silver", silver_done), ("gold", gold_done)]
     return union_all(
         read_table(spark, f"{root}/{layer}", written.table).agg(

@@ -27,14 +27,14 @@ class Warehouse:
     Each gold table is written once and read back by whatever needs it next, so
     surrogate keys stay the same and no report repeats the work of a fact.
 
-    ``calendar`` is (first day, number of days); None spans the dates in the data.
+    ``calendar`` is (first day, number of days); by default it spans the dates in the data.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         silver_tables: Mapping[str, DataFrame],
-        calendar: tuple[str, int] | None = (config.CALENDAR_START, config.CALENDAR_DAYS),
+        calendar: tuple[str, int] | None = None,
         store: Store = materialise,
     ):
         self.spark = spark

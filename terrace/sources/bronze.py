@@ -1,11 +1,13 @@
 """The raw layer: byte-exact copies of the source files, one folder per load date.
 
-``<bronze>/<entity>/ingestion_date=<date>/<file>`` plus one manifest per date.
+``<bronze>/<entity>/ingestion_date=<date>/<file>`` plus one manifest per date. Where a
+glob takes files from several folders, ``<file>`` keeps the folders that tell them apart.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -85,8 +87,9 @@ def land(
     """Copy the source files of one day, count their records, write the manifest.
 
     A source without a file is reported, not fatal. Running a date again replaces
-    its files; another date adds folders. The driver handles names only: files
-    are copied by tasks, one file each, and counted by a CSV scan of the copies.
+    its files, and files that left the feed go once the new ones are in place;
+    another date adds folders. The driver handles names only: files are copied by
+    tasks, one file each, and counted by a CSV scan of the copies.
     """
     sources = sources or config.sources()
     if not storage.exists(spark, raw_dir):
@@ -99,7 +102,7 @@ def land(
         if not files:
             missing.append(source.file_name)
         for uri in files:
-            name = uri.rpartition("/")[2]
+            name = _below(storage.qualified(spark, raw_dir), source, uri)
             key = f"{entity}/ingestion_date={ingestion_date}/{name}"
             jobs.append((entity, name, key, uri, f"{base}/{key}"))
     if not jobs:
@@ -114,6 +117,11 @@ def land(
         "landed",
     )
     entities = sorted({job[0] for job in jobs})
+    targets = {job[4] for job in jobs}
+    for entity in entities:
+        for old in storage.files_below(spark, f"{base}/{entity}/ingestion_date={ingestion_date}"):
+            if old not in targets:
+                storage.delete(spark, old)
     counts = union_all(
         _count_records(spark, sources[entity], [job[4] for job in jobs if job[0] == entity])
         for entity in entities
@@ -135,6 +143,12 @@ def land(
     return Landing(ingestion_date, manifest, tuple(entities), tuple(missing))
 
 
+def _below(raw_dir: str, source: config.Source, uri: str) -> str:
+    """A file's path below the last folder that the source names without a wildcard."""
+    fixed, _, _ = re.split(r"[*?\[{]", source.file_name, maxsplit=1)[0].rpartition("/")
+    return uri.removeprefix("/".join(filter(None, (raw_dir.rstrip("/"), fixed.strip("/"))))).lstrip("/")
+
+
 def _csv(spark: SparkSession, source: config.Source):
     return (
         spark.read.schema(source.schema)
@@ -148,7 +162,7 @@ def _csv(spark: SparkSession, source: config.Source):
 
 def _key_of(path: Column) -> Column:
     decoded = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-    return F.regexp_extract(decoded, r"([^/]+/ingestion_date=[^/]+/[^/]+)$", 1)
+    return F.regexp_extract(decoded, r"([^/]+/ingestion_date=[^/]+/.+)$", 1)
 
 
 def _count_records(spark: SparkSession, source: config.Source, paths: list[str]) -> DataFrame:
@@ -159,27 +173,28 @@ def _count_records(spark: SparkSession, source: config.Source, paths: list[str])
     return per_file.select(_key_of(F.col("path")).alias("key"), "row_count")
 
 
-def latest_date(spark: SparkSession, bronze_dir: str, source: config.Source) -> str:
-    """Greatest load date whose folder holds the file; dates compare as text."""
+def load_date(spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None) -> str:
+    """Greatest load date, not after ``until``, whose folder holds files; dates compare as text."""
     base = f"{bronze_dir.rstrip('/')}/{source.entity}"
     for folder in reversed(storage.child_folders(spark, base)):
-        if folder.startswith("ingestion_date=") and storage.matching_files(
-            spark, f"{base}/{folder}/{source.landed_name}"
+        day = folder.partition("=")[2]
+        if folder.startswith("ingestion_date=") and (until is None or day <= until) and any(
+            not name.rpartition("/")[2].startswith(("_", ".")) for name in storage.files_below(spark, f"{base}/{folder}")
         ):
-            return folder.partition("=")[2]
-    raise FileNotFoundError(f"no load of {source.landed_name} under {base}")
+            return day
+    raise FileNotFoundError(f"no load of {source.entity} under {base}" + (f" up to {until}" if until else ""))
 
 
-def read_latest(spark: SparkSession, bronze_dir: str, source: config.Source) -> DataFrame:
-    """The newest load as text columns, missing-value tokens turned into null.
+def read_load(spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None) -> DataFrame:
+    """The newest load (up to a date) as text columns, missing-value tokens turned into null.
 
     Adds the position of each row in its file. Within one scanned split the
     generated id grows in file order, and splits are ordered by their start.
     """
-    day = latest_date(spark, bronze_dir, source)
-    path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}/{source.landed_name}"
+    day = load_date(spark, bronze_dir, source, until)
+    path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}"
     # Compare the header with the schema instead of trusting the order.
-    scan = _csv(spark, source).option("enforceSchema", False).csv(path)
+    scan = _csv(spark, source).option("enforceSchema", False).option("recursiveFileLookup", True).csv(path)
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -192,7 +207,7 @@ def read_latest(spark: SparkSession, bronze_dir: str, source: config.Source) ->
 
 
 def bronze_tables(
-    spark: SparkSession, bronze_dir: str, sources: Mapping[str, config.Source] | None = None
+    spark: SparkSession, bronze_dir: str, sources: Mapping[str, config.Source] | None = None, until: str | None = None
 ) -> dict[str, DataFrame]:
     sources = sources or config.sources()
-    return {entity: read_latest(spark, bronze_dir, source) for entity, source in sources.items()}
+    return {entity: read_load(spark, bronze_dir, source, until) for entity, source in sources.items()}

@@ -26,6 +26,16 @@ def matching_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found if status.isFile())
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Full URIs of all files in a folder and below it; empty if absent."""
+    if not exists(spark, path):
+        return []
+    found, names = _fs(spark, path).listFiles(_path(spark, path), True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    return sorted(names)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, in order; empty if absent."""
     if not exists(spark, path):

@@ -67,8 +67,12 @@ def publish(spark: SparkSession, database: str, root: str, tables: tuple[str, ..
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in tables:
         location = storage.qualified(spark, latest_load(spark, root, table))
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"CREATE TABLE {database}.{table} USING parquet LOCATION '{location}'")
+        if spark.catalog.tableExists(f"{database}.{table}"):
+            # Moved in place: readers find the table at every moment.
+            spark.sql(f"ALTER TABLE {database}.{table} SET LOCATION '{location}'")
+            spark.sql(f"REFRESH TABLE {database}.{table}")
+        else:
+            spark.sql(f"CREATE TABLE {database}.{table} USING parquet LOCATION '{location}'")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -61,8 +61,37 @@ def test_salted_join_on_two_keys(spark, skewed):
 
 def test_hot_keys_are_the_heavy_ones(skewed):
     found = hot_keys(skewed.filter("k is not null"), ["k"], rows_per_task=100).collect()
-    heavy = skewed.filter("k is not null").groupBy(F.xxhash64("k").alias("h")).count().filter("count > 100")
-    assert {r["_key"]: r["_salts"] for r in found} == {r["h"]: -(-r["count"] // 100) for r in heavy.collect()}
+    heavy = skewed.filter("k is not null").groupBy("k").count().filter("count > 100")
+    assert {r["k"]: r["_salts"] for r in found} == {r["k"]: -(-r["count"] // 100) for r in heavy.collect()}
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_unlike_key_types_meet(spark, how):
+    """One hot key, int on the left and bigint on the right; then double with both zeros."""
+    left = spark.range(1000).select(F.lit(7).cast("int").alias("k"), "id")
+    right = spark.createDataFrame([(7, "seven"), (8, "eight")], "k long, v string")
+    assert salted_join(left, right, "k", how, rows_per_task=100).count() == left.join(right, "k", how).count()
+    zeros = spark.range(500).select(F.when(F.col("id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("k"), "id")
+    ints = spark.createDataFrame([(0, "zero")], "k int, v string")
+    assert salted_join(zeros, ints, "k", how, rows_per_task=100).count() == zeros.join(ints, "k", how).count()
+
+
+def test_more_hot_keys_than_any_cap(spark):
+    left = spark.range(60_000).select((F.col("id") % 3_000).alias("k"), F.col("id").alias("row"))
+    right = spark.range(3_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert hot_keys(left, ["k"], 10).count() == 3_000
+    joined = salted_join(left, right, "k", "left", rows_per_task=10)
+    assert joined.filter("v = 2 * k").count() == 60_000
+
+
+def test_hot_keys_are_counted_once_per_join(spark, skewed, monkeypatch):
+    calls = []
+    real = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: calls.append(a) or real(*a))
+    right = spark.range(300).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = salted_join(skewed, right, "k", "left", rows_per_task=100)
+    # Both sides read the stored answer; the plan counts nothing.
+    assert len(calls) == 1 and "Aggregate" not in plan(joined)
 
 
 def test_salting_spreads_the_hot_key(spark, skewed, monkeypatch):
@@ -84,9 +113,9 @@ def test_salting_spreads_the_hot_key(spark, skewed, monkeypatch):
 def test_balanced_join_salts_only_large_right_sides(spark, skewed, tmp_path, monkeypatch):
     spark.range(400).select(F.col("id").alias("k"), F.lit(1).alias("v")).write.parquet(str(tmp_path / "r"))
     right = spark.read.parquet(str(tmp_path / "r"))
-    assert "approx_top_k" not in plan(joins.balanced_join(skewed, right, "k"))
+    assert "hot-keys" not in plan(joins.balanced_join(skewed, right, "k"))
     monkeypatch.setattr(joins, "broadcast_limit", lambda df: 10)
-    assert "approx_top_k" in plan(joins.balanced_join(skewed, right, "k"))
+    assert "hot-keys" in plan(joins.balanced_join(skewed, right, "k"))
     with pytest.raises(ValueError):
         joins.balanced_join(skewed, right, "k", "full")
 

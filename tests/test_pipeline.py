@@ -67,11 +67,42 @@ def test_land_again_and_on_another_day(spark, tmp_path):
     for day, ids in (("2026-01-01", "ab"), ("2026-01-01", "c"), ("2026-02-01", "de")):
         raw = retail.write(tmp_path / "raw", sellers=header + "".join(f"{i},1,x,SP\n" for i in ids))
         bronze.land(spark, raw, target, day, sources)
-    assert rows(bronze.read_latest(spark, target, sources["sellers"]), "seller_id") == {("d",), ("e",)}
+    assert rows(bronze.read_load(spark, target, sources["sellers"]), "seller_id") == {("d",), ("e",)}
     first = spark.read.csv(f"{target}/sellers/ingestion_date=2026-01-01", header=True)
     assert rows(first, "seller_id") == {("c",)}
 
 
+def test_land_keeps_equal_names_apart_and_drops_what_left_the_feed(spark, tmp_path):
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    raw, target = tmp_path / "raw", str(tmp_path / "b")
+    source = config.Source("sellers", "*/part-*.csv")
+    for folder, name, seller in (("a", "part-0.csv", "s1"), ("b", "part-0.csv", "s2")):
+        (raw / folder).mkdir(parents=True)
+        (raw / folder / name).write_text(header + f"{seller},1,x,SP\n")
+    done = bronze.land(spark, str(raw), target, "2026-01-01", {"sellers": source})
+    assert rows(done.manifest, "s3_key", "row_count") == {
+        ("sellers/ingestion_date=2026-01-01/a/part-0.csv", 1), ("sellers/ingestion_date=2026-01-01/b/part-0.csv", 1),
+    }
+    assert rows(bronze.read_load(spark, target, source), "seller_id") == {("s1",), ("s2",)}
+
+    (raw / "a/part-0.csv").unlink()
+    (raw / "b/part-0.csv").rename(raw / "b/part-9.csv")
+    done = bronze.land(spark, str(raw), target, "2026-01-01", {"sellers": source})
+    assert rows(done.manifest, "row_count") == {(1,)}
+    assert rows(bronze.read_load(spark, target, source), "seller_id") == {("s2",)}
+
+
+def test_a_run_for_an_older_date_reads_that_date(spark, tmp_path):
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    places = Places.under(str(tmp_path / "lake"))
+    for day, n in (("2026-02-01", 3), ("2026-01-01", 1)):
+        raw = retail.write(tmp_path / day, order_payments=header + "".join(f"o1,{i + 1},voucher,1,5.0\n" for i in range(n)))
+        report = pipeline.run(spark, raw, places, day)
+        assert ("bronze", "order_payments", "load_date", int(day.replace("-", ""))) in rows(report, "step", "subject", "metric", "value")
+        for root, table in ((places.silver, "order_payments"), (places.gold, "fact_payments")):
+            assert spark.read.parquet(f"{root}/{table}/load_id={day}").count() == n
+
+
 def test_land_many_files_of_one_entity(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
@@ -81,7 +112,7 @@ def test_land_many_files_of_one_entity(spark, tmp_path):
     sources = {"sellers": config.Source("sellers", "sellers part*.csv")}
     done = bronze.land(spark, str(raw), str(tmp_path / "b"), "2026-01-01", sources)
     assert rows(done.manifest, "source_file", "row_count") == {(f"sellers part+{i}.csv", i + 1) for i in range(3)}
-    assert bronze.read_latest(spark, str(tmp_path / "b"), sources["sellers"]).count() == 6
+    assert bronze.read_load(spark, str(tmp_path / "b"), sources["sellers"]).count() == 6
 
 
 def test_land_without_any_file(spark, tmp_path):
@@ -95,10 +126,10 @@ def test_land_without_any_file(spark, tmp_path):
 def test_latest_load_has_one_clear_error(spark, tmp_path):
     source = config.Source("sellers", "sellers.csv")
     with pytest.raises(FileNotFoundError):
-        bronze.read_latest(spark, str(tmp_path), source)
+        bronze.read_load(spark, str(tmp_path), source)
     (tmp_path / "sellers/ingestion_date=2026-01-01").mkdir(parents=True)
     with pytest.raises(FileNotFoundError):
-        bronze.read_latest(spark, str(tmp_path), source)
+        bronze.read_load(spark, str(tmp_path), source)
 
 
 def test_raw_reader_keeps_text_and_finds_missing_values(spark, tmp_path):
@@ -107,7 +138,7 @@ def test_raw_reader_keeps_text_and_finds_missing_values(spark, tmp_path):
     raw = retail.write(tmp_path / "raw", order_reviews=text)
     sources = {"order_reviews": config.Source("order_reviews", "order_reviews.csv")}
     bronze.land(spark, raw, str(tmp_path / "b"), "2026-01-01", sources)
-    df = bronze.read_latest(spark, str(tmp_path / "b"), sources["order_reviews"])
+    df = bronze.read_load(spark, str(tmp_path / "b"), sources["order_reviews"])
     assert rows(df.drop("_position")) == {
         ("r1", "007", "1", None, 'a\nb "c"', None, None), (None, "o2", "2", None, "x", "y", "z"),
     }
@@ -120,7 +151,7 @@ def test_reader_rejects_a_header_in_another_order(spark, tmp_path):
     source = config.sources()["category_translation"]
     bronze.land(spark, raw, str(tmp_path / "b"), "2026-01-01", {"category_translation": source})
     with pytest.raises(Exception, match="CSV header does not conform to the schema"):
-        bronze.read_latest(spark, str(tmp_path / "b"), source).collect()
+        bronze.read_load(spark, str(tmp_path / "b"), source).collect()
 
 
 def test_keep_first_follows_file_order(spark, tmp_path):
@@ -133,7 +164,7 @@ def test_keep_first_follows_file_order(spark, tmp_path):
         bronze.land(spark, raw, target, "2026-01-01", {"customers": source})
         spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
         try:
-            found = silver.customers(bronze.read_latest(spark, target, source))
+            found = silver.customers(bronze.read_load(spark, target, source))
             assert rows(found, "customer_id", "customer_city") == {(f"c{i}", f"city{i}") for i in range(7)}
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
