@@ -7,8 +7,9 @@ fixed stride, so a trainer reads them front to back and resumes at any slot with
 
 The stream follows the stored order of the documents: files and their parts as the scan
 lists them. The ids of a part are counted first, then encoded again and sent straight to
-their place; ids are never stored on the way. Both passes run over the same parts of one
-scan, so a part lost with its executor is computed again just as it was.
+their place; ids are never stored on the way. A part lost with its executor is computed
+again just as it was. Every part is compared with its count: should the scan have been
+parted otherwise the second time, nothing is written and both passes start over.
 
 Fixed cases: a null text adds nothing and an empty one only the end id; ids of documents
 may be null or repeated and are only reported; the last sequence is filled up with the
@@ -28,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark import TaskContext
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from terrace.llm.common import only
@@ -105,19 +107,31 @@ _PIECE = T.StructType([
 ])
 
 
+_COUNT = "part int, n long, check long"
+_COUNT_ARROW = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("check", pa.int64())])
+_PIECE_ARROW = pa.schema([
+    ("shard", pa.int32()), ("slot", pa.int64()), ("sequence", pa.int64()), ("at", pa.int32()),
+    ("first_doc", pa.string()), ("ids", pa.binary()),
+])
+_PIECES = 1000
+_ATTEMPTS = 3
+_CHANGED = "the scan was parted otherwise than when its ids were counted"
+
+
 def shard_name(path: str, shard: int) -> str:
     return f"{path}/shard-{shard:06d}.bin"
 
 
-def _stream(rows: Iterator[Row], encoder: RankFile) -> Iterator[tuple[object, np.ndarray]]:
+def _stream(batches: Iterator[pa.RecordBatch], encoder: RankFile) -> Iterator[tuple[object, np.ndarray]]:
     end = np.array([encoder.end], np.uint32)
-    for row in rows:
-        if row["text"] is not None:
-            yield row["id"], np.concatenate([encoder.encode(row["text"]), end]) if row["text"] else end
+    for batch in batches:
+        for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if text is not None:
+                yield doc, np.concatenate([encoder.encode(text), end]) if text else end
 
 
 def _pieces(
-    rows: Iterator[Row], offset: int, encoder: RankFile, order: Permutation, settings: Settings
+    stream: Iterator[tuple[object, np.ndarray]], offset: int, order: Permutation, settings: Settings
 ) -> Iterator[tuple]:
     """One part's ids cut at sequence ends, each piece with its sequence's place."""
     pack, length = zstandard.ZstdCompressor(level=1), settings.length
@@ -129,7 +143,7 @@ def _pieces(
         ids = np.concatenate(held).astype(settings.dtype)
         return slot // settings.rows, slot, number, (at - size) % length, first, pack.compress(ids.tobytes())
 
-    for doc, ids in _stream(rows, encoder):
+    for doc, ids in stream:
         while len(ids):
             if not held:
                 first = None if doc is None else str(doc)
@@ -194,31 +208,62 @@ def write_shards(
     ``stored`` says that ``docs`` is read from files as it is; anything else is stored
     first, so that its rows come in one order both times.
     """
-    spark = docs.sparkSession
     if encoder.end >= np.iinfo(settings.dtype).max:
         raise ValueError("ids do not fit the shards' type")
     rows = only(docs, id=id_col, text=text_col)
-    parts = (rows if stored else materialise(rows, "ordered")).rdd
+    rows = rows if stored else materialise(rows, "ordered")
+    for left in reversed(range(_ATTEMPTS)):
+        try:
+            return _written(rows, path, encoder, settings)
+        except PySparkException as failure:
+            if not left or _CHANGED not in str(failure):
+                raise
+
+
+def _written(rows: DataFrame, path: str, encoder: RankFile, settings: Settings) -> DataFrame:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = check = 0
+        for _, ids in _stream(batches, encoder):
+            n, check = n + len(ids), zlib.crc32(ids.tobytes(), check)
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "check": [check]}, schema=_COUNT_ARROW)
+
+    # One row per part, as many as there are tasks.
+    sizes = {r["part"]: (r["n"], r["check"]) for r in rows.mapInArrow(counted, _COUNT).collect()}
+    starts, total = {}, 0
+    for part in sorted(sizes):
+        starts[part] = total
+        total += sizes[part][0]
+    order = Permutation(max(1, -(-total // settings.length)), settings.key)
 
-    def counted(part: int, rows: Iterator[Row]) -> Iterator[tuple[int, int]]:
-        yield part, sum(len(ids) for _, ids in _stream(rows, encoder))
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), [0, 0]
 
-    # One number per part, as many as there are tasks.
-    sizes = sorted(parts.mapPartitionsWithIndex(counted).collect())
-    ends = np.cumsum([0, *(n for _, n in sizes)]).tolist()
-    total = ends[-1]
-    order = Permutation(max(1, -(-total // settings.length)), settings.key)
+        def watched() -> Iterator[tuple[object, np.ndarray]]:
+            for doc, ids in _stream(batches, encoder):
+                seen[:] = seen[0] + len(ids), zlib.crc32(ids.tobytes(), seen[1])
+                yield doc, ids
 
-    def emitted(part: int, rows: Iterator[Row]) -> Iterator[tuple]:
-        return _pieces(rows, ends[part], encoder, order, settings)
+        held: list[tuple] = []
+        for piece in _pieces(watched(), starts.get(part, 0), order, settings):
+            held.append(piece)
+            if len(held) == _PIECES:
+                yield _arrow(held)
+                held = []
+        if tuple(seen) != sizes.get(part, (0, 0)):
+            raise RuntimeError(_CHANGED)
+        yield _arrow(held)
 
-    pieces = spark.createDataFrame(parts.mapPartitionsWithIndex(emitted), _PIECE, verifySchema=False)
     shards = max(1, -(-total // (settings.length * settings.rows)))
     # By hash: drawing ranges would encode everything once more for a sample.
-    placed = pieces.repartition(shards, "shard").sortWithinPartitions("shard")
+    placed = rows.mapInArrow(emitted, _PIECE).repartition(shards, "shard").sortWithinPartitions("shard")
     manifest = placed.mapInArrow(_write(path, total, settings, encoder.end), MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
-    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+    return rows.sparkSession.read.schema(MANIFEST).parquet(f"{path}/manifest")
+
+
+def _arrow(pieces: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*pieces, strict=True)) or [()] * len(_PIECE_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE_ARROW, strict=True)], schema=_PIECE_ARROW)
 
 
 def read_slots(path: str, first: int, count: int, settings: Settings = Settings()) -> Iterator[np.ndarray]:
