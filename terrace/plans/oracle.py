@@ -76,7 +76,7 @@ _CTES: dict[str, str] = {
                cast(1 + user_id % 10 as integer) as payment_installments, value as payment_value
         from events where event_type = 'purchase'""",
     "raw_order_reviews": f"""
-        select event_id - event_id % 2 as review_id, event_id * 7 % 300 as order_id,
+        select event_id - event_id % 2 as review_id, event_id - event_id % 3 as order_id,
                cast(1 + event_id % 7 % 5 as integer) as review_score,
                cast(null as varchar) as review_comment_title, props as review_comment_message,
                {_second('ts')} as review_creation_date,
@@ -501,6 +501,14 @@ _BODIES: dict[str, str] = {
     "staging_products_rename": "select * from staging_products",
     "staging_orders_cast": "select * exclude (is_delivered) from silver_orders",
     "dim_date": "select * from dim_date",
+    "dim_date_fixed": """
+        select strftime(day, '%Y%m%d')::integer as date_key, day::date as full_date, count(o.order_id) as orders_placed
+        from generate_series(timestamp '2016-01-01', timestamp '2019-04-14', interval 1 day) as t(day)
+        left join raw_orders o on o.order_purchase_timestamp::date = day::date
+        group by day
+        union all
+        select -1, null, (select count(*) from raw_orders where order_purchase_timestamp is null
+            or order_purchase_timestamp::date not between date '2016-01-01' and date '2019-04-14')""",
     "dim_customers": _round("dim_customers", "latitude", "longitude"),
     "dim_products": "select * from dim_products",
     "dim_sellers": _round("dim_sellers", "latitude", "longitude"),
@@ -587,8 +595,11 @@ _BODIES: dict[str, str] = {
                round(sum(total_payment_value) / count(*), 4) as avg_order_value
         from fact_orders where payment_method_count > 0""",
     "bronze_roundtrip": f"""
-        select order_id::varchar as order_id, customer_id::varchar as customer_id, {_ORDER_TEXT}
-        from raw_orders""",
+        select '2024-01-01' as load, order_id::varchar as order_id, customer_id::varchar as customer_id,
+               {_ORDER_TEXT.replace("order_status", "'created' as order_status", 1)}
+        from raw_orders
+        union all
+        select '2024-02-01', order_id::varchar, customer_id::varchar, {_ORDER_TEXT} from raw_orders""",
     "bronze_manifest": "\nunion all\n".join(
         f"select '{table}' as table_name, '2024-01-01' as ingestion_date, count(*) as row_count from raw_{table}"
         for table in _TYPES

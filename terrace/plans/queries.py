@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from terrace.operators.dedupe import (
 )
 from terrace.operators.profile import KeyPair, key_differences, missing_members, preview, profile
 from terrace.operators.union import union_all
-from terrace.plans import business, checks, pipeline, staging
+from terrace.plans import business, checks, gold, pipeline, staging
 from terrace.plans.warehouse import Warehouse, silver_table
 from terrace.session import work_folder
 from terrace.sources import bronze, testdata
@@ -169,13 +169,12 @@ def _profile_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- bronze and whole runs
 
 
-def _as_files(spark: SparkSession, sf_dir: str, entities: list[str]) -> tuple[str, dict[str, config.Source]]:
+def _as_files(raw: Mapping[str, DataFrame], spark: SparkSession) -> tuple[str, dict[str, config.Source]]:
     """Write raw tables as CSV files, the way a feed would deliver them."""
     folder = f"{work_folder(spark)}/feed-{uuid.uuid4().hex[:8]}"
-    raw = testdata.raw_tables(spark, sf_dir)
-    for entity in entities:
+    for entity, table in raw.items():
         columns = list(config.RAW_COLUMNS[entity])
-        raw[entity].select(*columns).write.csv(
+        table.select(*columns).write.csv(
             f"{folder}/{entity}", header=True, quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
@@ -183,18 +182,24 @@ def _as_files(spark: SparkSession, sf_dir: str, entities: list[str]) -> tuple[st
 
 
 def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as files, landed on two dates, read back from the later one."""
-    folder, sources = _as_files(spark, sf_dir, ["orders"])
-    only = {"orders": sources["orders"]}
-    bronze_dir = f"{folder}-bronze"
-    for day in ("2024-01-01", "2024-02-01"):
-        bronze.land(spark, folder, bronze_dir, day, only)
-    return bronze.read_load(spark, bronze_dir, sources["orders"]).drop(config.POSITION)
+    """Two states of the orders as files, the newer landed first; each date read back, the later one as the newest."""
+    raw = testdata.raw_tables(spark, sf_dir)["orders"]
+    loads = {"2024-02-01": raw, "2024-01-01": raw.withColumn("order_status", F.lit("created"))}
+    bronze_dir = f"{work_folder(spark)}/bronze-{uuid.uuid4().hex[:8]}"
+    for day, orders in loads.items():
+        folder, sources = _as_files({"orders": orders}, spark)
+        bronze.land(spark, folder, bronze_dir, day, {"orders": sources["orders"]})
+    return union_all(
+        bronze.read_load(spark, bronze_dir, sources["orders"], until).drop(config.POSITION)
+        .select(F.lit(day).alias("load"), "*")
+        for day, until in (("2024-01-01", "2024-01-31"), ("2024-02-01", None))
+    )
 
 
 def _bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine tables as files, landed; records per table as the manifest counts them."""
-    folder, sources = _as_files(spark, sf_dir, list(config.RAW_COLUMNS))
+    raw = testdata.raw_tables(spark, sf_dir)
+    folder, sources = _as_files({entity: raw[entity] for entity in config.RAW_COLUMNS}, spark)
     landing = bronze.land(spark, folder, f"{folder}-bronze", "2024-01-01", sources)
     return landing.manifest.groupBy("table_name", "ingestion_date").agg(F.sum("row_count").alias("row_count"))
 
@@ -218,11 +223,27 @@ def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dim_date_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of fixed length, and the orders placed on each of its days; -1 takes the rest."""
+    orders = silver_table(testdata.raw_tables(spark, sf_dir), "orders")
+    days = gold.dim_date(gold.fixed_days(spark)).select("date_key", "full_date")
+    placed = orders.select(F.to_date("order_purchase_timestamp").alias("full_date")).groupBy("full_date").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    on_days = placed.join(days, "full_date", "left").groupBy(
+        F.coalesce("date_key", F.lit(config.UNKNOWN_KEY)).alias("date_key")
+    ).agg(F.sum("n").alias("orders_placed"))
+    return days.join(on_days, "date_key", "left").select(
+        "date_key", "full_date", F.coalesce("orders_placed", F.lit(0)).alias("orders_placed")
+    )
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{t}": _silver(t) for t in config.SILVER_TABLES},
     "staging_products_rename": _staging_products,
     "staging_orders_cast": _staging_orders,
     **{t: _gold(t) for t in config.GOLD_TABLES},
+    "dim_date_fixed": _dim_date_fixed,
     "dq_raw_suites": _dq_raw_suites,
     "dq_gate_status": _dq_gate_status,
     "dq_gold_tests": _dq_gold_tests,

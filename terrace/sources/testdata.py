@@ -149,7 +149,7 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, moment = F.col("event_id"), F.col("ts")
     return table(spark, sf_dir, "events").filter("event_type in ('view', 'click')").select(
         (event - event % 2).alias("review_id"),
-        (event * 7 % 300).alias("order_id"),
+        (event - event % 3).alias("order_id"),
         (1 + event % 7 % 5).cast("string").alias("review_score"),
         F.lit(None).cast("string").alias("review_comment_title"),
         F.col("props").alias("review_comment_message"),
