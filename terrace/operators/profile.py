@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace import config
 from terrace.operators.union import union_all
 
 # Longer text is compared by its SHA-256, which keeps shuffled keys narrow.
@@ -21,13 +22,13 @@ def profile(df: DataFrame, table: str) -> DataFrame:
     shuffle and no task ever holds the set of values of a column. Meant for
     column-oriented storage; store parsed text first.
     """
-    columns = [name for name in df.columns if not name.startswith("_")]
+    columns = [name for name in df.columns if name != config.POSITION]
     types = dict(df.dtypes)
 
     def counted(name: str) -> DataFrame:
         value = f"`{name}`"
         if types[name] == "string":
-            value = f"CASE WHEN length({value}) > {_LONG_TEXT} THEN sha2({value}, 256) ELSE {value} END"
+            value = f"CASE WHEN length({value}) > {_LONG_TEXT} THEN 'h' || sha2({value}, 256) ELSE 'v' || {value} END"
         return df.selectExpr(f"{value} AS _value").groupBy("_value").count().selectExpr(
             f"'{table}' AS table", f"'{name}' AS column", f"'{types[name]}' AS type",
             f"{len(columns)} AS columns",
@@ -41,7 +42,7 @@ def profile(df: DataFrame, table: str) -> DataFrame:
 
 def approximate_profile(df: DataFrame, table: str) -> DataFrame:
     """The same profile with sketched distinct counts: one scan and no shuffle of values."""
-    columns = [c for c in df.columns if not c.startswith("_")]
+    columns = [c for c in df.columns if c != config.POSITION]
     types = dict(df.dtypes)
     counted = df.agg(
         F.count(F.lit(1)).alias("_rows"),

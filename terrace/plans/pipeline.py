@@ -73,13 +73,13 @@ def build_silver(
     def job(table: str) -> Written:
         watch = Observation(f"raw-{table}")
         watched = raw[table].observe(watch, *[c.alias(n) for n, c in _raw_metrics(table).items()])
-        metrics = None
+        metrics, helpers = None, ()
         if table == "products":
             result = silver.products(watched, raw["category_translation"], flags=True)
-            metrics = {"untranslated": F.count_if(F.col("_untranslated"))}
+            metrics, helpers = {"untranslated": F.count_if(F.col("_untranslated"))}, ("_untranslated",)
         else:
             result = silver_table({table: watched}, table)
-        written = write_table(result, root, table, load_id, metrics)
+        written = write_table(result, root, table, load_id, metrics, helpers)
         found = {**watch.get, **written.metrics}
         if table == "customers":
             found["duplicates_dropped"] = found["rows_in"] - written.rows

@@ -133,7 +133,7 @@ def order_reviews(raw: DataFrame) -> DataFrame:
 def products(raw: DataFrame, translation: DataFrame, flags: bool = False) -> DataFrame:
     """Fill the category, look up its English name, fall back to the original.
 
-    ``flags`` adds ``_untranslated`` for the load report; the table writer drops it.
+    ``flags`` adds ``_untranslated`` for the load report; the table writer is told to drop it.
     """
     filled = raw.select(*config.RAW_COLUMNS["products"]).withColumns(
         {"product_category_name": F.coalesce("product_category_name", F.lit(config.UNKNOWN_CATEGORY))}

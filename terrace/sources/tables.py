@@ -34,13 +34,16 @@ def write_table(
     table: str,
     load_id: str,
     metrics: dict[str, Column] | None = None,
+    helpers: tuple[str, ...] = (),
 ) -> Written:
-    """Write one load and count rows (and ``metrics``) in the same pass."""
+    """Write one load and count rows (and ``metrics``) in the same pass.
+
+    ``helpers`` names columns that only the metrics need; they are not written.
+    """
     path = f"{root.rstrip('/')}/{table}/load_id={load_id}"
     watch = Observation(f"{table}-{uuid.uuid4().hex[:8]}")
     extra = [expr.alias(name) for name, expr in (metrics or {}).items()]
-    hidden = [name for name in df.columns if name.startswith("_")]
-    observed = df.observe(watch, F.count(F.lit(1)).alias("rows"), *extra).drop(*hidden)
+    observed = df.observe(watch, F.count(F.lit(1)).alias("rows"), *extra).drop(*helpers)
     observed.write.mode("overwrite").option("compression", "snappy").parquet(path)
     seen = {name: value or 0 for name, value in watch.get.items()}
     return Written(table, path, seen.pop("rows"), seen)
