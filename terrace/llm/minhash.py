@@ -11,7 +11,7 @@ likeliest of one pick per bucket, and what links is joined into components. Then
 buckets that still hold several components, classes outside the largest one are compared
 with all others. Two classes of one component need no comparison: a link between them
 would change nothing. So no link between components is lost, other than to the bands
-(chance below one in a million at the threshold) and the estimate (five deviations).
+(chance below one in a million at the threshold) and the estimate (4.5 deviations).
 
 Fixed cases: null or empty texts and texts without words have empty sets and link with
 nothing; rows with a null id link with nothing, get a null component and are kept; rows
@@ -43,11 +43,11 @@ class Settings:
 
     shingle: int = 5
     percent: int = 80
-    minima: int = 128
+    minima: int = 256
     bits: int = 4
     band_rows: int = 4
     bands: int = 32
-    rounds: int = 2
+    rounds: int = 4
 
     def __post_init__(self):
         if self.bits != 4 or self.minima % 16 or self.bands * self.band_rows > self.minima:
@@ -55,10 +55,10 @@ class Settings:
 
     @property
     def least_matches(self) -> int:
-        """Equal nibbles expected at the threshold, less five standard deviations."""
+        """Equal nibbles expected at the threshold, less four and a half standard deviations."""
         chance = 2.0**-self.bits
         equal = chance + (1 - chance) * self.percent / 100
-        return math.floor(self.minima * equal - 5 * math.sqrt(self.minima * equal * (1 - equal)))
+        return math.floor(self.minima * equal - 4.5 * math.sqrt(self.minima * equal * (1 - equal)))
 
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -253,15 +253,21 @@ def link(
     )
 
 
+def _sized(a: Column, b: Column, settings: Settings) -> Column:
+    """Whether sets of these sizes can reach the threshold: at best one holds the other."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * settings.percent
+
+
 def _picked(at: DataFrame, round_: int, longs: int, settings: Settings) -> DataFrame:
     """Each class with the likeliest of its buckets' picks, of another component."""
     pick = at.groupBy("bucket").agg(
-        F.min_by(F.struct("cls", "comp", "sig"), F.xxhash64("cls", "bucket", F.lit(round_))).alias("pick")
+        F.min_by(F.struct("cls", "comp", "sig", "n_shingles"), F.xxhash64("cls", "bucket", F.lit(round_))).alias("pick")
     )
     pick = materialise(pick, "picks")
     likeness = matches(F.col("sig"), F.col("pick.sig"), longs)
     near = (
         at.join(pick, "bucket").filter(F.col("comp") != F.col("pick.comp"))
+        .filter(_sized(F.col("n_shingles"), F.col("pick.n_shingles"), settings))
         .select("cls", F.col("pick.cls").alias("other"), likeness.alias("equal"))
         .filter(F.col("equal") >= settings.least_matches)
     )
@@ -276,14 +282,15 @@ def _crossing(at: DataFrame, longs: int, settings: Settings) -> DataFrame:
     sizes = at.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
     marked = materialise(at.join(largest, "bucket"), "crossing").select(
-        "bucket", "cls", "comp", "sig", (F.col("comp") == F.col("main")).alias("in_main")
+        "bucket", "cls", "comp", "sig", "n_shingles", (F.col("comp") == F.col("main")).alias("in_main")
     )
     small = marked.filter("NOT in_main")
     x, y = small.alias("x"), marked.alias("y")
     likely = matches(F.col("x.sig"), F.col("y.sig"), longs) >= settings.least_matches
     met = x.join(
         y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp"))
-        & (F.col("y.in_main") | (F.col("x.cls") < F.col("y.cls"))) & likely,
+        & (F.col("y.in_main") | (F.col("x.cls") < F.col("y.cls")))
+        & _sized(F.col("x.n_shingles"), F.col("y.n_shingles"), settings) & likely,
     )
     return met.select(
         F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")
