@@ -25,11 +25,13 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.llm.common import small
+
 MARK = "▁"
 
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
 _UNIGRAM, _BPE = 1, 2
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 200_000
 _JOINED = 256
 
 
@@ -241,7 +243,7 @@ def token_ids(model: bytes, text: Column) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in small(batches):
             yield pd.Series([None if got is None else got[0] for got in encoded(model, texts.tolist())], dtype=object)
 
     return ids(text)
