@@ -15,6 +15,11 @@ without a word is left alone; null ids count as greater than all others and neve
 text from each other; rows with one id are one document in several parts: no part loses a
 chunk to another, only to an earlier place in itself; rows equal in id and text fare
 alike. Other columns pass through ``without_repeats`` untouched.
+
+``without_repeated_runs`` needs no boundaries: two neighbouring lines, a word among them,
+that stand together at an earlier place are removed at every offset, so a repeated run of
+two lines or more goes whole, and so does a copy of several lines. Every removed line stays
+at an earlier place. Pairs are equal if 128 hash bits are; the fixed cases hold as above.
 """
 
 from __future__ import annotations
@@ -163,7 +168,71 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out, names
 
 
-# The same in SQL for a table documents(doc_id, text) with unique ids.
+def _exploded_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, pair): each two neighbouring lines that hold a word, with the first one's place."""
+    rows = only(docs, id=id_col, text=text_col).filter("text IS NOT NULL").withColumn("lines", F.split("text", "\n", -1))
+
+    def pair(line: Column, i: Column) -> Column:
+        after = F.get("lines", i + 1)
+        # There is none after the last line.
+        return F.when(after.isNotNull() & ~(line.rlike(_BLANK) & after.rlike(_BLANK)), F.struct(
+            F.xxhash64(line, after).alias("a"), F.xxhash64(F.lit("second"), line, after).alias("b"), i.alias("no"),
+        ))
+
+    by_hash = rows.withColumn("sorted", F.sort_array(F.array_compact(F.transform("lines", pair))))
+
+    def place(x: Column, j: Column) -> Column:
+        # get() of -1 is null.
+        last = F.get("sorted", j - 1)
+        same = (last["a"] == x["a"]) & (last["b"] == x["b"])
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["no"].alias("no"), F.coalesce(same, F.lit(False)).alias("repeat"))
+
+    placed = by_hash.withColumn("places", F.transform("sorted", place))
+    exploded = placed.select("id", F.xxhash64("text").alias("text_hash"), F.explode_outer("places").alias("pair"))
+    return exploded.filter("pair IS NOT NULL").select("id", "text_hash", "pair.*")
+
+
+def without_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows and columns; every run of two lines or more that stands at an earlier place is cut out."""
+    pairs = _exploded_pairs(docs, id_col, text_col)
+    repeated = (
+        pairs.groupBy("a", "b")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("unnamed"))
+        .filter(F.col("first").isNotNull() & ((F.col("first") < F.col("last")) | F.col("unnamed")))
+        .select("a", "b", "first")
+    )
+    # Stored, so that the join below sees its true size and may split a hot pair.
+    known = pairs.join(materialise(repeated, "repeated-pairs"), ["a", "b"], "left").filter(
+        F.col("repeat") | F.coalesce(F.col("id") > F.col("first"), F.col("first").isNotNull() & F.col("id").isNull())
+    )
+    gone = known.groupBy("id", "text_hash").agg(F.collect_set("no").alias("removed"))
+    rows = docs.select(
+        F.struct(*map(quoted, docs.columns)).alias("row"), quoted(id_col).alias("id"), quoted(text_col).alias("text")
+    )
+    met = rows.alias("d").join(
+        gone.alias("g"),
+        F.col("d.id").eqNullSafe(F.col("g.id")) & (F.xxhash64("d.text") == F.col("g.text_hash")), "left",
+    ).select("row", "d.text", "removed")
+
+    def marks(shift: int) -> Column:
+        return F.transform("removed", lambda no: F.struct((no + shift).alias("no"), F.lit(1).alias("mark"), F.lit("").alias("line")))
+
+    # Lines and removal marks sorted together: a line goes when its mark follows it.
+    marked = met.withColumn("all", F.when(F.col("removed").isNotNull(), F.sort_array(F.concat(
+        F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("no"), F.lit(0).alias("mark"), line.alias("line"))),
+        marks(0), marks(1),
+    ))))
+
+    def stays(x: Column, j: Column) -> Column:
+        follower = F.get("all", j + 1)
+        return (x["mark"] == 0) & ~F.coalesce((follower["no"] == x["no"]) & (follower["mark"] == 1), F.lit(False))
+
+    kept = marked.withColumn("kept", F.filter("all", stays))
+    new_text = F.when(F.col("removed").isNotNull(), F.array_join(F.transform("kept", lambda x: x["line"]), "\n")).otherwise(F.col("text"))
+    return kept.select(*[(new_text.alias(c) if c == text_col else F.col("row").getField(c).alias(c)) for c in docs.columns])
+
+
+# ``without_repeats`` in SQL for a table documents(doc_id, text) with unique ids.
 ORACLE_SQL = rf"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line

@@ -200,3 +200,49 @@ def test_chunks_match_brute_force(spark, tricky_docs, tricky, no_docs):
 def test_chunks_stay_in_built_in_expressions(spark, tricky_docs):
     plan = line_chunks.without_repeats(tricky_docs)[0]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_runs(rows) -> list[str | None]:
+    found = []
+    for i, t in rows:
+        lines = None if t is None else t.split("\n")
+        found.append((i, lines, [] if t is None else [p for p in zip(lines, lines[1:], strict=False)]))
+    first: dict = {}
+    for i, _, pairs in found:
+        for p in pairs:
+            if i is not None:
+                first[p] = min(first.get(p, i), i)
+    out = []
+    for i, lines, pairs in found:
+        gone, own = set(), set()
+        for k, p in enumerate(pairs):
+            if "".join(p).split() and (p in own or (p in first and (i is None or first[p] < i))):
+                gone |= {k, k + 1}
+            own.add(p)
+        out.append(None if lines is None else "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return out
+
+
+def test_runs_match_brute_force(spark, tricky_docs, tricky, no_docs):
+    cut = line_chunks.without_repeated_runs(tricky_docs)
+    assert cut.columns == tricky_docs.columns
+    got = sorted((r["text"] is None, r["text"] or "") for r in cut.collect())
+    assert got == sorted((t is None, t or "") for t in brute_runs(tricky))
+    assert line_chunks.without_repeated_runs(no_docs).count() == 0
+    plan = cut._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 10])
+def test_repeated_passages_go_whole(spark, n):
+    rng = random.Random(n)
+
+    def lines(k: int) -> list[str]:
+        return [f"line {rng.random()}" for _ in range(k)]
+
+    passages = [lines(n) for _ in range(20)]
+    rows = [(i, "\n".join([*lines(3), *p, *lines(2)])) for i, p in enumerate(passages)]
+    rest = [(lines(2), lines(3)) for _ in passages]
+    rows += [(100 + i, "\n".join([*a, *p, *b])) for i, (p, (a, b)) in enumerate(zip(passages, rest, strict=True))]
+    got = {r["doc_id"]: r["text"] for r in line_chunks.without_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t if i < 100 else "\n".join([*rest[i - 100][0], *rest[i - 100][1]]) for i, t in rows}

@@ -53,3 +53,15 @@ def test_sql_twins(spark, name):
     got = queries.QUERIES[name](spark, SF).select(*[F.col(c) for c in expected.columns]).toPandas()
     key = list(expected.columns)
     assert got.sort_values(key).reset_index(drop=True).equals(expected.sort_values(key).reset_index(drop=True))
+
+
+def test_exact_copies_of_many_lines_leave_one_row(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    base = docs.filter(F.size(F.split("text", "\n")) > 1).orderBy("doc_id").limit(40)
+    copies = [base.withColumn("doc_id", F.col("doc_id") + 10_000_000 * k) for k in (1, 2)]
+    planted = materialise(docs.unionByName(copies[0]).unionByName(copies[1]), "planted")
+    cut = materialise(corpus_pipeline.line_dedup(spark, planted, SF), "planted-cut")
+    assert cut.filter(F.col("doc_id") >= 10_000_000).count() == 0
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, cut, SF).collect()} == {
+        r["doc_id"] for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, SF), SF).collect()
+    }
