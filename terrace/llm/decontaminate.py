@@ -1,11 +1,12 @@
 """Benchmark decontamination: q-gram counting in diagonal bands, then banded alignment.
 
-Benchmark items are cut into overlapping segments. A segment of length n that occurs in a
-document with at most k edits shares n - q + 1 - k q of its q-grams with it (the q-gram
-lemma), on diagonals (document place minus segment place) at most k apart. Shared q-grams
-are counted per segment and band of diagonals; bands overlap, so that any k neighbouring
-diagonals lie in one. Bands that reach the bound are aligned, within the band, and stay
-if the edit distance keeps to the budget. Nothing that the definition calls a leak is lost.
+Every ``segment`` consecutive characters of a benchmark item count, at whatever offset. A
+segment of length n that occurs in a document with at most k edits shares n - q + 1 - k q
+of its q-grams with it (the q-gram lemma), on diagonals (document place minus item place)
+at most k apart. Shared q-grams are gathered per item and band of diagonals; bands overlap,
+so that any k neighbouring diagonals lie in one. Where the places of enough q-grams fit into
+one segment, all segments around them are aligned, within the band, and stay if the edit
+distance keeps to the budget. Nothing that the definition calls a leak is lost.
 
 Both sides are lower-cased and every run of blanks counts as one space. The benchmark is
 read in blocks of bounded size, each sent with the tasks; documents are never shuffled.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -31,13 +33,12 @@ from terrace.llm.common import fresh, only, pieces, quoted
 
 @dataclass(frozen=True)
 class Settings:
-    """A leak is ``segment`` consecutive characters of an item (the whole item if shorter),
-    starting at multiples of ``stride`` or ending with the item, with at most one edit in
-    ``chars_per_edit`` characters. ``block_chars`` bounds what is sent with a task."""
+    """A leak is any ``segment`` consecutive characters of an item (the whole item if shorter)
+    with at most one edit in ``chars_per_edit`` characters. ``block_chars`` bounds what is sent
+    with a task."""
 
     q: int = 8
     segment: int = 80
-    stride: int = 40
     chars_per_edit: int = 10
     block_chars: int = 2_000_000
 
@@ -57,6 +58,7 @@ _BAND = 16
 _GAP = 0x110000  # no character: parts the documents of a batch
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BATCH_CHARS = 1_000_000
+_ALIGNED = 2_000
 _FILTER_BITS = 22
 _COUNT_BITS = 20
 
@@ -84,27 +86,26 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """The q-grams of one block of items, and where they stand in which segment."""
+    """The q-grams of one block of items, and where they stand in which item."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], settings: Settings = Settings()):
         self.settings, q = settings, settings.q
-        segments = []
-        for item_id, text in items:
-            plain = normalised(text)
-            last = max(0, len(plain) - settings.segment)
-            for start in sorted({*range(0, last + 1, settings.stride), last}):
-                if len(part := plain[start : start + settings.segment]) >= q:
-                    segments.append((item_id, start, _codes(part)))
-        self.item = [s[0] for s in segments]
-        self.start = np.array([s[1] for s in segments], np.int64)
-        self.codes = [s[2] for s in segments]
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.budget = np.array([settings.budget(n) for n in self.length.tolist()], np.int64)
-        self.bound = self.length - q + 1 - self.budget * q
-        if segments:
-            grams = np.concatenate([_grams(c, q) for c in self.codes])
-            owner = np.repeat(np.arange(len(segments)), self.length - q + 1)
-            place = np.concatenate([np.arange(n - q + 1) for n in self.length])
+        plain = [(item_id, _codes(normalised(text))) for item_id, text in items]
+        plain = [(item_id, codes) for item_id, codes in plain if len(codes) >= q]
+        self.ids = [item_id for item_id, _ in plain]
+        self.texts = np.concatenate([codes for _, codes in plain]) if plain else np.zeros(0, np.uint32)
+        sizes = np.array([len(codes) for _, codes in plain], np.int64)
+        self.offset = np.cumsum(sizes) - sizes
+        self.longest = int(sizes.max(initial=settings.segment))
+        # Of each item: its segments' length, budget and bound, and the last one's start.
+        self.length = np.minimum(sizes, settings.segment)
+        self.allowed = np.array([settings.budget(n) for n in self.length.tolist()], np.int64)
+        self.bound = self.length - q + 1 - self.allowed * q
+        self.last = sizes - self.length
+        if plain:
+            grams = np.concatenate([_grams(codes, q) for _, codes in plain])
+            owner = np.repeat(np.arange(len(plain)), sizes - q + 1)
+            place = np.concatenate([np.arange(n - q + 1) for n in sizes.tolist()])
             order = np.argsort(grams, kind="stable")
             self.grams, first = np.unique(grams[order], return_index=True)
             self.owner, self.place = owner[order], place[order]
@@ -115,11 +116,27 @@ class Index:
         self.sieve = np.zeros(1 << _FILTER_BITS, bool)
         self.sieve[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         # More than any budget: no alignment within budget reaches over the gap.
-        self.gap = int(self.budget.max(initial=0)) + q + 1
-
-    def _candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, band) pairs that share enough q-grams."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.gap = int(self.allowed.max(initial=0)) + q + 1
+
+    @cached_property
+    def item(self) -> list[int | None]:
+        """The item of every segment."""
+        return [item_id for item_id, last in zip(self.ids, self.last.tolist(), strict=True) for _ in range(last + 1)]
+
+    @cached_property
+    def codes(self) -> list[np.ndarray]:
+        """The characters of every segment."""
+        spans = zip(self.offset.tolist(), self.last.tolist(), self.length.tolist(), strict=True)
+        return [self.texts[at + i : at + i + n] for at, last, n in spans for i in range(last + 1)]
+
+    @cached_property
+    def budget(self) -> np.ndarray:
+        """The edits allowed in every segment."""
+        return np.repeat(self.allowed, self.last + 1)
+
+    def _candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start of the segment, band) where enough q-grams are shared."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         h = _grams(codes, self.settings.q)
         at = np.flatnonzero(self.sieve[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         slot = np.searchsorted(self.grams, h[at])
@@ -128,47 +145,63 @@ class Index:
         at, slot = at[hit], slot[hit]
         if not len(at):
             return none
-        # One row per occurrence of the q-gram in a segment.
+        # One row per occurrence of the q-gram in an item.
         many = self.first[slot + 1] - self.first[slot]
         entry = np.repeat(self.first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
         owner, place = self.owner[entry], self.place[entry]
-        diagonal = np.repeat(at, many) - place + (self.settings.segment + 2 * _BAND)
+        diagonal = np.repeat(at, many) - place + (self.longest + 2 * _BAND)
         # A diagonal lies in its own band and in the one that began a step before.
         band = diagonal // _BAND
         bands = int(band.max()) + 2
-        length = self.settings.segment
         own = owner * bands + band
         group, place = np.concatenate([own, own - 1]), np.tile(place, 2)
         # Count by a hash of the group first: few can reach the bound, and only they are sorted.
         cell = ((group.astype(np.uint64) * _BASE) >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
         likely = np.bincount(cell, minlength=1 << _COUNT_BITS)[cell] >= self.bound[group // bands]
-        key = group[likely] * length + place[likely]
+        key = group[likely] * self.longest + place[likely]
         # A q-gram place counts once, however often it is met in the band.
-        group = np.unique(key) // length
-        found, counts = np.unique(group, return_counts=True)
-        enough = counts >= self.bound[found // bands]
-        return found[enough] // bands, found[enough] % bands
-
-    def _align(self, codes: np.ndarray, segment: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        group, place = np.divmod(np.unique(key), self.longest)
+        if not len(group):
+            return none
+        owner = group // bands
+        # Places in order: from each one, the bound is reached at ``until``, within one segment or not.
+        reach = self.length[owner] - self.settings.q
+        until = np.arange(len(group)) + self.bound[owner] - 1
+        inside = until < len(group)
+        until[~inside] = 0
+        enough = np.flatnonzero(inside & (group[until] == group) & (place[until] - place <= reach))
+        if not len(enough):
+            return none
+        group, owner = group[enough], owner[enough]
+        low = np.maximum(place[until[enough]] - reach[enough], 0)
+        high = np.minimum(place[enough], self.last[owner])
+        # Both ends only grow within a group: what the place before has covered is left out.
+        low[1:] = np.where(group[1:] == group[:-1], np.maximum(low[1:], high[:-1] + 1), low[1:])
+        many = np.maximum(high - low + 1, 0)
+        start = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(owner, many), start, np.repeat(group % bands, many)
+
+    def _align(self, codes: np.ndarray, item: np.ndarray, start: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(edits, end in codes) of the best alignment of each segment along its band."""
-        best, end = np.zeros(len(segment), np.int64), np.zeros(len(segment), np.int64)
-        for n in np.unique(self.length[segment]).tolist():
-            rows = np.flatnonzero(self.length[segment] == n)
-            k = int(self.budget[segment[rows[0]]])
+        best, end = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
+        for n in np.unique(self.length[item]).tolist():
+            alike = np.flatnonzero(self.length[item] == n)
+            k = int(self.allowed[item[alike[0]]])
             width = 2 * _BAND + 2 * k
-            low = band[rows] * _BAND - (self.settings.segment + 2 * _BAND) - k
-            pattern = np.stack([self.codes[s] for s in segment[rows].tolist()])
-            places = low[:, None] + np.arange(width + n)
-            inside = (places >= 0) & (places < len(codes))
-            text = np.where(inside, codes[np.clip(places, 0, len(codes) - 1)], _GAP)
-            # Column c of row i stands for text place low + i + c; any start and end is free.
-            steps, cost = np.arange(width), np.zeros((len(rows), width), np.int64)
-            for i in range(n):
-                pair = cost + (text[:, i : i + width] != pattern[:, i : i + 1])
-                pair[:, :-1] = np.minimum(pair[:, :-1], cost[:, 1:] + 1)
-                cost = np.minimum.accumulate(pair - steps, axis=1) + steps
-            best[rows] = cost.min(axis=1)
-            end[rows] = low + n + cost.argmin(axis=1)
+            for rows in np.split(alike, range(_ALIGNED, len(alike), _ALIGNED)):
+                low = band[rows] * _BAND - (self.longest + 2 * _BAND) - k + start[rows]
+                pattern = self.texts[(self.offset[item[rows]] + start[rows])[:, None] + np.arange(n)]
+                places = low[:, None] + np.arange(width + n)
+                inside = (places >= 0) & (places < len(codes))
+                text = np.where(inside, codes[np.clip(places, 0, len(codes) - 1)], _GAP)
+                # Column c of row i stands for text place low + i + c; any start and end is free.
+                steps, cost = np.arange(width, dtype=np.int16), np.zeros((len(rows), width), np.int16)
+                for i in range(n):
+                    pair = cost + (text[:, i : i + width] != pattern[:, i : i + 1])
+                    pair[:, :-1] = np.minimum(pair[:, :-1], cost[:, 1:] + 1)
+                    cost = np.minimum.accumulate(pair - steps, axis=1) + steps
+                best[rows] = cost.min(axis=1)
+                end[rows] = low + n + cost.argmin(axis=1)
         return best, end
 
     def leaks(self, texts: list[str | None]) -> list[list[tuple]]:
@@ -179,21 +212,20 @@ class Index:
         codes = np.full(int(sizes.sum()) + self.gap * (len(texts) + 1), _GAP, np.uint32)
         for t, start in zip(plain, starts.tolist(), strict=True):
             codes[start : start + len(t)] = _codes(t)
-        segment, band = self._candidates(codes)
+        item, start, band = self._candidates(codes)
         found: list[list[tuple]] = [[] for _ in texts]
-        if not len(segment):
+        if not len(item):
             return found
-        edits, end = self._align(codes, segment, band)
+        edits, end = self._align(codes, item, start, band)
         best: dict[tuple, tuple] = {}
-        for s, e, stop in zip(segment.tolist(), edits.tolist(), end.tolist(), strict=True):
-            if e > self.budget[s]:
-                continue
+        within = np.flatnonzero(edits <= self.allowed[item])
+        for s, at, e, stop in zip(*(x[within].tolist() for x in (item, start, edits, end)), strict=True):
             doc = int(np.searchsorted(starts, stop - 1, side="right")) - 1
-            leak = (e, int(self.start[s]), max(0, stop - int(self.length[s]) - int(starts[doc])))
-            key = (doc, self.item[s])
+            leak = (e, at, max(0, stop - int(self.length[s]) - int(starts[doc])))
+            key = (doc, self.ids[s])
             best[key] = min(best.get(key, leak), leak)
-        for (doc, item), (e, start, at) in best.items():
-            found[doc].append((item, start, at, e))
+        for (doc, item_id), (e, item_from, at) in best.items():
+            found[doc].append((item_id, item_from, at, e))
         return [sorted(x, key=lambda leak: (leak[0] is None, leak[0] or 0)) for x in found]
 
 

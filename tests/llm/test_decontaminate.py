@@ -94,3 +94,22 @@ def test_query_finds_whole_items(spark):
 def test_bound_leaves_at_least_one_gram(length):
     s = dc.Settings()
     assert length - s.q + 1 - s.budget(length) * s.q >= 1
+
+
+@pytest.mark.parametrize("length", [80, 81, 90, 100, 110])
+def test_quotes_at_every_offset_are_found(length):
+    rng = random.Random(length)
+    texts = ["".join(rng.choice("abcdefgh  ") for _ in range(n)) for n in (95, 150, 394)]
+    plain = [dc.normalised(t) for t in texts]
+    quotes = [(i, t[at : at + length]) for i, t in enumerate(plain) for at in range(len(t) - length + 1)]
+    frame = "".join(rng.choice("xyz") for _ in range(50))
+    found = dc.Index(list(enumerate(texts))).leaks([f"{frame}{q}{frame}" for _, q in quotes])
+    assert [[(leak[0], leak[3]) for leak in leaks] for leaks in found] == [[(i, 0)] for i, _ in quotes]
+    # The budget of eight edits holds at every offset too, and not a ninth.
+    for edits, leaked in ((8, True), (9, False)):
+        spoilt = [list(q[:80]) for _, q in quotes]
+        for q in spoilt:
+            for k in range(edits):
+                q[4 + 9 * k - k // 8] = "#"
+        found = dc.Index(list(enumerate(texts))).leaks([f"{frame}{''.join(q)}{frame}" for q in spoilt])
+        assert [[leak[0] for leak in leaks] for leaks in found] == [[i] if leaked else [] for i, _ in quotes]
