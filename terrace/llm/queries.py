@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, sharding, spm, token_shards, toxicity, windows
+from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, runs, sharding, spm, token_shards, toxicity, windows
 from terrace.llm.common import table
 from terrace.session import work_folder
 from terrace.sources import storage
@@ -100,6 +100,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 3) == 1, gam.score(model, F.col("text")))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    shaped = docs.select("doc_id", runs.found(runs.with_tail_repeated(F.col("text"), seed)).alias("found"))
+    best = shaped.select("doc_id", "found.*").withColumn("best", runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
@@ -111,9 +125,11 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality": op10_quality,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_substrings": windows.ORACLE_SQL,
     "op7_line_chunks": line_chunks.ORACLE_SQL,
+    "op12_periodic_runs": runs.ORACLE_SQL,
 }
