@@ -60,3 +60,10 @@ def small(batches: Iterator[pd.Series], rows: int = 500) -> Iterator[pd.Series]:
     for batch in batches:
         for start in range(0, len(batch), rows):
             yield batch.iloc[start : start + rows]
+
+
+def crc32_sql(number: str) -> str:
+    """DuckDB expression of crc32 over a number's decimal digits, bit by bit: DuckDB has no such function."""
+    bits = f"flatten([[ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for c in string_split(({number})::VARCHAR, '')])"
+    step = "xor(xor(x, v) >> 1, (xor(x, v) & 1) * 3988292384::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda x, v: {step}), 4294967295::BIGINT)"

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, runs, sharding, spm, token_shards, toxicity, windows
+from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, parity, runs, sharding, spm, token_shards, toxicity, trie, windows
 from terrace.llm.common import table
 from terrace.session import work_folder
 from terrace.sources import storage
@@ -100,6 +100,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _fold(F.col("doc_id"), 3) == 1, gam.score(model, F.col("text")))
 
 
+def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.link(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     seed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
@@ -114,6 +118,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return trie.trie(*trie.with_shared_openings(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
@@ -125,11 +134,16 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality": op10_quality,
+    "op11_parity_join": op11_parity_join,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_minhash": parity.oracle_sql(3, 85, kept=True),
     "op6_substrings": windows.ORACLE_SQL,
     "op7_line_chunks": line_chunks.ORACLE_SQL,
+    "op11_parity_join": parity.oracle_sql(5, 80),
     "op12_periodic_runs": runs.ORACLE_SQL,
+    "op13_prefix_trie": trie.ORACLE_SQL,
 }

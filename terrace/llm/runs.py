@@ -34,7 +34,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import small, word_list
+from terrace.llm.common import crc32_sql, small, word_list
 
 LEAST_LENGTH = 24
 LEAST_POWERS = 3
@@ -271,11 +271,10 @@ def with_tail_repeated(texts: pd.Series, seeds: pd.Series) -> pd.Series:
 
 # The query in SQL for a table documents(doc_id, text) with unique ids. Periods to try are the distances
 # at which some aligned block of eight words stands again; every run holds such a block.
-ORACLE_SQL = r"""
+ORACLE_SQL = rf"""
 WITH hashed AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for c in string_split(doc_id::VARCHAR, '')])),
-      lambda x, v: xor(xor(x, v) >> 1, (xor(x, v) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT) AS h
+    {crc32_sql("doc_id")} AS h
   FROM documents
 ), shaped AS (
   SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS periodic,
