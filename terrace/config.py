@@ -48,6 +48,7 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# The tables of the layers.
 SILVER_TABLES = (
     "customers", "geolocation", "orders", "order_items",
     "order_payments", "order_reviews", "products", "sellers",
@@ -58,12 +59,20 @@ GOLD_TABLES = (
     "fact_order_items", "fact_orders", "fact_payments", "fact_reviews",
 )
 
+# Raw columns that hold moments.
 ORDER_DATE_COLUMNS = (
     "order_purchase_timestamp", "order_approved_at",
     "order_delivered_carrier_date", "order_delivered_customer_date",
     "order_estimated_delivery_date",
 )
 
+DATE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "orders": ORDER_DATE_COLUMNS,
+    "order_items": ("shipping_limit_date",),
+    "order_reviews": ("review_creation_date", "review_answer_timestamp"),
+}
+
+# Numeric raw columns of the products.
 PRODUCT_MEASURES = (
     "product_name_lenght", "product_description_lenght", "product_photos_qty",
     "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",

@@ -24,3 +24,12 @@ def strict_int(value: Column, name: str) -> Column:
         F.coalesce(value.cast("string"), F.lit("null")),
     )
     return F.when(number.isNull(), F.raise_error(problem)).otherwise(number)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of addition, as a double.
+
+    Amounts are added as decimals with twelve places and turned back at the end, so a run with
+    other partitions gives the same bytes.
+    """
+    return F.sum(value.cast("decimal(28,12)")).cast("double")

@@ -45,6 +45,7 @@ def first_duplicated_rows(df: DataFrame, key: str, rows: int, then: list[str]) -
     cover the answer; only those few are joined back.
     """
     smallest = duplicated_keys(df, [key]).select(key).orderBy(F.col(key).asc_nulls_last()).limit(rows)
+    # At most ``rows`` keys.
     found = df.join(F.broadcast(smallest), df[key].eqNullSafe(smallest[key]), "left_semi")
     return found.orderBy(F.col(key).asc_nulls_last(), *then).limit(rows)
 
@@ -52,12 +53,7 @@ def first_duplicated_rows(df: DataFrame, key: str, rows: int, then: list[str]) -
 def _rows_of(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     from terrace.operators.joins import balanced_join
 
-    # Null never equals null in a join, so the null group is told apart by a flag.
-    flagged = df.withColumn("_missing", F.col(key).isNull()).withColumn(
-        "_match", F.coalesce(F.col(key).cast("string"), F.lit(""))
-    )
-    keys = wanted.select(
-        F.col(key).isNull().alias("_missing"),
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_match"),
-    )
-    return balanced_join(flagged, keys, ["_match", "_missing"], "left_semi").drop("_missing", "_match")
+    # A struct around the key: two empty ones are equal, so the null group needs no flag, and the
+    # value keeps its type, with zeros of either sign and all NaNs equal as in the grouping.
+    match = F.struct(F.col(key).alias("key")).alias("_match")
+    return balanced_join(df.select("*", match), wanted.select(match), "_match", "left_semi").select(*df.columns)

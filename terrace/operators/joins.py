@@ -3,10 +3,10 @@
 A right side that reads little needs no care: Spark checks its size, before or
 during the run, and broadcasts it or not; no hint forces it. Beyond that limit
 the join shuffles, and a hot key would send all its rows to one task.
-``balanced_join`` then spreads every such key over several salts. Keys are counted
-exactly, the answer is stored once and read by both sides, so every left row meets
-every matching right row exactly once. Both ways give the same rows and types: keys
-are brought to one type first.
+``balanced_join`` then spreads every such key over several salts. Which keys are hot is
+found without shuffling keys; the answer is stored once per table and key and read by both
+sides of every join that needs it, so every left row meets every matching right row exactly
+once. Both ways give the same rows and types: keys are brought to one type first.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.session import work_folder
 from terrace.sources.tables import materialise
 
 # A key is hot when one task would get more rows of it than this.
@@ -88,17 +89,66 @@ def _aligned(
     return fitted[0], fitted[1], fitted[2] if others is not None else None
 
 
+# A summary tracks at most so many keys: the engine's own limit for its sketch of frequent items.
+_MOST_TRACKED = 1_000_000
+# The sketch is off by at most 3.5 rows in (counters kept) rows, and reports a key only above twice that.
+_COUNTERS_PER_KEY = 8
+# Summaries of single tasks meet in so many groups before they meet in one.
+_GROUPS = 64
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
     """(keys, salts) of all keys too heavy for one task, null keys among them.
 
-    Rows are counted per key, partly before the shuffle, so a hot key arrives as one row
-    per task. There can be no more such keys than rows divided by the limit.
+    Rows are not counted per key. Every task keeps a bounded summary of the most frequent keys
+    (mergeable, after Misra and Gries), summaries are merged, and only the few candidates that the
+    merged one names are counted exactly, in a second scan of the key columns. The summary has
+    ``_COUNTERS_PER_KEY`` counters for each key that can exceed the limit, so its error stays below
+    the limit and it names them all; candidates below the limit drop out in the count. A table
+    that could hold more hot keys than a summary tracks is searched with a higher limit instead:
+    its largest keys still stand for no more than 8 rows in a million.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    salts = F.ceil(F.col("_n") / F.lit(rows_per_task or ROWS_PER_TASK)).cast("int")
+    limit = rows_per_task or ROWS_PER_TASK
+    rows = df.count()
+    tracked = min(_MOST_TRACKED, max(64, -(-_COUNTERS_PER_KEY * rows // limit)))
+    limit = max(limit, -(-_COUNTERS_PER_KEY * rows // _MOST_TRACKED))
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_hash"))
+    none = df.select(*keys, F.lit(0).alias("_salts")).limit(0)
+    if rows <= limit:
+        return none
+    grouped = hashed.groupBy((F.spark_partition_id() % _GROUPS).alias("_group")).agg(
+        F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_summary")
+    )
+    # Grouped, by a column that is the same everywhere: an empty partition has no summary to merge.
+    merged = grouped.groupBy((F.col("_group") * 0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(_summary, {tracked})").alias("_summary")
+    )
+    named = materialise(
+        merged.select(F.explode(F.expr(f"approx_top_k_estimate(_summary, {tracked})")).alias("_top")).select("_top.item"), "candidates"
+    )
+    # At most ``tracked`` hashes of 8 bytes, by the sketch's own bound.
+    met = hashed.join(F.broadcast(named), hashed["_hash"] == named["item"], "left_semi")
+    counted = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    salts = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
     return counted.select(*keys, salts.alias("_salts")).filter("_salts > 1")
 
 
+# Hot keys found before, by work folder, plan and keys: one search per table and key, shared by all joins.
+_FOUND: dict[tuple, list[tuple[DataFrame, DataFrame]]] = {}
+
+
+def known_hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
+    """``hot_keys``, stored; a table that was searched for the same keys before is not searched again."""
+    searched = df.select(*keys)
+    place = (work_folder(df.sparkSession), searched.semanticHash(), tuple(keys), rows_per_task or ROWS_PER_TASK)
+    for known, answer in _FOUND.get(place, []):
+        if known.sameSemantics(searched):
+            return answer
+    answer = materialise(hot_keys(searched, keys, rows_per_task), "hot-keys")
+    _FOUND.setdefault(place, []).append((searched, answer))
+    return answer
+
+
 def _met(left: str, right: str, keys: list[str]) -> Column:
     return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
@@ -121,7 +171,7 @@ def salted_join(
         raise ValueError(f"cannot salt a {how} join")
     keys = [on] if isinstance(on, str) else list(on)
     left, right, counted = _aligned(left, right, keys, keys_from)
-    hot = materialise(hot_keys(left if counted is None else counted, keys, rows_per_task), "hot-keys")
+    hot = known_hot_keys(left if counted is None else counted, keys, rows_per_task)
 
     row_hash = F.xxhash64(*[F.col(f"l.`{c}`") for c in left.columns])
     spread = left.alias("l").join(hot.alias("h"), _met("l", "h", keys), "left").select(

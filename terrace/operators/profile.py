@@ -17,27 +17,42 @@ _LONG_TEXT = 64
 def profile(df: DataFrame, table: str) -> DataFrame:
     """One row per column: type, table shape, nulls, distinct values.
 
-    Every column is counted per value on its own: the scan reads that column
-    only, values keep their native type, common values collapse before the
-    shuffle and no task ever holds the set of values of a column. Meant for
-    column-oriented storage; store parsed text first.
+    One scan and one exchange of values, however many columns there are. A row becomes a pair
+    (column number, value as text) per column; pairs are counted within each task before they are
+    dealt by both, so a common value travels as one row per task, no column meets in one place
+    and no task holds the set of values of a column. Values are told apart as their type does:
+    zeros of either sign are one value, and long text is compared by its SHA-256.
     """
     columns = [name for name in df.columns if name != config.POSITION]
     types = dict(df.dtypes)
+    if not columns:
+        return df.sparkSession.createDataFrame([], _PROFILE)
 
-    def counted(name: str) -> DataFrame:
-        value = f"`{name}`"
+    def text(name: str) -> Column:
+        value = F.col(f"`{name}`")
         if types[name] == "string":
-            value = f"CASE WHEN length({value}) > {_LONG_TEXT} THEN 'h' || sha2({value}, 256) ELSE 'v' || {value} END"
-        return df.selectExpr(f"{value} AS _value").groupBy("_value").count().selectExpr(
-            f"'{table}' AS table", f"'{name}' AS column", f"'{types[name]}' AS type",
-            f"{len(columns)} AS columns",
-            "coalesce(sum(count), 0) AS rows",
-            "coalesce(sum(count) FILTER (WHERE _value IS NULL), 0) AS nulls",
-            "count(_value) AS distinct_values",
-        )
+            return F.when(F.length(value) > _LONG_TEXT, F.concat(F.lit("h"), F.sha2(value, 256))).otherwise(F.concat(F.lit("v"), value))
+        # Adding zero makes -0.0 positive.
+        return (value + F.lit(0).cast(types[name]) if types[name] in ("double", "float") else value).cast("string")
+
+    pairs = df.select(F.posexplode(F.array(*[text(name) for name in columns])).alias("_no", "_value"))
+    counted = pairs.groupBy("_no", "_value").agg(F.count(F.lit(1)).alias("_n")).groupBy("_no").agg(
+        F.sum("_n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("_value").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
+        F.count("_value").alias("distinct_values"),
+    )
+    # One short row per column, joined so that a table without rows has its columns too.
+    named = df.sparkSession.createDataFrame(
+        [(i, table, name, types[name], len(columns)) for i, name in enumerate(columns)],
+        "_no int, table string, column string, type string, columns int",
+    )
+    zero = F.lit(0).cast("long")
+    return named.join(counted, "_no", "left").select(
+        "table", "column", "type", "columns", *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct_values")]
+    )
+
 
-    return union_all(counted(name) for name in columns)
+_PROFILE = "table string, column string, type string, columns int, rows long, nulls long, distinct_values long"
 
 
 def approximate_profile(df: DataFrame, table: str) -> DataFrame:

@@ -12,11 +12,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.functions.casts import exact_sum
 from terrace.operators.joins import balanced_join
 
 Gold = Mapping[str, DataFrame]
 
 
+def _money(column: str) -> Column:
+    """An amount as it is added up: a decimal, so that the order of addition does not matter."""
+    return F.col(column).cast("decimal(28,12)")
+
+
 def _delivered(gold: Gold) -> DataFrame:
     """Delivered orders with a known delay; late means at least one full day."""
     return gold["fact_orders"].filter(
@@ -81,10 +87,10 @@ def sales_trend(gold: Gold) -> DataFrame:
     # Items of one order in the same group collapse here, before orders are counted.
     groups = ["year", "month", "category", "customer_state"]
     per_order = placed.groupBy(*groups, "order_id").agg(
-        F.sum("price").alias("price"), F.count(F.lit(1)).alias("items")
+        F.sum(_money("price")).alias("price"), F.count(F.lit(1)).alias("items")
     )
     return per_order.groupBy(*groups).agg(
-        F.round(F.sum("price"), 4).alias("revenue"),
+        F.round(F.sum("price").cast("double"), 4).alias("revenue"),
         F.count(F.lit(1)).alias("order_count"),
         F.sum("items").alias("item_count"),
     )
@@ -125,7 +131,7 @@ def seller_performance(gold: Gold) -> DataFrame:
     """Revenue, items, orders and mean days from purchase to delivery, per seller."""
     items = gold["fact_order_items"]
     per_order = items.groupBy("order_id", "seller_key").agg(
-        F.sum("price").alias("price"), F.count(F.lit(1)).alias("items")
+        F.sum(_money("price")).alias("price"), F.count(F.lit(1)).alias("items")
     )
     days = gold["fact_orders"].select(
         "order_id",
@@ -133,7 +139,7 @@ def seller_performance(gold: Gold) -> DataFrame:
     )
     timed = balanced_join(per_order, days, "order_id", "left", keys_from=items)
     per_seller = timed.groupBy("seller_key").agg(
-        F.round(F.sum("price"), 4).alias("revenue"),
+        F.round(F.sum("price").cast("double"), 4).alias("revenue"),
         F.sum("items").alias("item_count"),
         F.count(F.lit(1)).alias("order_count"),
         F.round(F.avg("days"), 4).alias("mean_delivery_days"),
@@ -147,7 +153,7 @@ def seller_performance(gold: Gold) -> DataFrame:
 def payment_mix(gold: Gold) -> DataFrame:
     """Payments per type with their share; the shares look at one row per type."""
     per_type = gold["fact_payments"].groupBy("payment_type").agg(
-        F.count(F.lit(1)).alias("payments"), F.sum("payment_value").alias("value")
+        F.count(F.lit(1)).alias("payments"), exact_sum(F.col("payment_value")).alias("value")
     )
     everything = Window.partitionBy()
     return per_type.select(
@@ -176,6 +182,6 @@ def avg_order_value(gold: Gold) -> DataFrame:
     paid = gold["fact_orders"].filter("payment_method_count > 0")
     return paid.agg(
         F.count(F.lit(1)).alias("paid_orders"),
-        F.round(F.sum("total_payment_value"), 4).alias("total_value"),
-        F.round(F.sum("total_payment_value") / F.count(F.lit(1)), 4).alias("avg_order_value"),
+        F.round(exact_sum(F.col("total_payment_value")), 4).alias("total_value"),
+        F.round(exact_sum(F.col("total_payment_value")) / F.count(F.lit(1)), 4).alias("avg_order_value"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import config
+from terrace.functions.casts import exact_sum
 from terrace.functions.dates import date_key
 from terrace.operators.dedupe import first_per_key
 from terrace.operators.joins import balanced_join
@@ -151,7 +152,7 @@ def fact_order_items(
 
 def payment_rollup(order_payments: DataFrame) -> DataFrame:
     return staging.order_payments(order_payments).groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment_value"),
+        exact_sum(F.col("payment_value")).alias("total_payment_value"),
         F.count_distinct("payment_sequential").alias("payment_method_count"),
     )
 

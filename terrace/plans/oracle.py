@@ -236,18 +236,18 @@ _CTES: dict[str, str] = {
 }
 
 
-def _query(body: str) -> str:
+def _query(body: str, ctes: dict[str, str] = _CTES) -> str:
     """Prefix the body with the expressions it mentions, directly or not."""
     needed: set[str] = set()
 
     def visit(sql: str) -> None:
-        for name in _CTES:
+        for name in ctes:
             if name not in needed and re.search(rf"\b{name}\b", sql):
                 needed.add(name)
-                visit(_CTES[name])
+                visit(ctes[name])
 
     visit(body)
-    chain = [f"{name} as ({sql})" for name, sql in _CTES.items() if name in needed]
+    chain = [f"{name} as ({sql})" for name, sql in ctes.items() if name in needed]
     return ("with " + ",\n".join(chain) + "\n" if chain else "") + body
 
 
@@ -601,9 +601,21 @@ _BODIES: dict[str, str] = {
         union all
         select '2024-02-01', order_id::varchar, customer_id::varchar, {_ORDER_TEXT} from raw_orders""",
     "bronze_manifest": "\nunion all\n".join(
-        f"select '{table}' as table_name, '2024-01-01' as ingestion_date, count(*) as row_count from raw_{table}"
+        f"""select '{table}' as table_name, '2024-01-01' as ingestion_date, count(*) as row_count,
+                   true as all_files, true as all_bytes from raw_{table}"""
         for table in _TYPES
     ),
+    "bronze_timestamp_forms": """
+        select order_id::varchar as order_id,
+               case when order_id % 10 <> 3 then date_trunc('second', order_purchase_timestamp) end as order_purchase_timestamp,
+               date_trunc('second', order_approved_at) as order_approved_at,
+               date_trunc('day', order_delivered_carrier_date)::timestamp as order_delivered_carrier_date,
+               date_trunc('minute', order_delivered_customer_date) as order_delivered_customer_date,
+               date_trunc('second', order_estimated_delivery_date) as order_estimated_delivery_date
+        from raw_orders""",
+    "pipeline_catalog": """
+        select o.order_status, count(distinct o.order_id) as orders, count(i.order_id) as items, round(sum(i.price), 4) as revenue
+        from silver_orders o left join silver_order_items i on o.order_id = i.order_id group by o.order_status""",
     "pipeline_report": "\nunion all\n".join(
         f"""select '{layer}' as layer, '{table}' as "table", count(*) as rows_reported,
                    count(*) as rows_stored from {"silver_" if layer == "silver" else ""}{table}"""
@@ -612,4 +624,105 @@ _BODIES: dict[str, str] = {
     ),
 }
 
-ORACLE_SQL: dict[str, str] = {name: _query(body) for name, body in _BODIES.items()}
+
+# ------------------------------------------------------- two runs and their report
+
+# The raw tables of the second run: what the gate refused, mended.
+_MENDED = {
+    "raw_customers": "select * replace (trim(customer_state) as customer_state) from fed_customers where copy = 0",
+    "raw_orders": "select * replace (trim(lower(order_status)) as order_status) from fed_orders",
+    "raw_order_items": """
+        select order_id, order_item_id, min(product_id) as product_id, min(seller_id) as seller_id,
+               min(shipping_limit_date) as shipping_limit_date, min(price) as price, min(freight_value) as freight_value
+        from fed_order_items group by order_id, order_item_id""",
+    "raw_order_reviews": """
+        select review_id, order_id, min(review_score) as review_score, min(review_comment_title) as review_comment_title,
+               min(review_comment_message) as review_comment_message, min(review_creation_date) as review_creation_date,
+               min(review_answer_timestamp) as review_answer_timestamp
+        from fed_order_reviews group by review_id, order_id""",
+}
+_FED = {name.replace("raw_", "fed_"): _CTES[name] for name in _MENDED}
+
+# How cleaning turns a raw text column into the stored one.
+_CLEANED = {
+    **{
+        f"{table}.{prefix}_{part}": rule.format(f"{prefix}_{column}")
+        for table, prefix in (("customers", "customer"), ("geolocation", "geolocation"), ("sellers", "seller"))
+        for part, column, rule in (
+            ("zip_code_prefix", "zip_code_prefix", "lpad({0}, 5, '0')"),
+            ("city", "city", "trim(lower(strip_accents({0})))"), ("state", "state", "trim(upper({0}))"),
+        )
+    },
+    "orders.order_status": "trim(lower(order_status))",
+    "order_payments.payment_type": "trim(lower(payment_type))",
+    "products.product_category_name": "coalesce(product_category_name, 'unknown')",
+}
+
+_STORED = {
+    "orders": ("is_delivered", "delivery_delay_days"), "products": ("product_category_name_english",),
+}
+
+
+def _line(step: str, subject: str, metric: str, value: str, source: str) -> str:
+    return f"""select '{step}' as step, '{subject}' as subject, '{metric}' as metric, cast({value} as bigint) as value from {source}"""
+
+
+def _ruled(step: str, rules: str) -> str:
+    judged = f"({_JUDGED} from ({rules}))"
+    subject = """suite || '.' || "column" || ':' || rule"""
+    return f"""
+        select '{step}' as step, {subject} as subject, 'failures' as metric, cast(failures as bigint) as value from {judged}
+        union all select '{step}', {subject}, 'success', cast(success as bigint) from {judged}"""
+
+
+def _landed(day: str) -> list[str]:
+    return [
+        _line("bronze", table, metric, value, f"raw_{table}")
+        for table in _TYPES for metric, value in (("rows", "count(*)"), ("load_date", f"max({day})"))
+    ]
+
+
+def _silver_lines(table: str) -> list[str]:
+    columns = [c.partition(":")[0] for c in _TYPES[table]]
+    raw, stored = f"raw_{table}", f"silver_{table}"
+    lines = [_line("silver", table, "rows_in", "count(*)", raw), _line("silver", table, "rows", "count(*)", stored)]
+    for c in columns:
+        missing = f"{c} is null and not bad_carrier" if c == "order_delivered_carrier_date" else f"{c} is null"
+        lines.append(_line("silver", table, f"nulls_in.{c}", f"count(*) filter ({missing})", raw))
+        if f"{table}.{c}" in _CLEANED:
+            changed = f"count(*) filter ({c} is distinct from {_CLEANED[f'{table}.{c}']})"
+            lines.append(_line("silver", table, f"changed.{c}", changed, raw))
+    lines += [_line("silver", table, f"nulls.{c}", f"count(*) filter ({c} is null)", stored) for c in (*columns, *_STORED.get(table, ()))]
+    match table:
+        case "customers":
+            lines.append(_line("silver", table, "duplicates_dropped", f"(select count(*) from {raw}) - count(*)", stored))
+        case "geolocation":
+            inside = "geolocation_lat between -34 and 6 and geolocation_lng between -74 and -32"
+            lines.append(_line("silver", table, "out_of_range", f"count(*) filter (not coalesce({inside}, false))", raw))
+        case "orders":
+            lines.append(_line("silver", table, "unparsed", "count(*) filter (bad_carrier)", raw))
+        case "order_items" | "order_reviews":
+            lines.append(_line("silver", table, "unparsed", "0 * count(*)", raw))
+        case "products":
+            lines.append(_line("silver", table, "category_filled", "count(*) filter (product_category_name is null)", raw))
+            known = "product_category_name in (select product_category_name from raw_category_translation)"
+            lines.append(_line("silver", table, "untranslated", f"count(*) filter (not {known})", stored))
+    return lines
+
+
+def _two_runs() -> str:
+    """The report of both runs; the first is spelled out in a query of its own, over the tables as they are."""
+    stopped = "\nunion all\n".join([*_landed("20240101"), _ruled("gate", _RAW_RULES)])
+    whole = "\nunion all\n".join([
+        *_landed("20240102"), _ruled("gate", _RAW_RULES),
+        *[line for table in _LAYERS["silver"] for line in _silver_lines(table)],
+        *[_line("gold", table, "rows", "count(*)", table) for table in _LAYERS["gold"]],
+        _ruled("tests", _MODEL_RULES), _ruled("calendar", _COVERAGE_RULES),
+    ])
+    mended = {**_FED, **_CTES, **_MENDED}
+    return f"""
+        select '2024-01-01' as run, * from ({_query(stopped)})
+        union all select '2024-01-02' as run, * from ({_query(whole, mended)})"""
+
+
+ORACLE_SQL: dict[str, str] = {name: _query(body) for name, body in _BODIES.items()} | {"pipeline_run": _two_runs()}

@@ -6,6 +6,8 @@ Narrow projections except where noted. The functions accept raw columns as text
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,30 @@ def _address(prefix: str) -> dict[str, Column]:
     }
 
 
+def cleaners(table: str) -> dict[str, Column]:
+    """The text columns of a table that are cleaned in place, and how."""
+    match table:
+        case "customers" | "geolocation":
+            return _address(table.removesuffix("s"))
+        case "sellers":
+            return _address("seller")
+        case "orders":
+            return {"order_status": clean_label(F.col("order_status"))}
+        case "order_payments":
+            return {"payment_type": clean_label(F.col("payment_type"))}
+        case "products":
+            return {"product_category_name": F.coalesce("product_category_name", F.lit(config.UNKNOWN_CATEGORY))}
+    return {}
+
+
+# Form of each moment column, by name; a column without one takes any form, value by value.
+Forms = Mapping[str, str | None]
+
+
+def _moments(table: str, forms: Forms | None) -> dict[str, Column]:
+    return {c: parse_timestamp(F.col(c), (forms or {}).get(c)) for c in config.DATE_COLUMNS[table]}
+
+
 def customers(raw: DataFrame) -> DataFrame:
     """Clean addresses; one row per customer_id, the first in file order (one shuffle).
 
@@ -32,7 +58,7 @@ def customers(raw: DataFrame) -> DataFrame:
     """
     columns = list(config.RAW_COLUMNS["customers"])
     first = keep_first(raw.select(*columns, config.POSITION), ["customer_id"])
-    return first.select(*columns).withColumns(_address("customer"))
+    return first.select(*columns).withColumns(cleaners("customers"))
 
 
 def geolocation_points(raw: DataFrame) -> DataFrame:
@@ -44,7 +70,7 @@ def geolocation_points(raw: DataFrame) -> DataFrame:
         raw.select(*columns)
         .withColumns({"geolocation_lat": lat, "geolocation_lng": lng})
         .filter(in_box())
-        .withColumns(_address("geolocation"))
+        .withColumns(cleaners("geolocation"))
     )
 
 
@@ -73,8 +99,8 @@ def geolocation(raw: DataFrame) -> DataFrame:
     )
     points = F.sum(F.when(F.col("kind") == "city", F.col("points")))
     return counted.groupBy(zip_code).agg(
-        (F.sum("lat") / points).alias("geolocation_lat"),
-        (F.sum("lng") / points).alias("geolocation_lng"),
+        (F.sum("lat").cast("double") / points).alias("geolocation_lat"),
+        (F.sum("lng").cast("double") / points).alias("geolocation_lng"),
         _most_frequent("city").alias("geolocation_city"),
         _most_frequent("state").alias("geolocation_state"),
     )
@@ -83,7 +109,8 @@ def geolocation(raw: DataFrame) -> DataFrame:
 def _name(kind: str, lat: Column, lng: Column) -> Column:
     return F.struct(
         F.lit(kind).alias("kind"), F.col(f"geolocation_{kind}").alias("value"),
-        lat.cast("double").alias("lat"), lng.cast("double").alias("lng"),
+        # Decimals add up to the same sum in any order.
+        lat.cast("decimal(28,12)").alias("lat"), lng.cast("decimal(28,12)").alias("lng"),
     )
 
 
@@ -93,11 +120,8 @@ def _most_frequent(kind: str) -> Column:
     return F.min(F.when(named, F.struct(-F.col("points"), F.col("value"))))["value"]
 
 
-def orders(raw: DataFrame) -> DataFrame:
-    typed = raw.select(*config.RAW_COLUMNS["orders"]).withColumns(
-        {c: parse_timestamp(F.col(c)) for c in config.ORDER_DATE_COLUMNS}
-        | {"order_status": clean_label(F.col("order_status"))}
-    )
+def orders(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
+    typed = raw.select(*config.RAW_COLUMNS["orders"]).withColumns(_moments("orders", forms) | cleaners("orders"))
     return typed.withColumns({
         "is_delivered": F.coalesce(F.col("order_status") == "delivered", F.lit(False)),
         "delivery_delay_days": elapsed_days(
@@ -106,26 +130,22 @@ def orders(raw: DataFrame) -> DataFrame:
     })
 
 
-def order_items(raw: DataFrame) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["order_items"]).withColumns({
-        "shipping_limit_date": parse_timestamp(F.col("shipping_limit_date")),
+def order_items(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
+    return raw.select(*config.RAW_COLUMNS["order_items"]).withColumns(_moments("order_items", forms) | {
         "price": strict_double(F.col("price")),
         "freight_value": strict_double(F.col("freight_value")),
     })
 
 
 def order_payments(raw: DataFrame) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["order_payments"]).withColumns({
-        "payment_type": clean_label(F.col("payment_type")),
+    return raw.select(*config.RAW_COLUMNS["order_payments"]).withColumns(cleaners("order_payments") | {
         "payment_value": strict_double(F.col("payment_value")),
         "payment_installments": strict_int(F.col("payment_installments"), "payment_installments"),
     })
 
 
-def order_reviews(raw: DataFrame) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["order_reviews"]).withColumns({
-        "review_creation_date": parse_timestamp(F.col("review_creation_date")),
-        "review_answer_timestamp": parse_timestamp(F.col("review_answer_timestamp")),
+def order_reviews(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
+    return raw.select(*config.RAW_COLUMNS["order_reviews"]).withColumns(_moments("order_reviews", forms) | {
         "review_score": strict_int(F.col("review_score"), "review_score"),
     })
 
@@ -136,8 +156,7 @@ def products(raw: DataFrame, translation: DataFrame, flags: bool = False) -> Dat
     ``flags`` adds ``_untranslated`` for the load report; the table writer is told to drop it.
     """
     filled = raw.select(*config.RAW_COLUMNS["products"]).withColumns(
-        {"product_category_name": F.coalesce("product_category_name", F.lit(config.UNKNOWN_CATEGORY))}
-        | {c: strict_double(F.col(c)) for c in config.PRODUCT_MEASURES}
+        cleaners("products") | {c: strict_double(F.col(c)) for c in config.PRODUCT_MEASURES}
     )
     english = translation.select(*config.RAW_COLUMNS["category_translation"])
     found = balanced_join(filled, english, "product_category_name", "left")
@@ -150,4 +169,4 @@ def products(raw: DataFrame, translation: DataFrame, flags: bool = False) -> Dat
 
 
 def sellers(raw: DataFrame) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["sellers"]).withColumns(_address("seller"))
+    return raw.select(*config.RAW_COLUMNS["sellers"]).withColumns(cleaners("sellers"))

@@ -15,14 +15,16 @@ from terrace.sources.tables import materialise
 Store = Callable[[DataFrame, str], DataFrame]
 
 
-def silver_table(raw: Mapping[str, DataFrame], table: str) -> DataFrame:
+def silver_table(raw: Mapping[str, DataFrame], table: str, forms: silver.Forms | None = None) -> DataFrame:
     if table == "products":
         return silver.products(raw["products"], raw["category_translation"])
+    if table in config.DATE_COLUMNS:
+        return getattr(silver, table)(raw[table], forms)
     return getattr(silver, table)(raw[table])
 
 
 class Warehouse:
-    """Silver as plans over raw; dimensions, bridge and facts stored when first used.
+    """Silver tables; dimensions, bridge and facts stored when first used.
 
     Each gold table is written once and read back by whatever needs it next, so
     surrogate keys stay the same and no report repeats the work of a fact.
@@ -45,7 +47,10 @@ class Warehouse:
 
     @classmethod
     def from_raw(cls, spark: SparkSession, raw: Mapping[str, DataFrame], **options) -> Warehouse:
-        return cls(spark, LazyTables(config.SILVER_TABLES, lambda t: silver_table(raw, t)), **options)
+        """Silver is stored when first used, as the daily run stores it: gold plans read the same kind of tables."""
+        return cls(spark, LazyTables(
+            config.SILVER_TABLES, lambda t: materialise(silver_table(raw, t), f"silver-{t}")
+        ), **options)
 
     def build(self, table: str) -> DataFrame:
         """Plan of one gold table (or of the customer bridge)."""

@@ -6,7 +6,6 @@ glob takes files from several folders, ``<file>`` keeps the folders that tell th
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -18,7 +17,7 @@ from terrace import config
 from terrace.functions.text import blank_to_null
 from terrace.operators.union import union_all
 from terrace.sources import storage
-from terrace.sources.tables import materialise
+from terrace.sources.tables import current_attempt, load_folder, materialise, write_table
 
 MANIFEST_COLUMNS = (
     "table_name", "source_file", "s3_key", "row_count", "file_size_bytes",
@@ -36,25 +35,26 @@ class Landing:
     missing: tuple[str, ...]
 
 
-def _file_copier():
-    """The task that streams files to their place and tells what it copied.
+def _file_worker(job: str):
+    """The task that copies or deletes files, one per row, or lists folders, wherever Arrow reaches.
 
-    The bytes go to a name of their own first and are moved into place at the
-    end, so a task that dies half-way leaves no half file under the final name
-    and its retry starts over. An inner function, so that Spark ships its code
-    and executors need not have this package installed.
+    Copied bytes go to a name of their own first and are moved into place at the end, so a task
+    that dies half-way leaves no half file under the final name and its retry starts over. What
+    such a task left is hidden from readers and deleted by the next load of the date. An inner
+    function, so that Spark ships its code and executors need not have this package installed.
     """
     chunk_bytes = 8 << 20
 
-    def copy(batches):
-        import uuid
-        from datetime import datetime, timezone
+    def place(uri):
         from urllib.parse import quote
 
         from pyarrow import fs
 
-        def place(uri):
-            return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
+        return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
+
+    def copy(batches):
+        import uuid
+        from datetime import datetime, timezone
 
         for batch in batches:
             sizes, times = [], []
@@ -74,7 +74,35 @@ def _file_copier():
                 times.append(datetime.now(timezone.utc).isoformat())
             yield batch[["entity", "source_file", "key"]].assign(file_size_bytes=sizes, uploaded_at=times)
 
-    return copy
+    def delete(batches):
+        for batch in batches:
+            for target in batch["target"]:
+                to_fs, to_path = place(target)
+                to_fs.delete_file(to_path)
+            yield batch[["target"]]
+
+    def list_below(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch["folder"]:
+                there, path = place(folder)
+                found = there.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+                names = [f"{folder}{info.path[len(path):]}" for info in found if info.type == fs.FileType.File]
+                yield pd.DataFrame({"target": pd.Series(names, dtype=object)})
+
+    return {"copy": copy, "delete": delete, "list": list_below}[job]
+
+
+# At most so many tasks copy files; each takes its share of the list.
+_COPY_TASKS = 10_000
+
+
+def listed(spark: SparkSession, pattern: str) -> DataFrame:
+    """(uri, bytes) of the files that match a path or glob; names and sizes only, no content is read."""
+    found = spark.read.format("binaryFile").load(pattern)
+    return found.select(F.col("path").alias("uri"), F.col("length").alias("bytes"))
 
 
 def land(
@@ -86,67 +114,88 @@ def land(
 ) -> Landing:
     """Copy the source files of one day, count their records, write the manifest.
 
-    A source without a file is reported, not fatal. Running a date again replaces
-    its files, and files that left the feed go once the new ones are in place;
-    another date adds folders. The driver handles names only: files are copied by
-    tasks, one file each, and counted by a CSV scan of the copies.
+    A source without a file is reported, not fatal. Running a date again replaces its files:
+    once the new ones are in place, every file of any of the sources that this run did not
+    bring is deleted, also where a source brought nothing at all. Another date adds folders.
+    The list of files is a table: it is made by a scan of names, copied and deleted by tasks,
+    and counted by a CSV scan of the copies. The driver sees one row per source.
     """
     sources = sources or config.sources()
     if not storage.exists(spark, raw_dir):
         raise FileNotFoundError(f"raw folder does not exist: {raw_dir}")
     base = storage.qualified(spark, bronze_dir).rstrip("/")
-
-    jobs, missing = [], []
-    for entity, source in sources.items():
-        files = storage.matching_files(spark, f"{raw_dir.rstrip('/')}/{source.file_name}")
-        if not files:
-            missing.append(source.file_name)
-        for uri in files:
-            name = _below(storage.qualified(spark, raw_dir), source, uri)
-            key = f"{entity}/ingestion_date={ingestion_date}/{name}"
-            jobs.append((entity, name, key, uri, f"{base}/{key}"))
-    if not jobs:
-        return Landing(ingestion_date, None, (), tuple(missing))
-
-    wanted = spark.createDataFrame(jobs, "entity string, source_file string, key string, source string, target string")
+    feed = storage.qualified(spark, raw_dir).rstrip("/")
+
+    jobs = {
+        entity: _jobs(spark, entity, source, feed, base, ingestion_date)
+        for entity, source in sources.items()
+        if storage.any_file(spark, f"{raw_dir.rstrip('/')}/{source.file_name}")
+    }
+    missing = tuple(source.file_name for entity, source in sources.items() if entity not in jobs)
+    wanted = materialise(union_all(jobs.values()), "wanted-files") if jobs else spark.createDataFrame([], _JOB)
+    files = {row["entity"]: row["n"] for row in wanted.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).collect()}
+    tasks = max(1, min(sum(files.values()), _COPY_TASKS))
     copied = materialise(
-        wanted.repartition(len(jobs)).mapInPandas(
-            _file_copier(),
+        wanted.repartition(tasks).mapInPandas(
+            _file_worker("copy"),
             "entity string, source_file string, key string, file_size_bytes long, uploaded_at string",
         ),
         "landed",
     )
-    entities = sorted({job[0] for job in jobs})
-    targets = {job[4] for job in jobs}
-    for entity in entities:
-        for old in storage.files_below(spark, f"{base}/{entity}/ingestion_date={ingestion_date}"):
-            if old not in targets:
-                storage.delete(spark, old)
-    counts = union_all(
-        _count_records(spark, sources[entity], [job[4] for job in jobs if job[0] == entity])
-        for entity in entities
-    )
+    _drop_left_files(spark, [f"{base}/{entity}/ingestion_date={ingestion_date}" for entity in sources], wanted)
+
+    counts = [_count_records(spark, sources[entity], f"{base}/{entity}/ingestion_date={ingestion_date}") for entity in sorted(files)]
+    counts = union_all(counts) if counts else spark.createDataFrame([], "key string, row_count long")
     # A null-safe match keeps Spark from testing the key per record instead of per file.
-    manifest = materialise(
-        copied.join(counts, copied["key"].eqNullSafe(counts["key"]), "left").select(
-            F.col("entity").alias("table_name"), "source_file", copied["key"].alias("s3_key"),
-            F.coalesce("row_count", F.lit(0)).alias("row_count"), "file_size_bytes",
-            "uploaded_at", F.lit(ingestion_date).alias("ingestion_date"),
-        ),
-        "manifest",
+    manifest = copied.join(counts, copied["key"].eqNullSafe(counts["key"]), "left").select(
+        F.col("entity").alias("table_name"), "source_file", copied["key"].alias("s3_key"),
+        F.coalesce("row_count", F.lit(0)).alias("row_count"), "file_size_bytes",
+        "uploaded_at", F.lit(ingestion_date).alias("ingestion_date"),
     )
-    # One short record per file that the driver listed above.
-    records = [row.asDict() for row in manifest.orderBy("s3_key").toLocalIterator()]
-    storage.write_text(
-        spark, f"{base}/_manifests/ingestion_manifest_{ingestion_date}.json", json.dumps(records, indent=2)
-    )
-    return Landing(ingestion_date, manifest, tuple(entities), tuple(missing))
+    written = write_table(manifest, f"{base}/_manifests", "ingestion_manifest", ingestion_date, file_format="json")
+    return Landing(ingestion_date, read_manifest(spark, bronze_dir, ingestion_date, written.path), tuple(sorted(files)), missing)
+
+
+_JOB = "entity string, source_file string, key string, source string, target string"
+_MANIFEST = (
+    "table_name string, source_file string, s3_key string, row_count long, file_size_bytes long, "
+    "uploaded_at string, ingestion_date string"
+)
 
 
-def _below(raw_dir: str, source: config.Source, uri: str) -> str:
-    """A file's path below the last folder that the source names without a wildcard."""
+def read_manifest(spark: SparkSession, bronze_dir: str, ingestion_date: str, path: str | None = None) -> DataFrame:
+    """The manifest in service for one date: JSON lines, one per landed file."""
+    path = path or current_attempt(spark, load_folder(f"{bronze_dir.rstrip('/')}/_manifests", "ingestion_manifest", ingestion_date))
+    if path is None:
+        raise FileNotFoundError(f"no manifest of {ingestion_date} under {bronze_dir}")
+    return spark.read.schema(_MANIFEST).json(path)
+
+
+def _jobs(spark: SparkSession, entity: str, source: config.Source, feed: str, base: str, day: str) -> DataFrame:
+    """What to copy where. A file keeps its path below the last folder that the source names without a wildcard."""
     fixed, _, _ = re.split(r"[*?\[{]", source.file_name, maxsplit=1)[0].rpartition("/")
-    return uri.removeprefix("/".join(filter(None, (raw_dir.rstrip("/"), fixed.strip("/"))))).lstrip("/")
+    above = "/".join(filter(None, (feed, fixed.strip("/"))))
+    files = listed(spark, f"{feed}/{source.file_name}")
+    # Schemes are written with one slash or three.
+    plain = F.regexp_replace("uri", "^file:/+", "file:/")
+    name = F.ltrim(F.substring(plain, len(re.sub("^file:/+", "file:/", above)) + 1, 1 << 20), F.lit("/"))
+    key = F.concat(F.lit(f"{entity}/ingestion_date={day}/"), name)
+    return files.select(
+        F.lit(entity).alias("entity"), name.alias("source_file"), key.alias("key"),
+        F.col("uri").alias("source"), F.concat(F.lit(f"{base}/"), key).alias("target"),
+    )
+
+
+def _drop_left_files(spark: SparkSession, folders: list[str], wanted: DataFrame) -> None:
+    """Delete, in tasks, all files of the folders that are not among the wanted targets.
+
+    Hidden names are listed too: a lost copy task may have left a part of a file under one.
+    """
+    asked = spark.createDataFrame([(folder,) for folder in folders], "folder string").repartition(len(folders))
+    there = asked.mapInPandas(_file_worker("list"), "target string")
+    keep = wanted.select(_key_of(F.col("target")).alias("kept"))
+    left = materialise(there.join(keep, _key_of(F.col("target")) == F.col("kept"), "left_anti"), "left-files")
+    left.mapInPandas(_file_worker("delete"), "target string").write.format("noop").mode("overwrite").save()
 
 
 def _csv(spark: SparkSession, source: config.Source):
@@ -161,16 +210,15 @@ def _csv(spark: SparkSession, source: config.Source):
 
 
 def _key_of(path: Column) -> Column:
-    decoded = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-    return F.regexp_extract(decoded, r"([^/]+/ingestion_date=[^/]+/.+)$", 1)
+    return F.regexp_extract(path, r"([^/]+/ingestion_date=[^/]+/.+)$", 1)
 
 
-def _count_records(spark: SparkSession, source: config.Source, paths: list[str]) -> DataFrame:
+def _count_records(spark: SparkSession, source: config.Source, folder: str) -> DataFrame:
     """(key, row_count): records per file, header excluded, quoted breaks respected."""
-    per_file = _csv(spark, source).csv(paths).groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
-    return per_file.select(_key_of(F.col("path")).alias("key"), "row_count")
+    rows = _csv(spark, source).option("recursiveFileLookup", True).csv(folder)
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+    # The scan gives paths in their URL form.
+    return per_file.select(_key_of(F.url_decode(F.regexp_replace("path", r"\+", "%2B"))).alias("key"), "row_count")
 
 
 def load_date(spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None) -> str:
@@ -178,8 +226,8 @@ def load_date(spark: SparkSession, bronze_dir: str, source: config.Source, until
     base = f"{bronze_dir.rstrip('/')}/{source.entity}"
     for folder in reversed(storage.child_folders(spark, base)):
         day = folder.partition("=")[2]
-        if folder.startswith("ingestion_date=") and (until is None or day <= until) and any(
-            not name.rpartition("/")[2].startswith(("_", ".")) for name in storage.files_below(spark, f"{base}/{folder}")
+        if folder.startswith("ingestion_date=") and (until is None or day <= until) and storage.holds_file(
+            spark, f"{base}/{folder}"
         ):
             return day
     raise FileNotFoundError(f"no load of {source.entity} under {base}" + (f" up to {until}" if until else ""))

@@ -20,10 +20,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
-def matching_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Full URIs of the files that match a path or glob, in name order."""
+def any_file(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob matches a file."""
     found = _fs(spark, pattern).globStatus(_path(spark, pattern)) or []
-    return sorted(status.getPath().toString() for status in found if status.isFile())
+    return any(status.isFile() for status in found)
+
+
+def holds_file(spark: SparkSession, path: str) -> bool:
+    """Whether a folder, or one below it, holds a file that readers see; the search ends with the first."""
+    if not exists(spark, path):
+        return False
+    found = _fs(spark, path).listFiles(_path(spark, path), True)
+    while found.hasNext():
+        if not found.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def files_below(spark: SparkSession, path: str) -> list[str]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from terrace import config
 from terrace.functions.casts import strict_double, strict_int
-from terrace.functions.dates import date_key, elapsed_days, parse_timestamp
+from terrace.functions.dates import date_key, elapsed_days, form_of, parse_timestamp
 from terrace.functions.text import blank_to_null, clean_city, clean_label, strip_accents, strip_space, zero_pad
 
 
@@ -66,8 +66,16 @@ def test_missing_value_tokens(spark):
 
 
 def test_parse_timestamp(spark):
-    texts = ["2018-01-01 10:00:00", "junk", "2018-13-01 00:00:00", "2018-01-01", "2018-01-01T10:00:00", None]
+    texts = ["2018-01-01 10:00:00", "junk", "2018-13-01 00:00:00", "2018", "20180101", None]
     assert apply(spark, parse_timestamp, texts) == [dt.datetime(2018, 1, 1, 10)] + [None] * 5
+    forms = ["2018-01-02", "2018-01-02T10:00:00", "2018-01-02 10:00:00.123456789", "2018-01-02 10:00", "2018/1/2", "01/02/2018 10:00:00"]
+    day, ten = dt.datetime(2018, 1, 2), dt.datetime(2018, 1, 2, 10)
+    assert apply(spark, parse_timestamp, forms) == [day, ten, ten.replace(microsecond=123456), ten, day, ten]
+    # With a form, the other forms are no moments.
+    for text, form, whole in zip(forms, ["date", "t_seconds", "fraction", "minutes", "slashes", "month_first"], apply(spark, parse_timestamp, forms), strict=True):
+        assert form_of(text) == form
+        assert apply(spark, lambda c, form=form: parse_timestamp(c, form), forms) == [whole if t == text else None for t in forms]
+    assert form_of("junk") is None and form_of(None) is None
 
 
 def test_timestamps_ignore_the_session_zone(spark):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from terrace.functions.casts import exact_sum
 from terrace.operators import joins
 from terrace.operators.dedupe import duplicated_rows, first_duplicated_rows, has_duplicates, keep_first
 from terrace.operators.joins import hot_keys, salted_join
@@ -89,11 +91,32 @@ def test_hot_keys_are_counted_once_per_join(spark, skewed, monkeypatch):
     real = joins.hot_keys
     monkeypatch.setattr(joins, "hot_keys", lambda *a: calls.append(a) or real(*a))
     right = spark.range(300).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    joined = salted_join(skewed, right, "k", "left", rows_per_task=100)
+    joined = salted_join(skewed, right, "k", "left", rows_per_task=90)
     # Both sides read the stored answer; the plan counts nothing.
     assert len(calls) == 1 and "Aggregate" not in plan(joined)
 
 
+def test_hot_keys_are_found_without_shuffling_keys(spark, skewed):
+    """Summaries and a count of candidates: no exchange carries the keys of the table."""
+    text = plan(hot_keys(skewed, ["k"], rows_per_task=100))
+    assert "approx_top_k" not in text.split("Exchange hashpartitioning(k")[-1]
+    exchanged = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanged) == 1 and "BroadcastHashJoin" in text  # the candidates' counts alone
+    none = hot_keys(skewed, ["k"], rows_per_task=5000)
+    assert none.count() == 0 and "Exchange" not in plan(none)
+
+
+def test_hot_keys_are_searched_once_per_table_and_key(spark, skewed, monkeypatch):
+    calls = []
+    real = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: calls.append(a) or real(*a))
+    right = spark.range(300).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    for _ in range(3):
+        salted_join(skewed, right, "k", "left", rows_per_task=70)
+    salted_join(skewed.select("row", "k"), right, "k", "inner", rows_per_task=70)
+    assert len(calls) == 1
+
+
 def test_salting_spreads_the_hot_key(spark, skewed, monkeypatch):
     right = spark.range(400).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -260,6 +283,28 @@ def test_profile(spark):
     assert [(r["rows"], r["nulls"], r["distinct_values"]) for r in empty] == [(0, 0, 0)] * 3
 
 
+def test_profile_takes_one_scan_and_one_exchange_of_values(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS a", "if(id % 2 = 0, 0.0D, -0.0D) AS z").write.parquet(f"{tmp_path}/t")
+    found = profile(spark.read.parquet(f"{tmp_path}/t"), "t")
+    text = plan(found)
+    assert {(r["column"], r["distinct_values"]) for r in found.collect()} == {("id", 100), ("a", 3), ("z", 1)}
+    assert text.count("FileScan parquet") == 1 and len(re.findall(r"Exchange hashpartitioning\(_no#\d+, _value", text)) == 1
+
+
+def test_rows_of_duplicates_keep_native_keys(spark):
+    zeros = spark.createDataFrame([(0.0, "a"), (-0.0, "b"), (3.0, "c"), (None, "d"), (None, "e"), (float("nan"), "f"), (float("nan"), "g")], "k double, v string")
+    assert sorted(r["v"] for r in duplicated_rows(zeros, "k").collect()) == list("abdefg")
+    whole = spark.createDataFrame([(2**62, 1), (2**62, 2), (2**62 + 1, 3)], "k long, v int")
+    found = duplicated_rows(whole, "k")
+    assert sorted(r["v"] for r in found.collect()) == [1, 2] and "cast(k" not in plan(found)
+
+
+def test_sums_of_amounts_do_not_depend_on_partitions(spark):
+    amounts = spark.range(5000).select((F.rand(3) * 1e6).alias("v")).cache()
+    sums = {amounts.repartition(n).agg(exact_sum(F.col("v")).alias("s")).first()["s"] for n in (1, 3, 7, 16)}
+    assert len(sums) == 1
+
+
 def test_key_differences_treat_null_as_a_key(spark):
     def keys(*values):
         return spark.createDataFrame([(v,) for v in values], "k string")

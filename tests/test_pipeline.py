@@ -9,12 +9,13 @@ from decimal import Decimal
 import pytest
 import retail
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from terrace import config
 from terrace.plans import checks, gold, pipeline, silver
 from terrace.plans.pipeline import Places
 from terrace.sources import bronze
-from terrace.sources.tables import latest_load, read_table, write_table
+from terrace.sources.tables import commit, latest_load, new_attempt, publish, published, read_table, write_table
 
 
 def rows(df, *columns):
@@ -49,7 +50,8 @@ def test_land_copies_bytes_and_writes_manifest(spark, tmp_path):
         assert copy.exists() is (name != "sellers.csv")
         if copy.exists():
             assert copy.read_bytes() == text.encode("utf-8")
-    manifest = json.loads((tmp_path / "b/_manifests/ingestion_manifest_2026-01-01.json").read_text())
+    parts = (tmp_path / "b/_manifests/ingestion_manifest/load_id=2026-01-01").glob("attempt=*/part-*.json")
+    manifest = [json.loads(line) for part in parts for line in part.read_text().splitlines()]
     found = {m["table_name"]: m for m in manifest}
     assert set(found) == set(config.RAW_COLUMNS) - {"sellers"}
     reviews = found["order_reviews"]
@@ -118,7 +120,7 @@ def test_land_many_files_of_one_entity(spark, tmp_path):
 def test_land_without_any_file(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     done = bronze.land(spark, str(tmp_path / "raw"), str(tmp_path / "b"), "2026-01-01")
-    assert done.landed == () and len(done.missing) == 9 and not (tmp_path / "b").exists()
+    assert done.landed == () and len(done.missing) == 9 and done.manifest.count() == 0
     with pytest.raises(FileNotFoundError):
         bronze.land(spark, str(tmp_path / "nowhere"), str(tmp_path / "b"), "2026-01-01")
 
@@ -328,7 +330,7 @@ def test_running_a_date_again_changes_nothing(spark, finished):
     before = rows(read_table(spark, places.gold, "fact_orders"))
     pipeline.run(spark, raw_dir, places, "2026-01-01")
     assert rows(read_table(spark, places.gold, "fact_orders")) == before
-    assert latest_load(spark, places.gold, "fact_orders").endswith("load_id=2026-01-01")
+    assert "/fact_orders/load_id=2026-01-01/attempt=" in latest_load(spark, places.gold, "fact_orders")
 
 
 def test_gate_stops_before_silver(spark, tmp_path):
@@ -341,12 +343,138 @@ def test_gate_stops_before_silver(spark, tmp_path):
     assert log.filter("step = 'gate' and metric = 'success' and value = 0").count() == 1
 
 
-def test_unfinished_load_is_not_served(spark, tmp_path):
+def broken(spark, rows: int):
+    """A table whose last task fails after the others wrote their files."""
+    fails = F.when(F.col("id") == rows - 1, F.raise_error(F.lit("killed"))).otherwise(F.col("id"))
+    return spark.range(0, rows, 1, 4).select(fails.alias("id"))
+
+
+def test_a_failed_rerun_leaves_the_load_in_service(spark, tmp_path):
     root = str(tmp_path)
     write_table(spark.range(3), root, "t", "2026-01-01")
-    written = write_table(spark.range(5), root, "t", "2026-01-02")
-    assert written.rows == 5 and read_table(spark, root, "t").count() == 5
-    (tmp_path / "t/load_id=2026-01-02/_SUCCESS").unlink()
+    with pytest.raises(PySparkException, match="killed"):
+        write_table(broken(spark, 8), root, "t", "2026-01-01")
+    assert read_table(spark, root, "t").count() == 3
+    with pytest.raises(PySparkException, match="killed"):
+        write_table(broken(spark, 8), root, "t", "2026-01-02")
     assert read_table(spark, root, "t").count() == 3
     with pytest.raises(FileNotFoundError):
         read_table(spark, root, "other")
+
+
+def test_readers_keep_their_files_while_a_load_is_replaced(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(spark.range(3), root, "t", "d1")
+    before = read_table(spark, root, "t")
+    write_table(spark.range(5), root, "t", "d1")
+    assert before.count() == 3 and read_table(spark, root, "t").count() == 5
+    # Two writers of one load: both files are whole, the later commit is served.
+    attempts = [new_attempt(f"{root}/t/load_id=d1") for _ in range(2)]
+    for n, path in zip((7, 9), attempts, strict=True):
+        spark.range(n).write.parquet(path)
+    for path in reversed(attempts):
+        commit(spark, path)
+    assert read_table(spark, root, "t").count() == 7
+    assert len(list((tmp_path / "t/load_id=d1").glob("attempt=*"))) == 2  # the current one and the one before
+    write_table(spark.range(1), root, "t", "d0")
+    assert read_table(spark, root, "t", until="d0").count() == 1 and read_table(spark, root, "t").count() == 7
+
+
+# ------------------------------------------------------- landing without loss
+
+
+def test_a_source_that_left_the_feed_leaves_the_date(spark, tmp_path):
+    sources = {e: config.sources()[e] for e in ("sellers", "order_payments")}
+    target = str(tmp_path / "b")
+    raw = retail.write(tmp_path / "raw")
+    bronze.land(spark, raw, target, "2026-01-01", sources)
+    (tmp_path / "raw/sellers.csv").unlink()
+    (tmp_path / "b/sellers/ingestion_date=2026-01-01/_sellers.csv.lost").write_text("half a co")
+    done = bronze.land(spark, raw, target, "2026-01-01", sources)
+    assert done.landed == ("order_payments",) and done.missing == ("sellers.csv",)
+    assert not list((tmp_path / "b/sellers").rglob("*.csv*"))
+    with pytest.raises(FileNotFoundError):
+        bronze.read_load(spark, target, sources["sellers"])
+    (tmp_path / "raw/order_payments.csv").unlink()
+    done = bronze.land(spark, raw, target, "2026-01-01", sources)
+    assert done.landed == () and bronze.read_manifest(spark, target, "2026-01-01").count() == 0
+    assert not list((tmp_path / "b/order_payments").rglob("*.csv"))
+
+
+# ------------------------------------------------------------- run ledger
+
+
+def test_a_run_goes_on_after_its_last_good_step(spark, tmp_path, monkeypatch):
+    places, raw = Places.under(str(tmp_path / "lake")), retail.write(tmp_path / "raw")
+    calls = []
+    for name in ("build_silver", "build_gold"):
+        real = getattr(pipeline, name)
+        monkeypatch.setattr(pipeline, name, lambda *a, _real=real, _name=name: calls.append(_name) or _real(*a))
+    landing = bronze.land
+    monkeypatch.setattr(bronze, "land", lambda *a: calls.append("land") or landing(*a))
+    results = checks.model_results
+    monkeypatch.setattr(checks, "model_results", lambda gold: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        pipeline.run(spark, raw, places, "2026-01-01")
+    monkeypatch.setattr(checks, "model_results", results)
+    whole = rows(pipeline.run(spark, raw, places, "2026-01-01", resume=True), "step", "subject", "metric", "value")
+    assert calls == ["land", "build_silver", "build_gold"]
+    assert {r[0] for r in whole} == {"bronze", "gate", "silver", "gold", "tests", "calendar"}
+    # Another run from the start records its steps anew; nothing recorded before counts after it.
+    calls.clear()
+    again = rows(pipeline.run(spark, raw, places, "2026-01-01"), "step", "subject", "metric", "value")
+    assert calls == ["land", "build_silver", "build_gold"] and again == whole
+
+
+def test_metrics_of_every_transform(finished):
+    found = {(r["subject"], r["metric"]): r["value"] for r in finished[2] if r["step"] == "silver"}
+    for name in config.SILVER_TABLES:
+        assert {f"nulls_in.{c}" for c in config.RAW_COLUMNS[name]} <= {m for t, m in found if t == name}
+        assert found[name, "rows_in"] >= found[name, "rows"] > 0
+    assert found["customers", "changed.customer_city"] == 5 and found["customers", "changed.customer_zip_code_prefix"] == 4
+    assert found["products", "nulls_in.product_category_name"] == 1 and found["products", "nulls.product_category_name"] == 0
+    assert found["orders", "unparsed"] == 2 and found["order_items", "unparsed"] == 1
+
+
+def test_moments_follow_the_form_of_their_column(spark, tmp_path):
+    header = ",".join(config.RAW_COLUMNS["order_items"]) + "\n"
+    text = header + "".join(f"o{i},1,p,s,{m},1,1\n" for i, m in enumerate(["", "2018-01-05T10:00:00", "2018-01-06 10:00:00", "2018-01-07"]))
+    raw = retail.write(tmp_path / "raw", order_items=text)
+    places = Places.under(str(tmp_path / "lake"))
+    sources = config.sources()
+    bronze.land(spark, raw, places.bronze, "2026-01-01", sources)
+    tables, forms = pipeline.parsed_raw(spark, places, sources)
+    assert forms["shipping_limit_date"] == "t_seconds" and forms["order_purchase_timestamp"] == "seconds"
+    assert forms["order_delivered_carrier_date"] is None
+    found = rows(silver.order_items(tables["order_items"], forms), "order_id", "shipping_limit_date")
+    assert found == {("o0", None), ("o1", dt.datetime(2018, 1, 5, 10)), ("o2", None), ("o3", None)}
+
+
+# --------------------------------------------------------------- catalogue
+
+
+def test_readers_of_a_snapshot_see_one_load_while_the_next_is_published(spark, tmp_path, monkeypatch):
+    root, names = str(tmp_path), ("a", "b")
+    for name in names:
+        write_table(spark.range(1), root, name, "d1")
+    first = publish(spark, "shelf", root, names)
+    assert published(spark, "shelf") == first
+    for name in names:
+        write_table(spark.range(2), root, name, "d2")
+    seen = []
+    real = type(spark).sql
+
+    def watched(self, text, *args, **kwargs):
+        now = published(self, "shelf") if text.startswith(("CREATE", "ALTER")) else None
+        if now:
+            seen.append(tuple(self.table(f"{now}.{name}").count() for name in names))
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    second = publish(spark, "shelf", root, names)
+    monkeypatch.undo()
+    assert set(seen) == {(1, 1), (2, 2)}  # never one table of each load
+    assert published(spark, "shelf") == second != first
+    assert spark.table(f"{first}.a").count() == 1 and spark.table("shelf.a").count() == 2
+    publish(spark, "shelf", root, names, "d1")
+    assert spark.table("shelf.b").count() == 1 and not spark.catalog.databaseExists(first)
