@@ -12,6 +12,11 @@ That bound is used twice:
   left out: they say nothing and nearly all sets have some. A pair can depend on them only
   if both sets leave ``blocks - spread`` pieces or more empty; such hollow sets, about one in
   a thousand by the choice of ``blocks``, emit their empty pieces too. No link is lost.
+* Fewer candidates, by the same count. A linked pair shares ``told - spread`` buckets or more,
+  where ``told`` is the number of a set's pieces that are not empty. So each class may leave out
+  all but one of as many buckets: the most crowded ones, in an order that holds for all classes.
+  Of the buckets that a linked pair shares neither leaves out the least crowded one. Pieces that
+  hold nothing but a passage found in many texts go this way, before anything is compared.
 * Refutation. Sketches folded to four to eight bits per shingle are compared bit by bit: a
   Hamming distance beyond the allowed difference refutes a pair without its sets.
 
@@ -141,19 +146,34 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+_SCHEME_BITS = 6
+
+
+def _pieces(hashes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the pieces with a shingle, where each starts): sorted hashes lie piece by piece."""
+    piece = ((hashes >> np.uint64(32)) * np.uint64(scheme.blocks)) >> np.uint64(32)
+    starts = np.flatnonzero(np.diff(piece, prepend=np.uint64(scheme.blocks)))
+    return piece[starts], starts
+
+
+def slack(hashes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """(scheme, buckets that a linked set shares at least) for all schemes of a set."""
+    return [(s.number, max(len(_pieces(hashes, s)[1]) - s.spread, 1)) for s in schemes(len(hashes), percent)]
+
+
 def piece_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Bucket keys of a set (sorted distinct hashes) in all its schemes."""
+    """Bucket keys of a set (sorted distinct hashes) in all its schemes; the low bits tell the scheme."""
     out = []
-    high, own = hashes >> np.uint64(32), _mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
+    own = _mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
     for scheme in schemes(len(hashes), percent):
-        # Pieces are equal ranges of the virtual sketch, so sorted hashes lie piece by piece.
-        piece = (high * np.uint64(scheme.blocks)) >> np.uint64(32)
-        starts = np.flatnonzero(np.diff(piece, prepend=np.uint64(scheme.blocks)))
-        label = _mixed(piece[starts] + np.uint64((scheme.number + 1) << 40))
-        out.append(_mixed(np.bitwise_xor.reduceat(own, starts) + label))
-        if scheme.blocks - len(starts) >= scheme.blocks - scheme.spread:
-            empty = np.setdiff1d(np.arange(scheme.blocks, dtype=np.uint64), piece[starts])
-            out.append(_mixed(empty + np.uint64((scheme.number + 1) << 40) + np.uint64(1 << 39)))
+        piece, starts = _pieces(hashes, scheme)
+        base = np.uint64((scheme.number + 1) << 40)
+        keys = [_mixed(np.bitwise_xor.reduceat(own, starts) + _mixed(piece + base))]
+        if len(starts) <= scheme.spread:
+            empty = np.setdiff1d(np.arange(scheme.blocks, dtype=np.uint64), piece)
+            keys.append(_mixed(empty + base + np.uint64(1 << 39)))
+        low = np.uint64((1 << _SCHEME_BITS) - 1)
+        out.append((np.concatenate(keys) & ~low) | (np.uint64(scheme.number) & low))
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
@@ -166,6 +186,7 @@ _SIGNED = T.StructType([
     T.StructField("cls", T.BinaryType()),
     T.StructField("short", T.LongType()),
     T.StructField("sketch", T.ArrayType(T.LongType())),
+    T.StructField("slack", T.ArrayType(T.StructType([T.StructField("scheme", T.LongType()), T.StructField("least", T.LongType())]))),
 ])
 
 
@@ -177,10 +198,11 @@ def _signed(settings: Settings, text: Column) -> Column:
             for t in texts:
                 s = shingle_set(t, settings.shingle)
                 if not len(s):
-                    out.append((0, None, 0, None))  # a null would make pandas round the longs
+                    out.append((0, None, 0, None, None))  # a null would make pandas round the longs
                     continue
                 digest = blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((len(s), digest, _short(digest), sketch(s)))
+                told = [{"scheme": k, "least": n} for k, n in slack(s, settings.percent)]
+                out.append((len(s), digest, _short(digest), sketch(s), told))
             yield pd.DataFrame(out, columns=_SIGNED.fieldNames())
 
     return signed(text)
@@ -319,6 +341,19 @@ def _crossing(mixed: DataFrame, classes: DataFrame, settings: Settings) -> DataF
     return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
 
 
+def _telling(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, cls): the buckets of each class, but for the most crowded ones that it may leave out."""
+    sizes = materialise(shared.groupBy("key").agg((F.count(F.lit(1)) + 1).alias("n"), F.min("first").alias("first")), "sizes")
+    later = balanced_join(shared.select("key", "short"), sizes.select("key", "n"), "key", "inner")
+    members = later.unionByName(sizes.select("key", F.col("first").alias("short"), "n"))
+    members = members.withColumn("scheme", F.col("key").bitwiseAND(F.lit((1 << _SCHEME_BITS) - 1)))
+    least = classes.select("cls", "short", F.explode("slack").alias("slack")).select("cls", "short", "slack.*")
+    # A class has no more buckets than shingles.
+    crowded_first = Window.partitionBy("cls", "scheme").orderBy(F.desc("n"), "key")
+    ranked = members.join(least, ["short", "scheme"]).withColumn("rank", F.row_number().over(crowded_first))
+    return ranked.filter(F.col("rank") >= F.col("least")).select("key", "cls")
+
+
 def link(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -327,43 +362,31 @@ def link(
     signed = materialise(rows.select("id", _signed(settings, F.col("text")).alias("s")).select("id", "s.*"), "signed")
     named = signed.filter("cls IS NOT NULL AND id IS NOT NULL")
     classes = materialise(
-        named.groupBy("cls").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "short", "sketch")]), "classes"
+        named.groupBy("cls").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in _SIGNED.fieldNames() if c != "cls"]), "classes"
     )
     shared = materialise(_shared_pieces(rows.filter("id IS NOT NULL"), settings), "shared")
-    shorts = classes.select("cls", "short")
-
-    def as_classes(found: DataFrame, **ends: str) -> DataFrame:
-        """Short class numbers turned into classes: ``as_classes(found, a="short")``."""
-        for name, column in ends.items():
-            found = found.join(shorts.select(F.col("short").alias(column), F.col("cls").alias(name)), column).drop(column)
-        return found
+    members = materialise(_telling(shared, classes), "members")
 
     # Texts under one id are one document.
     texts_of = named.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a <> z")
     links = materialise(named.join(texts_of.select("id", "a"), "id").select("a", F.col("cls").alias("b")).distinct(), "own-links")
 
-    first = as_classes(shared.select("short", "first").distinct(), a="short", b="first")
-    pairs = _likeliest(first, classes, settings)
-    links = links.union(_verified(materialise(pairs, "pairs"), rows, classes, settings))
-    roots = materialise(components(links), "roots")
-
-    members = shared.select("key", "short").union(shared.select("key", F.col("first").alias("short")).distinct())
-    for round_ in range(1, settings.rounds + 1):
-        labels = shorts.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-            "short", "cls", F.coalesce("root", "cls").alias("comp")
+    roots = components(links)
+    for round_ in range(settings.rounds + 1):
+        at = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
+            "key", "cls", F.coalesce("root", "cls").alias("comp")
         )
-        at = (members.join(labels, "short") if round_ == 1 else members.drop("comp").join(labels.drop("short"), "cls")).select("key", "cls", "comp")
         mixed = at.groupBy("key").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
             F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", "key", F.lit(round_))).alias("pick"),
         ).filter("lo <> hi").select("key", "pick")
-        members = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner"), "members")
+        at = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner"), "met")
         if round_ < settings.rounds:
-            pairs = members.filter(F.col("comp") != F.col("pick.comp")).select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct()
-            pairs = _likeliest(pairs, classes, settings)
+            apart = at.filter(F.col("comp") != F.col("pick.comp"))
+            pairs = _likeliest(apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct(), classes, settings)
         else:
-            pairs = _crossing(members.select("key", "cls", "comp"), classes, settings)
-        members = members.select("key", "cls", "comp")
+            pairs = _crossing(at.select("key", "cls", "comp"), classes, settings)
+        members = at.select("key", "cls")
         links = links.union(_verified(materialise(pairs, "pairs"), rows, classes, settings))
         roots = materialise(components(links), "roots")
 
