@@ -88,9 +88,9 @@ class Source:
     """One raw entity and the file (or glob of part files) that carries it.
 
     ``file_name`` is relative to the raw folder and may name a folder within it.
-    ``multi_line`` keeps quoted line breaks inside one record. Such files cannot
-    be split, so large entities should arrive as many files per load; switch it
-    off only for a feed known to hold one record per physical line.
+    ``multi_line`` keeps quoted line breaks inside one record. Large files of that kind are
+    cut between records before they are read, which copies them once; switch it off for a
+    feed known to hold one record per physical line, whose files Spark splits by itself.
     """
 
     entity: str

@@ -17,6 +17,7 @@ from terrace import config
 from terrace.functions.text import blank_to_null
 from terrace.operators.union import union_all
 from terrace.sources import storage
+from terrace.sources.cuts import cut_between_records
 from terrace.sources.tables import current_attempt, load_folder, materialise, write_table
 
 MANIFEST_COLUMNS = (
@@ -99,9 +100,9 @@ def _file_worker(job: str):
 _COPY_TASKS = 10_000
 
 
-def listed(spark: SparkSession, pattern: str) -> DataFrame:
-    """(uri, bytes) of the files that match a path or glob; names and sizes only, no content is read."""
-    found = spark.read.format("binaryFile").load(pattern)
+def listed(spark: SparkSession, pattern: str, below: bool = False) -> DataFrame:
+    """(uri, bytes) of the files that match a path or glob, or lie ``below`` it; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", below).load(pattern)
     return found.select(F.col("path").alias("uri"), F.col("length").alias("bytes"))
 
 
@@ -233,14 +234,26 @@ def load_date(spark: SparkSession, bronze_dir: str, source: config.Source, until
     raise FileNotFoundError(f"no load of {source.entity} under {base}" + (f" up to {until}" if until else ""))
 
 
-def read_load(spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None) -> DataFrame:
+# A file of quoted records larger than this is cut before it is read.
+CUT_BYTES = 256 << 20
+
+
+def read_load(
+    spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None, cut_bytes: int = CUT_BYTES
+) -> DataFrame:
     """The newest load (up to a date) as text columns, missing-value tokens turned into null.
 
     Adds the position of each row in its file. Within one scanned split the
-    generated id grows in file order, and splits are ordered by their start.
+    generated id grows in file order, and splits are ordered by their start. Where records may
+    hold line breaks and a file is larger than ``cut_bytes``, the load is cut between records
+    first, and its pieces are read by a task each.
     """
     day = load_date(spark, bronze_dir, source, until)
     path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}"
+    if source.multi_line:
+        files = listed(spark, path, below=True)
+        if not files.filter(F.col("bytes") > cut_bytes).isEmpty():
+            path = cut_between_records(spark, files, cut_bytes)
     # Compare the header with the schema instead of trusting the order.
     scan = _csv(spark, source).option("enforceSchema", False).option("recursiveFileLookup", True).csv(path)
     position = F.struct(

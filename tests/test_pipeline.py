@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -401,6 +402,43 @@ def test_a_source_that_left_the_feed_leaves_the_date(spark, tmp_path):
     assert not list((tmp_path / "b/order_payments").rglob("*.csv"))
 
 
+@pytest.mark.parametrize("cut_bytes", [64, 700, 5000])
+def test_a_file_with_quoted_breaks_is_read_by_many_tasks(spark, tmp_path, cut_bytes):
+    """Cut anywhere, the pieces hold the records of the whole file, in order."""
+    rng = random.Random(cut_bytes)
+    header = ",".join(config.RAW_COLUMNS["order_reviews"]) + "\n"
+
+    def field() -> str:
+        text = "".join(rng.choice(["a", "é", ",", '"', "\n", "\r\n", " "]) for _ in range(rng.randint(0, 30)))
+        return '"' + text.replace('"', '""') + '"'
+
+    text = header + "".join(f"r{i},o{i},{i % 5 + 1},{field()},{field()},,x\n" for i in range(300))
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "order_reviews.csv").write_bytes(text.encode())
+    sources = {"order_reviews": config.sources()["order_reviews"]}
+    target = str(tmp_path / "b")
+    done = bronze.land(spark, str(raw), target, "2026-01-01", sources)
+    assert done.manifest.first()["row_count"] == 300
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        whole = bronze.read_load(spark, target, sources["order_reviews"])
+        cut = bronze.read_load(spark, target, sources["order_reviews"], cut_bytes=cut_bytes)
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert cut.select(F.spark_partition_id()).distinct().count() > 2
+        order = config.POSITION
+        assert [tuple(r)[:-1] for r in cut.orderBy(order).collect()] == [tuple(r)[:-1] for r in whole.orderBy(order).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # A stray quote: the file stays whole.
+    (raw / "order_reviews.csv").write_bytes(text.encode() + b'r9,o9,1,5" disk,x,,\n')
+    bronze.land(spark, str(raw), target, "2026-01-01", sources)
+    rows_ = [bronze.read_load(spark, target, sources["order_reviews"], cut_bytes=n).drop(order) for n in (cut_bytes, 1 << 20)]
+    assert rows(rows_[0]) == rows(rows_[1])
+
+
 # ------------------------------------------------------------- run ledger
 
 
