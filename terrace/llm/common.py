@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,24 @@ def only(docs: DataFrame, **names: str) -> DataFrame:
     return docs.select(*[quoted(name).alias(own) for own, name in names.items()])
 
 
+def bounded(rows: DataFrame, most: int, picked_by: list[Column], order: list[str]) -> DataFrame:
+    """The ``most`` rows with the smallest hashes of ``picked_by``; ties go by ``order``.
+
+    A threshold read off the number of rows lets few more than that many pass each scan, so what
+    is ordered, and what the tasks send on, does not grow with the rows or with the partitions.
+    """
+    total = rows.count()
+    place = F.xxhash64(*picked_by)
+    near = rows
+    if total > 2 * most:
+        # A margin of eight standard deviations and more.
+        share = (most + 8 * most**0.5 + 64) / total
+        near = rows.filter(place < F.lit(int(share * 2**64) - 2**63))
+        if near.limit(most).count() < most:
+            near = rows
+    return near.orderBy(place, *order).limit(most)
+
+
 def word_list(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
@@ -55,11 +75,11 @@ def pieces(rows: int, sizes: list[int], limit: int) -> Iterator[slice]:
         yield slice(start, rows)
 
 
-def small(batches: Iterator[pd.Series], rows: int = 500) -> Iterator[pd.Series]:
-    """The same rows in short batches: what is made of them leaves the worker sooner."""
+def small(batches: Iterator[pd.Series], rows: int = 500, chars: int = 2_000_000) -> Iterator[pd.Series]:
+    """The same texts in short batches, by rows and by characters: what is made of them leaves the worker sooner."""
     for batch in batches:
-        for start in range(0, len(batch), rows):
-            yield batch.iloc[start : start + rows]
+        for part in pieces(len(batch), [chars // rows + len(t or "") for t in batch], chars):
+            yield batch.iloc[part]
 
 
 def crc32_sql(number: str) -> str:
@@ -67,3 +87,40 @@ def crc32_sql(number: str) -> str:
     bits = f"flatten([[ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for c in string_split(({number})::VARCHAR, '')])"
     step = "xor(xor(x, v) >> 1, (xor(x, v) & 1) * 3988292384::BIGINT)"
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda x, v: {step}), 4294967295::BIGINT)"
+
+
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_KNOWN_WORDS = 100_000
+_hashes: dict[bytes, int] = {}
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes; words seen before by this worker are looked up."""
+    new = set(words).difference(_hashes)
+    if new:
+        if len(_hashes) > _KNOWN_WORDS:
+            _hashes.clear()
+            new = set(words)
+        _hashes.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
+    words = word_list(text)
+    words = [w.lower() for w in words]
+    if not words:
+        return np.zeros(0, np.uint64)
+    h = word_hashes(words)
+    width = min(width, len(words))
+    n = len(words) - width + 1
+    joined = np.full(n, width, np.uint64)
+    for k in range(width):
+        joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
+    return np.unique(joined)

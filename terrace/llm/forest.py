@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import fresh, only, quoted
+from terrace.llm.common import bounded, fresh, only, quoted
 from terrace.llm.textstats import COUNTS, FEATURES, features, stats
 from terrace.sources.tables import materialise
 
@@ -164,9 +164,7 @@ def fit(measured: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """
     marked = only(labels, id="doc_id", quality="quality").filter("quality IN (0, 1)").distinct()
     known = measured.join(marked, "id").filter(~base_failed(F.col("stat")))
-    sample = known.select("id", "quality", "stat.*").orderBy(
-        F.xxhash64("id"), "id", "quality", *COUNTS
-    ).limit(settings.fit_rows).toPandas()
+    sample = bounded(known.select("id", "quality", "stat.*"), settings.fit_rows, [F.col("id")], ["id", "quality", *COUNTS]).toPandas()
     forest = grow(features(sample)[:, _RULED], sample["quality"].to_numpy() == 1, settings)
     if forest is None:
         return Rules(None, _NO_LIMIT)
@@ -206,6 +204,8 @@ def keep_good(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """The documents that pass, with all their columns. Null ids are judged like any other."""
-    rules = fit(measure(docs, id_col, text_col), labels, settings)
+    # The statistics are stored with the rows: fitting and judging read them, no text is measured twice.
     stat = fresh(docs, "stat")
-    return docs.withColumn(stat, stats(quoted(text_col))).filter(rules.kept(F.col(stat))).drop(stat)
+    rows = materialise(docs.withColumn(stat, stats(quoted(text_col))), "measured")
+    rules = fit(rows.select(quoted(id_col).alias("id"), F.col(stat).alias("stat")), labels, settings)
+    return rows.filter(rules.kept(F.col(stat))).drop(stat)

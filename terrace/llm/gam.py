@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import only
+from terrace.llm.common import bounded, only
 from terrace.llm.textstats import COUNTS, features, log_odds, logistic, stats
 
 
@@ -169,7 +169,7 @@ def fit(
     Of several documents with one id, one is used.
     """
     marked = only(labels, id="doc_id", quality="quality").filter("id IS NOT NULL AND quality IN (0, 1)")
-    chosen = marked.orderBy(F.xxhash64("id"), "id", "quality").limit(settings.fit_rows)
+    chosen = bounded(marked, settings.fit_rows, [F.col("id")], ["id", "quality"])
     # Small by its bound, so the texts stay where they are.
     rows = only(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id")
     seen = (

@@ -3,19 +3,19 @@
 Texts with equal shingle sets form a class; from then on classes are the rows. Of every
 class's minima, bands of whole minima make bucket keys, and the low bits are packed into a
 signature. Two classes of one bucket are candidates if the collision-corrected similarity
-of their signatures, from bit counts, is not clearly below the threshold; candidates are
-confirmed on their full sets.
+of their signatures, from bit counts, is not clearly below the threshold, and if the exact
+bound of their parity sketches does not refute them; candidates are confirmed on full sets.
+How buckets become components without expanding them into pairs is told in ``linking``.
 
-A bucket is not expanded into pairs. In a few rounds every class is compared with the
-likeliest of one pick per bucket, and what links is joined into components. Then, in
-buckets that still hold several components, classes outside the largest one are compared
-with all others. Two classes of one component need no comparison: a link between them
-would change nothing. So no link between components is lost, other than to the bands
-(chance below one in a million at the threshold) and the estimate (4.5 deviations).
+At the threshold a pair meets in no band with a chance below 5e-7 (25 bands of 5 at 85 %; 5e-8
+for 32 of 4 at 80 %), and the estimate refutes it with one below 1e-8 (six deviations). Every
+other step is exact.
 
 Fixed cases: null or empty texts and texts without words have empty sets and link with
 nothing; rows with a null id link with nothing, get a null component and are kept; rows
-with one id are one document that links by each of its texts with words.
+with one id are one document that links by each of its texts with words; repeated rows all
+stay; a very long text is one set, held by one task while it is signed; other columns,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -23,17 +23,17 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import fresh, only, quoted, small, word_list
-from terrace.llm.components import components
+from terrace.llm.common import fresh, mixed, only, quoted, shingle_set, small
+from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
+from terrace.llm.parity import possible, sketch
+from terrace.operators.joins import balanced_join
 from terrace.sources.tables import materialise
 
 
@@ -43,11 +43,11 @@ class Settings:
 
     shingle: int = 5
     percent: int = 80
-    minima: int = 256
+    minima: int = 128
     bits: int = 4
     band_rows: int = 4
     bands: int = 32
-    rounds: int = 4
+    rounds: int = 2
 
     def __post_init__(self):
         if self.bits != 4 or self.minima % 16 or self.bands * self.band_rows > self.minima:
@@ -55,48 +55,13 @@ class Settings:
 
     @property
     def least_matches(self) -> int:
-        """Equal nibbles expected at the threshold, less four and a half standard deviations."""
+        """Equal nibbles expected at the threshold, less six standard deviations."""
         chance = 2.0**-self.bits
         equal = chance + (1 - chance) * self.percent / 100
-        return math.floor(self.minima * equal - 4.5 * math.sqrt(self.minima * equal * (1 - equal)))
+        return math.floor(self.minima * equal - 6 * math.sqrt(self.minima * equal * (1 - equal)))
 
 
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _CHUNK = 4096
-_KNOWN_WORDS = 100_000
-_hashes: dict[bytes, int] = {}
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes; words seen before by this worker are looked up."""
-    new = set(words).difference(_hashes)
-    if new:
-        if len(_hashes) > _KNOWN_WORDS:
-            _hashes.clear()
-            new = set(words)
-        _hashes.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
-    words = word_list(text)
-    words = [w.lower() for w in words]
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words)
-    width = min(width, len(words))
-    n = len(words) - width + 1
-    joined = np.full(n, width, np.uint64)
-    for k in range(width):
-        joined = _mixed(joined * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
-    return np.unique(joined)
 
 
 def minima(hashes: np.ndarray, count: int) -> np.ndarray:
@@ -134,6 +99,7 @@ _SIGNED = T.StructType([
     T.StructField("cls", T.BinaryType()),
     T.StructField("sig", T.ArrayType(T.LongType())),
     T.StructField("bands", T.ArrayType(T.LongType())),
+    T.StructField("sketch", T.ArrayType(T.LongType())),
 ])
 
 
@@ -142,44 +108,38 @@ def _signed(settings: Settings, text: Column) -> Column:
 
     @F.pandas_udf(_SIGNED)
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        seeds = _mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
+        seeds = mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
         for texts in small(batches):
             out = []
             for t in texts:
                 s = shingle_set(t, settings.shingle)
                 if not len(s):
-                    out.append((0, None, None, None))
+                    out.append((0, None, None, None, None))
                     continue
-                low = _mixed(minima(s, settings.minima))
+                low = mixed(minima(s, settings.minima))
                 band = seeds.copy()
                 for column in low[:rows].reshape(settings.bands, settings.band_rows).T:
-                    band = _mixed(band + column)
-                out.append((
-                    len(s), blake2b(s.tobytes(), digest_size=16).digest(),
-                    packed(low & np.uint64(15)), band.view(np.int64),
-                ))
+                    band = mixed(band + column)
+                out.append((len(s), digest(s), packed(low & np.uint64(15)), band.view(np.int64), sketch(s)))
             yield pd.DataFrame(out, columns=_SIGNED.fieldNames())
 
     return signed(text)
 
 
-@F.pandas_udf(T.LongType())
-def _shared(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in pairs:
-        yield pd.Series([
-            len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-            for a, b in zip(left, right, strict=True)
-        ], dtype="int64")
+def _comparison(settings: Settings) -> Comparison:
+    longs = settings.minima // 16
+
+    def equal(x: str, y: str) -> Column:
+        return matches(F.col(f"{x}.sig"), F.col(f"{y}.sig"), longs)
 
+    def likely(x: str, y: str) -> Column:
+        a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        sized = F.least(a, b) * 100 >= F.greatest(a, b) * settings.percent
+        # The estimate comes first; what it lets through also has to pass an exact bound.
+        return F.when(sized & (equal(x, y) >= settings.least_matches), possible(x, y, settings.percent)).otherwise(False)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold."""
-    met = pairs
-    for end in ("a", "b"):
-        met = met.join(sets.select(F.col("cls").alias(end), F.col("set").alias(f"{end}_set"), F.col("n_shingles").alias(f"{end}_n")), end)
-    shared = met.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("both"), _shared("a_set", "b_set").alias("shared"))
-    return materialise(
-        shared.filter(F.col("shared") * 100 >= settings.percent * (F.col("both") - F.col("shared"))).select("a", "b"), "links"
+    return Comparison(
+        settings.shingle, settings.percent, ("n_shingles", "sig", "sketch"), likely, lambda x, y: -equal(x, y), settings.rounds
     )
 
 
@@ -191,110 +151,17 @@ def link(
     signed = materialise(rows.select("id", _signed(settings, F.col("text")).alias("s")).select("id", "s.*"), "signed")
     named = signed.filter("cls IS NOT NULL AND id IS NOT NULL")
     classes = materialise(
-        named.groupBy("cls").agg(
-            F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-            F.first("sig").alias("sig"), F.first("bands").alias("bands"),
-        ), "classes",
-    )
-    placed = classes.select("cls", "n_shingles", "sig", F.explode("bands").alias("bucket"))
-    crowded = materialise(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "buckets")
-    members = materialise(placed.join(crowded, "bucket"), "members")
-
-    # Full sets only of classes that share a bucket with another.
-    active = members.select("cls").distinct().join(classes.select("cls", "rep", "n_shingles"), "cls")
-    width = settings.shingle
-
-    @F.pandas_udf(T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("set", T.BinaryType())]))
-    def full(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in small(batches):
-            found = [shingle_set(t, width).tobytes() for t in texts]
-            yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
-
-    wanted = materialise(active, "active")
-    texts = rows.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    # Rows with one id may hold several texts, or the same one twice.
-    sets = materialise(
-        texts.select(full("text").alias("f")).select("f.*").join(wanted.select("cls", "n_shingles"), "cls")
-        .dropDuplicates(["cls"]), "sets",
-    )
-
-    # Texts under one id are one document.
-    texts_of = named.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a <> z")
-    links = materialise(named.join(texts_of.select("id", "a"), "id").select("a", F.col("cls").alias("b")).distinct(), "own-links")
-
-    longs = settings.minima // 16
-    roots: DataFrame | None = None
-    for round_ in range(settings.rounds + 1):
-        at = members if roots is None else members.join(
-            roots.select(F.col("node").alias("cls"), "root"), "cls", "left"
-        )
-        at = at.withColumn("comp", F.col("cls") if roots is None else F.coalesce("root", "cls")).drop("root")
-        if roots is not None:
-            mixed = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-            at = materialise(at.join(mixed.select("bucket"), "bucket"), "mixed")
-        if round_ < settings.rounds:
-            pairs = _picked(at, round_, longs, settings)
-        else:
-            pairs = _crossing(at, longs, settings)
-        links = links.union(_confirmed(materialise(pairs, "pairs"), sets, settings))
-        roots = components(links)
-
-    # Smallest id of each component, then of each class.
-    labelled = classes.select("cls", "rep").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-        "cls", "rep", F.coalesce("root", "cls").alias("root")
+        named.groupBy("cls").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in _SIGNED.fieldNames() if c != "cls"]), "classes"
     )
-    lowest = labelled.groupBy("root").agg(F.min("rep").alias("component"))
-    of_class = materialise(labelled.join(lowest, "root").select("cls", "component"), "components")
-    done = signed.select("id", "n_shingles", "cls").join(of_class, "cls", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    placed = classes.select("cls", F.explode("bands").alias("key"))
+    crowded = materialise(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "buckets")
+    members = materialise(balanced_join(placed, crowded, "key", "left_semi"), "members")
+    roots = linked(rows, classes, members, own_links(named), _comparison(settings))
+    done = with_component(signed.select("id", "n_shingles", "cls"), classes, roots)
     return done.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
-
-
-def _sized(a: Column, b: Column, settings: Settings) -> Column:
-    """Whether sets of these sizes can reach the threshold: at best one holds the other."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * settings.percent
-
-
-def _picked(at: DataFrame, round_: int, longs: int, settings: Settings) -> DataFrame:
-    """Each class with the likeliest of its buckets' picks, of another component."""
-    pick = at.groupBy("bucket").agg(
-        F.min_by(F.struct("cls", "comp", "sig", "n_shingles"), F.xxhash64("cls", "bucket", F.lit(round_))).alias("pick")
-    )
-    pick = materialise(pick, "picks")
-    likeness = matches(F.col("sig"), F.col("pick.sig"), longs)
-    near = (
-        at.join(pick, "bucket").filter(F.col("comp") != F.col("pick.comp"))
-        .filter(_sized(F.col("n_shingles"), F.col("pick.n_shingles"), settings))
-        .select("cls", F.col("pick.cls").alias("other"), likeness.alias("equal"))
-        .filter(F.col("equal") >= settings.least_matches)
-    )
-    best = near.groupBy("cls").agg(F.max(F.struct("equal", "other")).alias("best"))
-    return best.select(
-        F.least("cls", "best.other").alias("a"), F.greatest("cls", "best.other").alias("b")
-    ).distinct()
-
-
-def _crossing(at: DataFrame, longs: int, settings: Settings) -> DataFrame:
-    """All likely pairs of different components within a bucket, the largest one against the rest."""
-    sizes = at.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    marked = materialise(at.join(largest, "bucket"), "crossing").select(
-        "bucket", "cls", "comp", "sig", "n_shingles", (F.col("comp") == F.col("main")).alias("in_main")
-    )
-    small = marked.filter("NOT in_main")
-    x, y = small.alias("x"), marked.alias("y")
-    likely = matches(F.col("x.sig"), F.col("y.sig"), longs) >= settings.least_matches
-    met = x.join(
-        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp"))
-        & (F.col("y.in_main") | (F.col("x.cls") < F.col("y.cls")))
-        & _sized(F.col("x.n_shingles"), F.col("y.n_shingles"), settings) & likely,
+        F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
-    return met.select(
-        F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")
-    ).distinct()
 
 
 def keep_one(

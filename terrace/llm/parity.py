@@ -43,7 +43,6 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -53,9 +52,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import only, pieces, small
-from terrace.llm.components import components
-from terrace.llm.minhash import shingle_set
+from terrace.llm.common import mixed, only, pieces, shingle_set, small
+from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
 from terrace.operators.joins import balanced_join
 from terrace.sources.tables import materialise
 
@@ -129,19 +127,10 @@ def schemes(size: int, percent: int) -> tuple[Scheme, ...]:
     return tuple(out)
 
 
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """The parity sketch folded to a power of two of four to eight bits per shingle, 64 bits to a long."""
     bits = max(64, 1 << (4 * len(hashes) - 1).bit_length())
-    at = _mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(bits - 1)
+    at = mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(bits - 1)
     odd = np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1
     return np.packbits(odd, bitorder="little").view(np.int64)
 
@@ -164,21 +153,21 @@ def slack(hashes: np.ndarray, percent: int) -> list[tuple[int, int]]:
 def piece_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     """Bucket keys of a set (sorted distinct hashes) in all its schemes; the low bits tell the scheme."""
     out = []
-    own = _mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
+    own = mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
     for scheme in schemes(len(hashes), percent):
         piece, starts = _pieces(hashes, scheme)
         base = np.uint64((scheme.number + 1) << 40)
-        keys = [_mixed(np.bitwise_xor.reduceat(own, starts) + _mixed(piece + base))]
+        keys = [mixed(np.bitwise_xor.reduceat(own, starts) + mixed(piece + base))]
         if len(starts) <= scheme.spread:
             empty = np.setdiff1d(np.arange(scheme.blocks, dtype=np.uint64), piece)
-            keys.append(_mixed(empty + base + np.uint64(1 << 39)))
+            keys.append(mixed(empty + base + np.uint64(1 << 39)))
         low = np.uint64((1 << _SCHEME_BITS) - 1)
         out.append((np.concatenate(keys) & ~low) | (np.uint64(scheme.number) & low))
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _short(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+def _short(cls: bytes) -> int:
+    return int.from_bytes(cls[:8], "little", signed=True)
 
 
 _SIGNED = T.StructType([
@@ -200,9 +189,9 @@ def _signed(settings: Settings, text: Column) -> Column:
                 if not len(s):
                     out.append((0, None, 0, None, None))  # a null would make pandas round the longs
                     continue
-                digest = blake2b(s.tobytes(), digest_size=16).digest()
+                cls = digest(s)
                 told = [{"scheme": k, "least": n} for k, n in slack(s, settings.percent)]
-                out.append((len(s), digest, _short(digest), sketch(s), told))
+                out.append((len(s), cls, _short(cls), sketch(s), told))
             yield pd.DataFrame(out, columns=_SIGNED.fieldNames())
 
     return signed(text)
@@ -225,7 +214,7 @@ def _piece_rows(rows: DataFrame, settings: Settings) -> DataFrame:
                     s = shingle_set(text, settings.shingle)
                     if not len(s):
                         continue
-                    short = _short(blake2b(s.tobytes(), digest_size=16).digest())
+                    short = _short(digest(s))
                     if short in met:
                         continue
                     if len(met) >= _KNOWN_CLASSES:
@@ -247,7 +236,7 @@ def _shared_pieces(rows: DataFrame, settings: Settings) -> DataFrame:
     return told.filter((F.col("short") != F.col("first")) & (F.col("short") != F.col("before"))).drop("before")
 
 
-def _hamming(a: Column, b: Column) -> Column:
+def hamming(a: Column, b: Column) -> Column:
     """Differing bits of two sketches, the longer one folded to the other's length."""
 
     def fitted(x: Column, other: Column) -> Column:
@@ -259,88 +248,14 @@ def _hamming(a: Column, b: Column) -> Column:
     return F.aggregate(ones, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
 
 
-def _possible(x: str, y: str, settings: Settings) -> Column:
+def possible(x: str, y: str, percent: int) -> Column:
     """Whether sizes and sketches leave a link possible. Sizes come first: they spare the bits."""
     a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-    sized = F.least(a, b) * 100 >= F.greatest(a, b) * settings.percent
-    near = _hamming(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) * (100 + settings.percent) <= (a + b) * (100 - settings.percent)
+    sized = F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    near = hamming(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) * (100 + percent) <= (a + b) * (100 - percent)
     return F.when(sized, near).otherwise(False)
 
 
-@F.pandas_udf(T.LongType())
-def _shared(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in pairs:
-        yield pd.Series([
-            len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-            for a, b in zip(left, right, strict=True)
-        ], dtype="int64")
-
-
-_SET = T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("set", T.BinaryType())])
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets link, made from one text of each class."""
-    width = settings.shingle
-
-    @F.pandas_udf(_SET)
-    def full(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in small(batches, 100):
-            found = [shingle_set(t, width).tobytes() for t in texts]
-            yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
-
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = materialise(named.join(classes, "cls").select("cls", "rep", "n_shingles"), "wanted")
-    texts = rows.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    # Rows with one id may hold several texts, or the same one twice.
-    sets = materialise(
-        texts.select(full("text").alias("f")).select("f.*").join(wanted.select("cls", "n_shingles"), "cls").dropDuplicates(["cls"]),
-        "sets",
-    )
-    met = pairs
-    for end in ("a", "b"):
-        met = met.join(sets.select(F.col("cls").alias(end), F.col("set").alias(f"{end}_set"), F.col("n_shingles").alias(f"{end}_n")), end)
-    counted = met.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("both"), _shared("a_set", "b_set").alias("shared"))
-    return materialise(
-        counted.filter(F.col("shared") * 100 >= settings.percent * (F.col("both") - F.col("shared"))).select("a", "b"), "links"
-    )
-
-
-def _likeliest(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """For every class the most similar of its partners that its sketch does not refute."""
-    known = classes.select("cls", "n_shingles", "sketch")
-    met = pairs.join(known.select(F.col("cls").alias("a"), F.struct("n_shingles", "sketch").alias("x")), "a")
-    met = met.join(known.select(F.col("cls").alias("b"), F.struct("n_shingles", "sketch").alias("y")), "b")
-    near = met.filter(_possible("x", "y", settings)).select("a", "b", _hamming(F.col("x.sketch"), F.col("y.sketch")).alias("bits"))
-    best = near.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("best"))
-    return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
-
-
-def _crossing(mixed: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of different components within a bucket that sketches do not refute, the largest one against the rest.
-
-    A bucket's rows are cut into pieces of about ``rows_per_piece``; every class outside the
-    largest component visits each piece, so no task holds more than a piece and its visitors.
-    """
-    sizes = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.ceil(F.sum("n") / settings.rows_per_piece).cast("int").alias("cuts")
-    )
-    known = classes.select("cls", "n_shingles", "sketch")
-    marked = materialise(
-        balanced_join(mixed, materialise(largest, "largest"), "key", "inner").select(
-            "key", "cls", "comp", "cuts", (F.col("comp") == F.col("main")).alias("in_main")
-        ).join(known, "cls"), "crossing",
-    )
-    x = marked.filter("NOT in_main").withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).alias("x")
-    y = marked.withColumn("cut", F.pmod(F.xxhash64("cls"), "cuts").cast("int")).alias("y")
-    met = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cut") == F.col("y.cut")) & (F.col("x.comp") != F.col("y.comp"))
-        & (F.col("y.in_main") | (F.col("x.cls") < F.col("y.cls"))) & _possible("x", "y", settings),
-    )
-    return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
-
-
 def _telling(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """(key, cls): the buckets of each class, but for the most crowded ones that it may leave out."""
     sizes = materialise(shared.groupBy("key").agg((F.count(F.lit(1)) + 1).alias("n"), F.min("first").alias("first")), "sizes")
@@ -367,39 +282,14 @@ def link(
     shared = materialise(_shared_pieces(rows.filter("id IS NOT NULL"), settings), "shared")
     members = materialise(_telling(shared, classes), "members")
 
-    # Texts under one id are one document.
-    texts_of = named.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a <> z")
-    links = materialise(named.join(texts_of.select("id", "a"), "id").select("a", F.col("cls").alias("b")).distinct(), "own-links")
-
-    roots = components(links)
-    for round_ in range(settings.rounds + 1):
-        at = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-            "key", "cls", F.coalesce("root", "cls").alias("comp")
-        )
-        mixed = at.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", "key", F.lit(round_))).alias("pick"),
-        ).filter("lo <> hi").select("key", "pick")
-        at = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner"), "met")
-        if round_ < settings.rounds:
-            apart = at.filter(F.col("comp") != F.col("pick.comp"))
-            pairs = _likeliest(apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct(), classes, settings)
-        else:
-            pairs = _crossing(at.select("key", "cls", "comp"), classes, settings)
-        members = at.select("key", "cls")
-        links = links.union(_verified(materialise(pairs, "pairs"), rows, classes, settings))
-        roots = materialise(components(links), "roots")
-
-    # Smallest id of each component, then of each class.
-    labelled = classes.select("cls", "rep").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-        "cls", "rep", F.coalesce("root", "cls").alias("root")
+    how = Comparison(
+        settings.shingle, settings.percent, ("n_shingles", "sketch"),
+        lambda x, y: possible(x, y, settings.percent), lambda x, y: hamming(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")),
+        settings.rounds, settings.rows_per_piece,
     )
-    lowest = labelled.groupBy("root").agg(F.min("rep").alias("component"))
-    of_class = materialise(labelled.join(lowest, "root").select("cls", "component"), "components")
-    done = signed.select("id", "n_shingles", "cls").join(of_class, "cls", "left")
-    return done.select(
-        F.col("id").alias(id_col), "n_shingles",
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+    roots = linked(rows, classes, members, own_links(named), how)
+    return with_component(signed.select("id", "n_shingles", "cls"), classes, roots).select(
+        F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id")
     )
 
 

@@ -4,8 +4,9 @@ The model file is parsed as protobuf and rebuilt piece by piece: normaliser, met
 marker, byte fallback and either unigram scores or, for BPE models, merges ranked by
 score. Pieces never cross the start of a marker, so a text's ids are the ids of its
 marked words in order. Distinct words are encoded once per worker, in multithreaded
-batches; each is checked against the sentencepiece library, whose ids are used (and the
-text reported) should the two ever differ.
+batches. The ids are the tokenizers library's, always. Where parity is asked for, the
+sentencepiece library encodes each whole raw text too, with its own normaliser, and the two
+lists of ids are compared.
 
 Fixed cases: a null text has null ids, an empty one none; other columns, repeated rows
 and ids pass through; texts of any length are encoded whole.
@@ -119,7 +120,6 @@ class Codec:
         parts = "\n" if self.parted else ""
         self.pattern = re.compile(f"{MARK}*[^{MARK}{parts}]+|{MARK}+" + ("|\n+" if parts else ""))
         self.cache: dict[str, bytes] = {}
-        self.odd: set[str] = set()
 
         def surface(p) -> bytes:
             if p.type == _BYTE:
@@ -143,62 +143,39 @@ class Codec:
         plain = [w for w in words if w[0] == MARK and len(w) > 1 and w[1] != MARK]
         rest = [w for w in words if not (w[0] == MARK and len(w) > 1 and w[1] != MARK)]
         groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        joined = ["".join(group) for group in groups]
-        # The library adds the first marker itself where the model says so.
-        spaced = [t[1:].replace(MARK, " ") if self.prefix else t.replace(MARK, " ") for t in joined]
-        for group, found, expected in zip(
-            groups, self.marked.encode_batch_fast(joined, add_special_tokens=False),
-            self.reference.encode(spaced, num_threads=1), strict=True,
-        ):
-            theirs = self._parts(group, expected)
-            self._keep(group, theirs if found.ids == expected else self._parts(group, found.ids), theirs)
+        joined = self.marked.encode_batch_fast(["".join(group) for group in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined, strict=True):
+            parts = self._parts(group, found.ids)
+            if parts is None:
+                rest += group
+            else:
+                self.cache.update(zip(group, parts, strict=True))
         if rest:
-            ours = [_packed(found.ids) for found in self.words.encode_batch_fast(rest, add_special_tokens=False)]
-            self._keep(rest, ours, [_packed(ids) for ids in self._expected(rest)])
+            found = self.words.encode_batch_fast(rest, add_special_tokens=False)
+            self.cache.update((w, _packed(f.ids)) for w, f in zip(rest, found, strict=True))
 
-    def _parts(self, group: list[str], ids: list[int]) -> list[bytes]:
-        """Ids of joined words, cut where a word's marker begins."""
+    def _parts(self, group: list[str], ids: list[int]) -> list[bytes] | None:
+        """Ids of joined words, cut where a word's marker begins; None where they cannot be told apart."""
         flat = np.asarray(ids, np.int32)
         cuts = (4 * np.append(np.flatnonzero(self.starts[flat]), len(flat))).tolist()
-        if len(cuts) != len(group) + 1:
-            raise AssertionError("a word's marker was merged away")
+        if len(cuts) != len(group) + 1 or cuts[0]:
+            return None
         raw = flat.tobytes()
         return [raw[cuts[i] : cuts[i + 1]] for i in range(len(group))]
 
-    def _keep(self, words: list[str], ours: list[bytes], theirs: list[bytes]) -> None:
-        if ours is not theirs:
-            self.odd.update(w for w, mine, expected in zip(words, ours, theirs, strict=True) if mine != expected)
-        self.cache.update(zip(words, theirs, strict=True))
-
-    def _expected(self, words: list[str]) -> list[list[int]]:
-        """Ids by the sentencepiece library, which may put a marker of its own before a text.
-
-        A line break before the word keeps that marker, and anything else, from merging with it.
-        """
-        if self.parted:
-            frame = len(self.reference.encode("\n", num_threads=1))
-            framed = self.reference.encode(["\n" + w.replace(MARK, " ") for w in words], num_threads=1)
-            return [ids[frame:] for ids in framed]
-        if self.prefix:
-            # Every word but a run of line breaks starts with a marker here: the one the library adds.
-            return [
-                self.reference.encode(w[1:].replace(MARK, " "), num_threads=1) or [self.reference.piece_to_id(w)]
-                for w in words
-            ]
-        return self.reference.encode([w.replace(MARK, " ") for w in words], num_threads=1)
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
-        """(ids, whether both libraries agree on every word) of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
         split = [self.pattern.findall(self.normalised(t)) for t in texts]
         if len(self.cache) > _CACHED_WORDS:
             self.cache.clear()
-            self.odd.clear()
         if new := set().union(*split).difference(self.cache):
             self._learn(sorted(new))
-        return [
-            (np.frombuffer(b"".join(map(self.cache.__getitem__, words)), np.int32), not self.odd or self.odd.isdisjoint(words))
-            for words in split
-        ]
+        return [np.frombuffer(b"".join(map(self.cache.__getitem__, words)), np.int32) for words in split]
+
+    def agrees(self, texts: list[str], ids: list[np.ndarray]) -> list[bool]:
+        """Whether the sentencepiece library gives the same ids for each whole raw text."""
+        expected = self.reference.encode(texts, num_threads=1)
+        return [np.array_equal(mine, theirs) for mine, theirs in zip(ids, expected, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids; bytes that form no character become replacement characters."""
@@ -217,15 +194,17 @@ def codec(model: bytes) -> Codec:
 
 
 # Characters handled at once: bounds what the encoder holds besides its cache.
-_BATCH_CHARS = 2_000_000
+_BATCH_CHARS = 1_000_000
 
 
-def encoded(model: bytes, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bool] | None]:
-    """What ``Codec.encode`` gives, text by text and None for null, in batches of bounded size."""
+def encoded(model: bytes, texts: list[str | None], check: bool = False) -> Iterator[tuple[np.ndarray, bool] | None]:
+    """(ids, parity) text by text, None for null, in batches of bounded size; parity is True unless checked."""
     coder, batch, size = codec(model), [], 0
 
     def flush() -> Iterator[tuple[np.ndarray, bool] | None]:
-        found = iter(coder.encode([t for t in batch if t is not None]))
+        real = [t for t in batch if t is not None]
+        ids = coder.encode(real)
+        found = zip(ids, coder.agrees(real, ids) if check else [True] * len(real), strict=True)
         for t in batch:
             yield None if t is None else next(found)
 
@@ -281,7 +260,7 @@ class _Digest:
         for series in batches:
             texts = series.tolist()
             rows = []
-            for text, got in zip(texts, encoded(self.model, texts), strict=True):
+            for text, got in zip(texts, encoded(self.model, texts, check=True), strict=True):
                 if got is None:
                     rows.append((0, None, True, True))
                     continue

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import fresh, only, quoted, word_list
-from terrace.llm.minhash import word_hashes
+from terrace.llm.common import fresh, only, quoted, word_hashes, word_list
 from terrace.sources.tables import materialise
 
 

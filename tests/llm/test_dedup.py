@@ -57,7 +57,7 @@ def near_copies(seed: int, n: int = 60) -> list[tuple[int, str]]:
 
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_near_duplicates_lose_no_link(spark, tricky_docs, tricky, rounds):
-    settings = minhash.Settings(shingle=3, percent=85, band_rows=5, bands=25, rounds=rounds, minima=128 if rounds else 256)
+    settings = minhash.Settings(shingle=3, percent=85, band_rows=5, bands=25, rounds=rounds, minima=256 if rounds else 128)
     got = minhash.link(tricky_docs, settings=settings).collect()
     assert len(got) == len(tricky)
     expected = groups(tricky, 3, 85)

@@ -120,7 +120,7 @@ def test_swapped_identity_terms_do_not_move_the_score():
     seen = [np.array(sorted(vocabulary.index(w) for w in t)) for t in texts]
 
     def gap(strength: float) -> tuple[float, float]:
-        model = toxicity.train(seen, np.array(y), vocabulary, toxicity.Settings(counterfactual=strength))
+        model = toxicity.train(seen, np.array(y), vocabulary, toxicity.Settings(counterfactual=strength, inserted=0.0))
         one, other = model.log_odds("the muslim in the garden"), model.log_odds("the christian in the garden")
         return abs(one - other), textstats.logistic(np.array([model.log_odds("an idiot in the garden")]))[0]
 
@@ -132,3 +132,103 @@ def test_swapped_identity_terms_do_not_move_the_score():
 def test_toxicity_scores_do_not_depend_on_word_order():
     model = toxicity.WordModel(0.1, {w.encode(): 0.1 * i for i, w in enumerate("abcdefgh")})
     assert model.log_odds("a b c d e f g h") == model.log_odds("h G f e D c b a")
+
+
+def test_sentences_decide_what_a_swap_takes_away():
+    wanted = {b"muslim", b"woman"}
+    assert toxicity.lone_words("A muslim woman. The woman left!", wanted) == {b"muslim"}
+    assert toxicity.lone_words(None, wanted) == set() and toxicity.lone_words("nobody. here", wanted) == set()
+    kin = toxicity._kin({"muslim": 0, "jewish": 1, "hindu": 2}, toxicity.Settings())
+    lost, gained, _ = toxicity._swaps([np.array([0, 1])], [np.array([0])], kin)
+    # Jewish is there already and stays; muslim goes with its one sentence.
+    assert sorted(zip(lost.tolist(), gained.tolist(), strict=True)) == [(-1, 2), (0, -1), (0, -1), (0, 2)]
+
+
+def test_the_penalty_is_at_work_on_the_given_tables(spark):
+    """Weights with and without it differ, swaps move the score less, and accuracy stays."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    fair, plain = (toxicity.fit(docs, labels, settings=toxicity.Settings(counterfactual=c)) for c in (1.0, 0.0))
+    assert fair.pairs == plain.pairs > 1000
+    assert fair.weights != plain.weights and fair.gap < 0.5 * plain.gap
+    print(fair.pairs, plain.gap, fair.gap)
+    met = docs.join(labels, "doc_id").select("toxic", toxicity.score(fair, F.col("text")).alias("s")).toPandas()
+    assert ((met.s >= 0.5) == (met.toxic == 1)).mean() > 0.95
+
+
+def brute_train(seen, y, size, steps, rate, ridge):
+    """The same regression without penalty, row by row."""
+    w, b = [0.0] * size, 0.0
+    m, v = [0.0] * (size + 1), [0.0] * (size + 1)
+    share = sum(y) / len(y)
+    for step in range(1, steps + 1):
+        grad = [ridge * x for x in w] + [0.0]
+        for ids, label in zip(seen, y, strict=True):
+            p = 1 / (1 + np.exp(-(b + sum(w[i] for i in ids))))
+            e = (0.5 / share if label else 0.5 / (1 - share)) * (p - label) / len(y)
+            for i in ids:
+                grad[i] += e
+            grad[-1] += e
+        for i, g in enumerate(grad):
+            m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
+            move = rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
+            if i < size:
+                w[i] -= move
+            else:
+                b -= move
+    return w, b
+
+
+def test_word_weights_match_brute_force():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(6)]
+    seen = [np.array(sorted(rng.sample(range(6), rng.randint(0, 4))), np.int64) for _ in range(40)]
+    y = [float(0 in s.tolist() or rng.random() < 0.2) for s in seen]
+    settings = toxicity.Settings(steps=25)
+    model = toxicity.train(seen, np.array(y), vocabulary, settings)
+    w, b = brute_train([s.tolist() for s in seen], y, 6, 25, settings.rate, settings.ridge)
+    assert np.allclose([model.weights[x.encode()] for x in vocabulary], w) and np.isclose(model.start, b)
+
+
+def test_path_lengths_match_a_walk():
+    """Forest scores against a walk down every tree, row by row."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 4))
+    grown = forest.grow(x, np.arange(60) < 50, forest.Settings(trees=12, tree_rows=32, depth=6))
+    expected = []
+    for r in x:
+        total = 0.0
+        for t in range(len(grown.feature)):
+            node = 0
+            while grown.left[t, node] != node:
+                node = (grown.left if r[grown.feature[t, node]] < grown.cut[t, node] else grown.right)[t, node]
+            total += grown.length[t, node]
+        expected.append(2 ** -(total / len(grown.feature) / grown.normal))
+    assert np.allclose(grown.scores(x), expected)
+
+
+def test_table_sums_match_lookups():
+    """Additive scores against a lookup per feature and pair, row by row."""
+    rng = np.random.default_rng(5)
+    x = rng.uniform(size=(300, 3))
+    model = gam.train(x, ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.4)).astype(float))
+    expected = []
+    for r in x[:50]:
+        total = model.start + sum(table[np.searchsorted(edges, r[f], side="right")] for f, (edges, table) in enumerate(zip(model.edges, model.tables)))
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[np.searchsorted(model.pair_edges[a], r[a], side="right"), np.searchsorted(model.pair_edges[b], r[b], side="right")]
+        expected.append(total)
+    assert np.allclose(model.log_odds(x[:50]), expected)
+
+
+def test_a_bounded_sample_is_the_smallest_hashes(spark):
+    from terrace.llm.common import bounded
+
+    rows = spark.range(20_000).withColumn("x", F.col("id") % 3)
+    for most in (100, 15_000, 30_000):
+        whole = rows.orderBy(F.xxhash64("id"), "id").limit(most)
+        assert sorted(bounded(rows, most, [F.col("id")], ["id"]).collect()) == sorted(whole.collect())
+
+
+def test_forest_on_an_empty_table(spark, no_docs):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert forest.judge(no_docs, labels).count() == 0 and forest.keep_good(no_docs, labels).count() == 0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm import queries, sharding, spm, token_shards
 from terrace.llm.feistel import Permutation
+from terrace.llm.spm import MARK
 
 HARD = ["", " ", "  a", "a\n\n b", "\n", "\n\na", "é日本 x😀\n😀", " \n x ", "a  b   c    d     e\t\tf", "▁▁x ▁", "\x00\x01", "a" * 5000, "      "]
 
@@ -48,9 +49,9 @@ def test_ids_equal_the_reference_library(model, tricky):
     coder = spm.codec(model)
     texts = HARD + [t for _, t in tricky if t]
     found = coder.encode(texts)
-    assert [ids.tolist() for ids, _ in found] == coder.reference.encode(texts, num_threads=1)
-    assert all(same for _, same in found)
-    assert [coder.decode(ids) for ids, _ in found] == coder.reference.decode([ids.tolist() for ids, _ in found])
+    assert [ids.tolist() for ids in found] == coder.reference.encode(texts, num_threads=1)
+    assert all(coder.agrees(texts, found))
+    assert [coder.decode(ids) for ids in found] == coder.reference.decode([ids.tolist() for ids in found])
     whole = [e.ids for e in coder.whole.encode_batch([t for t in texts if t], add_special_tokens=False)]
     assert whole == coder.reference.encode([t for t in texts if t], num_threads=1)
 
@@ -60,8 +61,8 @@ def test_unigram_scores_are_rebuilt(squeeze):
     coder = spm.Codec(unigram_model(squeeze))
     texts = ["abc ab", "aabbcc", " a  b ", "cab\nbca", "xyz é", "", "ab" * 50, "a b c abc"]
     found = coder.encode(texts)
-    assert [ids.tolist() for ids, _ in found] == coder.reference.encode(texts, num_threads=1)
-    assert all(same for _, same in found)
+    assert [ids.tolist() for ids in found] == coder.reference.encode(texts, num_threads=1)
+    assert all(coder.agrees(texts, found))
 
 
 @settings(max_examples=150, deadline=None)
@@ -69,7 +70,7 @@ def test_unigram_scores_are_rebuilt(squeeze):
 def test_any_text_survives(text):
     with open(queries.MODEL, "rb") as file:
         coder = spm.codec(file.read())
-    (ids, _), = coder.encode([text])
+    (ids,) = coder.encode([text])
     assert ids.tolist() == coder.reference.encode(text)
     assert coder.decode(ids) == text.replace("▁", " ")
 
@@ -88,7 +89,22 @@ def test_a_full_cache_is_emptied_without_harm(model, monkeypatch):
     monkeypatch.setattr(spm, "_CACHED_WORDS", 3)
     coder = spm.Codec(model)
     for texts in (["one two three four five"], ["six seven one"], ["one two eight", "nine ten"]):
-        assert [ids.tolist() for ids, _ in coder.encode(texts)] == coder.reference.encode(texts)
+        assert [ids.tolist() for ids in coder.encode(texts)] == coder.reference.encode(texts)
+
+
+def test_a_broken_backend_shows_in_ids_and_parity(model, monkeypatch):
+    """The tokenizers library decides; the other one only tells."""
+    from tokenizers import Tokenizer, models
+
+    coder, texts = spm.Codec(model), ["one two", "one", ""]
+    right = coder.encode(texts)
+    broken = Tokenizer(models.BPE(vocab={MARK: 5, "x": 6}, merges=[], unk_token=MARK))
+    coder.cache.clear()
+    coder.words = coder.marked = broken
+    wrong = coder.encode(texts)
+    assert coder.agrees(texts, right) == [True] * 3 and coder.agrees(texts, wrong) == [False, False, True]
+    monkeypatch.setattr(spm, "codec", lambda _: coder)
+    assert [ok for _, ok in spm.encoded(model, texts, check=True)] == [False, False, True]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 17, 64, 1000, 4097])
