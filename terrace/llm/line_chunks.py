@@ -16,10 +16,9 @@ text from each other; rows with one id are one document in several parts: no par
 chunk to another, only to an earlier place in itself; rows equal in id and text fare
 alike. Other columns pass through ``without_repeats`` untouched.
 
-``without_repeated_runs`` needs no boundaries: two neighbouring lines, a word among them,
-that stand together at an earlier place are removed at every offset, so a repeated run of
-two lines or more goes whole, and so does a copy of several lines. Every removed line stays
-at an earlier place. Pairs are equal if 128 hash bits are; the fixed cases hold as above.
+With ``joined`` single-line chunks are judged too, and neighbouring chunks that repeat are
+judged together: a run of them goes if it has two lines or more. A copy of several lines then
+goes whole, as equal texts have equal boundaries. Every removed line stays at an earlier place.
 """
 
 from __future__ import annotations
@@ -65,9 +64,9 @@ def _with_chunks(rows: DataFrame) -> DataFrame:
     return cut.withColumn("chunks", F.transform("ends", chunk)).drop("hashes", "ends")
 
 
-def _with_places(rows: DataFrame) -> DataFrame:
-    """Adds ``places``: the removable chunks as (hash, no, repeat of an earlier one in this text)."""
-    sized = F.filter("chunks", lambda c: (c["n_lines"] >= MIN_LINES) & ~c["text"].rlike(_BLANK))
+def _with_places(rows: DataFrame, least: int) -> DataFrame:
+    """Adds ``places``: the chunks of ``least`` lines or more as (hash, no, repeat of an earlier one in this text)."""
+    sized = F.filter("chunks", lambda c: (c["n_lines"] >= least) & ~c["text"].rlike(_BLANK))
     by_hash = rows.withColumn(
         "sorted", F.sort_array(
             F.transform(sized, lambda c: F.struct(F.xxhash64(c["text"]).alias("hash"), c["no"].alias("no")))
@@ -85,9 +84,9 @@ def _with_places(rows: DataFrame) -> DataFrame:
     return by_hash.withColumn("places", F.transform("sorted", place)).drop("sorted")
 
 
-def _chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _chunked(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
     rows = only(docs, id=id_col, text=text_col).filter("text IS NOT NULL")
-    return _with_places(_with_chunks(rows))
+    return _with_places(_with_chunks(rows), least)
 
 
 def _exploded(chunked: DataFrame) -> DataFrame:
@@ -97,9 +96,11 @@ def _exploded(chunked: DataFrame) -> DataFrame:
     return rows.filter("place IS NOT NULL")
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_chunks(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LINES
+) -> DataFrame:
     """(hash, first): chunk texts found under several ids, and the smallest of these ids."""
-    found = _exploded(_chunked(docs, id_col, text_col)).select(
+    found = _exploded(_chunked(docs, id_col, text_col, least)).select(
         "id", F.col("place.hash").alias("hash"), F.get("chunks", F.col("place.no"))["text"].alias("chunk")
     )
     # Grouping by the text itself is the comparison of bytes.
@@ -116,11 +117,13 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, removed): numbers of the chunks to remove, for texts that lose any."""
+def removals(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LINES
+) -> DataFrame:
+    """(id, text_hash, removed): numbers of the chunks that repeat, for texts that hold any."""
     # Stored, so that the join below sees its true size and may split a hot hash.
-    repeated = materialise(repeated_chunks(docs, id_col, text_col), "repeated-chunks")
-    places = _exploded(_chunked(docs, id_col, text_col))
+    repeated = materialise(repeated_chunks(docs, id_col, text_col, least), "repeated-chunks")
+    places = _exploded(_chunked(docs, id_col, text_col, least))
     known = places.select("id", "text_hash", "place.hash", "place.no", "place.repeat")
     elsewhere = known.join(repeated, "hash", "left").filter(
         F.col("repeat") | F.coalesce(F.col("id") > F.col("first"), F.col("first").isNotNull() & F.col("id").isNull())
@@ -128,12 +131,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return elsewhere.groupBy("id", "text_hash").agg(F.collect_set("no").alias("removed"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = False
+) -> tuple[DataFrame, dict[str, str]]:
     """All rows and columns with the repeated chunks cut out of the text.
 
     Also returns the names of three added columns: lines before, lines removed, chunks removed.
     """
-    gone = removals(docs, id_col, text_col)
+    gone = removals(docs, id_col, text_col, 1 if joined else MIN_LINES)
     names = {stem: fresh(docs, stem) for stem in ("n_lines", "n_removed", "n_chunks_removed")}
     # The pieces carry the operator's own names; the row itself rides along in one struct.
     rows = docs.select(
@@ -144,6 +149,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("d.id").eqNullSafe(F.col("g.id")) & (F.xxhash64("d.text") == F.col("g.text_hash")), "left",
     ).select("row", "d.text", "removed")
     cut = _with_chunks(met)
+    if joined:
+        # A chunk of one line goes only beside another that goes.
+        run = F.filter("removed", lambda no: (
+            (F.get("chunks", no)["n_lines"] >= MIN_LINES) | F.array_contains("removed", no - 1) | F.array_contains("removed", no + 1)
+        ))
+        cut = cut.withColumn("removed", F.when(F.size(run) > 0, run))
     # Chunks and removal marks sorted together: a chunk goes when its mark follows it.
     marked = cut.withColumn("all", F.when(F.col("removed").isNotNull(), F.sort_array(F.concat(
         F.transform("chunks", lambda c: F.struct(c["no"].alias("no"), F.lit(0).alias("mark"), c["n_lines"].alias("n_lines"), c["text"].alias("text"))),
@@ -168,70 +179,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out, names
 
 
-def _exploded_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, pair): each two neighbouring lines that hold a word, with the first one's place."""
-    rows = only(docs, id=id_col, text=text_col).filter("text IS NOT NULL").withColumn("lines", F.split("text", "\n", -1))
-
-    def pair(line: Column, i: Column) -> Column:
-        after = F.get("lines", i + 1)
-        # There is none after the last line.
-        return F.when(after.isNotNull() & ~(line.rlike(_BLANK) & after.rlike(_BLANK)), F.struct(
-            F.xxhash64(line, after).alias("a"), F.xxhash64(F.lit("second"), line, after).alias("b"), i.alias("no"),
-        ))
-
-    by_hash = rows.withColumn("sorted", F.sort_array(F.array_compact(F.transform("lines", pair))))
-
-    def place(x: Column, j: Column) -> Column:
-        # get() of -1 is null.
-        last = F.get("sorted", j - 1)
-        same = (last["a"] == x["a"]) & (last["b"] == x["b"])
-        return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["no"].alias("no"), F.coalesce(same, F.lit(False)).alias("repeat"))
-
-    placed = by_hash.withColumn("places", F.transform("sorted", place))
-    exploded = placed.select("id", F.xxhash64("text").alias("text_hash"), F.explode_outer("places").alias("pair"))
-    return exploded.filter("pair IS NOT NULL").select("id", "text_hash", "pair.*")
-
-
-def without_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns; every run of two lines or more that stands at an earlier place is cut out."""
-    pairs = _exploded_pairs(docs, id_col, text_col)
-    repeated = (
-        pairs.groupBy("a", "b")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("unnamed"))
-        .filter(F.col("first").isNotNull() & ((F.col("first") < F.col("last")) | F.col("unnamed")))
-        .select("a", "b", "first")
-    )
-    # Stored, so that the join below sees its true size and may split a hot pair.
-    known = pairs.join(materialise(repeated, "repeated-pairs"), ["a", "b"], "left").filter(
-        F.col("repeat") | F.coalesce(F.col("id") > F.col("first"), F.col("first").isNotNull() & F.col("id").isNull())
-    )
-    gone = known.groupBy("id", "text_hash").agg(F.collect_set("no").alias("removed"))
-    rows = docs.select(
-        F.struct(*map(quoted, docs.columns)).alias("row"), quoted(id_col).alias("id"), quoted(text_col).alias("text")
-    )
-    met = rows.alias("d").join(
-        gone.alias("g"),
-        F.col("d.id").eqNullSafe(F.col("g.id")) & (F.xxhash64("d.text") == F.col("g.text_hash")), "left",
-    ).select("row", "d.text", "removed")
-
-    def marks(shift: int) -> Column:
-        return F.transform("removed", lambda no: F.struct((no + shift).alias("no"), F.lit(1).alias("mark"), F.lit("").alias("line")))
-
-    # Lines and removal marks sorted together: a line goes when its mark follows it.
-    marked = met.withColumn("all", F.when(F.col("removed").isNotNull(), F.sort_array(F.concat(
-        F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("no"), F.lit(0).alias("mark"), line.alias("line"))),
-        marks(0), marks(1),
-    ))))
-
-    def stays(x: Column, j: Column) -> Column:
-        follower = F.get("all", j + 1)
-        return (x["mark"] == 0) & ~F.coalesce((follower["no"] == x["no"]) & (follower["mark"] == 1), F.lit(False))
-
-    kept = marked.withColumn("kept", F.filter("all", stays))
-    new_text = F.when(F.col("removed").isNotNull(), F.array_join(F.transform("kept", lambda x: x["line"]), "\n")).otherwise(F.col("text"))
-    return kept.select(*[(new_text.alias(c) if c == text_col else F.col("row").getField(c).alias(c)) for c in docs.columns])
-
-
 # ``without_repeats`` in SQL for a table documents(doc_id, text) with unique ids.
 ORACLE_SQL = rf"""
 WITH lines AS (

@@ -155,7 +155,7 @@ def test_written_parquet_shards_hold_all_rows(spark, tricky):
     assert back.count() == len(tricky) and back.select("shard").distinct().count() == 4
 
 
-@pytest.mark.parametrize("length,shard_bytes", [(16, 64), (1024, 1 << 20)])
+@pytest.mark.parametrize("length,shard_bytes", [(16, 640), (1024, 1 << 20)])
 def test_token_shards_round_trip(spark, tricky, length, shard_bytes):
     with open(queries.RANKS, "rb") as file:
         encoder = token_shards.RankFile(file.read())
@@ -166,21 +166,60 @@ def test_token_shards_round_trip(spark, tricky, length, shard_bytes):
         docs = docs.filter("length(text) < 3000")
     manifest = token_shards.write_shards(docs, path, encoder, settings=how).orderBy("slot").collect()
     n = len(manifest)
-    assert [r["slot"] for r in manifest] == list(range(n)) and sorted(r["sequence"] for r in manifest) == list(range(n))
+    assert [r["slot"] for r in manifest] == list(range(n)) and len({r["sequence"] for r in manifest}) == n
+    # Training order is the permutation of the numbers; shards are ranges of it.
+    room = 1 + max(r["sequence"] for r in manifest)
+    assert [r["shard"] for r in manifest] == sorted(r["shard"] for r in manifest) and (room > n or n == 1)
     read = list(token_shards.read_slots(path, 0, n, how))
     assert [zlib.crc32(x.tobytes()) for x in read] == [r["crc32"] for r in manifest]
     resumed = list(token_shards.read_slots(path, n // 2, n, how))
     assert all((a == b).all() for a, b in zip(resumed, read[n // 2 :], strict=True))
-    stream = np.concatenate([x for _, x in sorted(zip([r["sequence"] for r in manifest], read, strict=True), key=lambda p: p[0])])
-    stream = stream[: sum(r["n_tokens"] for r in manifest)]
-    cuts = np.flatnonzero(stream == encoder.end)
-    import tiktoken  # noqa: F401
-
-    bpe = token_shards._encoding(encoder)[0]
+    by_number = sorted(zip(manifest, read, strict=True), key=lambda p: p[0]["sequence"])
+    stream = np.concatenate([x[: r["n_tokens"]] for r, x in by_number])
+    assert all((x[r["n_tokens"] :] == encoder.end).all() for r, x in by_number)
+    bpe, cuts = token_shards._encoding(encoder)[0], np.flatnonzero(stream == encoder.end)
     texts = [bpe.decode(part[part != encoder.end].tolist()) for part in np.split(stream, cuts + 1)[:-1]]
     assert sorted(texts) == sorted(r["text"] for r in docs.collect() if r["text"] is not None)
 
 
+def test_slots_follow_the_permutation(spark, tmp_path):
+    with open(queries.RANKS, "rb") as file:
+        encoder = token_shards.RankFile(file.read())
+    rows = [(i, f"text {i} " * (i % 40)) for i in range(400)]
+    stored = f"{tmp_path}/docs"
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(stored)
+    docs = spark.read.parquet(stored)
+    how = token_shards.Settings(length=32, shard_bytes=64 * 40)
+    manifest = token_shards.write_shards(docs, f"file://{tmp_path}/s", encoder, settings=how, stored=True).orderBy("slot").collect()
+    sizes = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("text") + 1).alias("n")).collect()
+    room = -(-max(r["n"] for r in sizes) // how.length)
+    order = token_shards.permutation(1 + max(r["p"] for r in sizes), room, how)
+    places = order.forward(np.array([r["sequence"] for r in manifest]))
+    assert (np.diff(places) > 0).all() and len(manifest) > 50
+    # The document each sequence begins in, by walking the stream of every part.
+    read = dict(zip([r["sequence"] for r in manifest], token_shards.read_slots(f"file://{tmp_path}/s", 0, len(manifest), how), strict=True))
+    texts = docs.select(F.spark_partition_id().alias("p"), "doc_id", "text").collect()
+    for part in {r["p"] for r in texts}:
+        stream = [(r["doc_id"], i) for r in texts if r["p"] == part for i in [*encoder.encode(r["text"]).tolist(), encoder.end]]
+        for r in manifest:
+            if r["sequence"] // room == part:
+                at = r["sequence"] % room * how.length
+                here = stream[at : at + how.length]
+                assert int(r["first_doc"]) == here[0][0] and r["n_tokens"] == len(here)
+                assert read[r["sequence"]][: len(here)].tolist() == [i for _, i in here]
+
+
+def test_a_shorter_rewrite_leaves_no_stale_shards(spark, tmp_path):
+    with open(queries.RANKS, "rb") as file:
+        encoder = token_shards.RankFile(file.read())
+    how, path = token_shards.Settings(length=16, shard_bytes=320), f"file://{tmp_path}/s"
+    for n in (300, 20):
+        docs = spark.createDataFrame([(i, f"some text {i}") for i in range(n)], "doc_id long, text string").coalesce(1)
+        count = token_shards.write_shards(docs, path, encoder, settings=how).count()
+        assert len(list(token_shards.read_slots(path, 0, 10_000, how))) == count
+    assert not list(token_shards.read_slots(f"file://{tmp_path}/none", 0, 5, how))
+
+
 def test_token_shards_of_nothing(spark, no_docs):
     with open(queries.RANKS, "rb") as file:
         encoder = token_shards.RankFile(file.read())
