@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import decontaminate, forest, line_chunks, minhash, spm
-from terrace.llm.common import table
+from terrace.llm.common import quoted, table
 from terrace.llm.queries import MODEL
 from terrace.sources.tables import materialise
 
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of two lines or more are cut out; documents left without a word go."""
-    cut = line_chunks.without_repeated_runs(docs)
+    """Repeated runs of chunks, two lines or more, are cut out; documents left without a word go."""
+    cut = line_chunks.without_repeats(docs, joined=True)[0].select(*map(quoted, docs.columns))
     # Stored first: Spark would move the filter below the cutting and, for it, write all of its
     # nested array expressions out once more, evaluated anew for every element.
     left = materialise(cut, "cut").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
