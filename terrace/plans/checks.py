@@ -66,13 +66,6 @@ def gate_status(results: DataFrame) -> DataFrame:
     )
 
 
-def require(results: DataFrame, what: str) -> None:
-    """Stop here if any rule failed. There is one short row per rule to look at."""
-    failed = results.filter(~F.col("success")).collect()
-    if failed:
-        raise DataQualityError(f"{what} failed: " + "; ".join(str(row.asDict()) for row in failed))
-
-
 def model_rules(gold: Mapping[str, DataFrame]) -> dict[str, list[Rule]]:
     def key(column: str) -> list[Rule]:
         return [Unique((column,)), NotNull(column)]
