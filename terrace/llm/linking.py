@@ -79,7 +79,9 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
 
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = materialise(named.join(classes, "cls").select("cls", "rep", "n_shingles"), "wanted")
-    texts = rows.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    # Stored, so that Spark knows the size of the ids beforehand and moves them, not the texts, while they are few.
+    ids = materialise(wanted.select(F.col("rep").alias("id")).distinct(), "wanted-ids")
+    texts = rows.join(ids, "id", "left_semi")
     # Rows with one id may hold several texts, or the same one twice.
     sets = materialise(
         texts.select(full("text").alias("f")).select("f.*").join(wanted.select("cls", "n_shingles"), "cls").dropDuplicates(["cls"]),
