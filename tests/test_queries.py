@@ -53,7 +53,7 @@ def test_scans_read_only_the_columns_they_need(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    text = plan(QUERIES["fact_payments"](spark, SF_DIR))
+    text = plan(QUERIES["silver_order_payments"](spark, SF_DIR))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in text
 
 
