@@ -66,7 +66,8 @@ def balanced_join(
     """
     if how not in _JOINS:
         raise ValueError(f"cannot salt a {how} join")
-    if is_small(right):
+    # Few rows hold no hot key. Only a stored holder of the keys is counted for that: its files know.
+    if is_small(right) or (keys_from is not None and keys_from.count() <= ROWS_PER_TASK):
         left, right, _ = _aligned(left, right, [on] if isinstance(on, str) else list(on))
         return left.join(right, on, how)
     return salted_join(left, right, on, how, keys_from=keys_from)
