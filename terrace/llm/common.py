@@ -111,16 +111,48 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
+# Every byte value has a random 64-bit number; a word is the polynomial of its bytes' numbers.
+_BYTES = np.random.default_rng(71).integers(0, 2**64, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BLANK = np.zeros(256, bool)
+_BLANK[[ord(c) for c in BLANKS]] = True
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, as many as the longest text so far needed."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(2 * n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.multiply.accumulate(steps)
+    return _powers[0], _powers[1]
+
+
+def lower_word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the text's words, A-Z counting as a-z, all words at once."""
+    raw = np.frombuffer(text.encode().lower(), np.uint8) if text else np.zeros(0, np.uint8)
+    word = ~_BLANK[raw]
+    edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
+    if not len(edges):
+        return np.zeros(0, np.uint64)
+    up, down = _powers_up_to(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTES[raw] * up[: len(raw)], out=sums[1:])
+    starts, ends = edges[::2], edges[1::2]
+    # Shifted to the word's own start, so that a word hashes alike wherever it stands.
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
-    words = word_list(text)
-    words = [w.lower() for w in words]
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words)
-    width = min(width, len(words))
-    n = len(words) - width + 1
+    h = lower_word_hashes(text)
+    if not len(h):
+        return h
+    width = min(width, len(h))
+    n = len(h) - width + 1
     joined = np.full(n, width, np.uint64)
     for k in range(width):
         joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
-    return np.unique(joined)
+    joined.sort()
+    return joined[np.concatenate([[True], joined[1:] != joined[:-1]])]

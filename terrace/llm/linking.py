@@ -46,7 +46,7 @@ class Comparison:
     by: tuple[str, ...]
     likely: Callable[[str, str], Column]
     unlike: Callable[[str, str], Column]
-    rounds: int = 2
+    rounds: int = 1
     rows_per_piece: int = 1000
 
 
@@ -78,18 +78,17 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
             yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
 
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = materialise(named.join(classes, "cls").select("cls", "rep", "n_shingles"), "wanted")
     # Stored, so that Spark knows the size of the ids beforehand and moves them, not the texts, while they are few.
-    ids = materialise(wanted.select(F.col("rep").alias("id")).distinct(), "wanted-ids")
+    ids = materialise(named.join(classes, "cls").select(F.col("rep").alias("id")).distinct(), "wanted-ids")
     texts = rows.join(ids, "id", "left_semi")
     # Rows with one id may hold several texts, or the same one twice.
     sets = materialise(
-        texts.select(full("text").alias("f")).select("f.*").join(wanted.select("cls", "n_shingles"), "cls").dropDuplicates(["cls"]),
+        texts.select(full("text").alias("f")).select("f.*").join(named, "cls", "left_semi").dropDuplicates(["cls"]),
         "sets",
     )
     met = pairs
     for end in ("a", "b"):
-        met = met.join(sets.select(F.col("cls").alias(end), F.col("set").alias(f"{end}_set"), F.col("n_shingles").alias(f"{end}_n")), end)
+        met = met.join(sets.select(F.col("cls").alias(end), F.col("set").alias(f"{end}_set"), (F.octet_length("set") / 8).cast("long").alias(f"{end}_n")), end)
     counted = met.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("both"), _shared("a_set", "b_set").alias("shared"))
     return materialise(
         counted.filter(F.col("shared") * 100 >= how.percent * (F.col("both") - F.col("shared"))).select("a", "b"), "links"
@@ -117,7 +116,7 @@ def _crossing(mixed: DataFrame, classes: DataFrame, how: Comparison) -> DataFram
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.ceil(F.sum("n") / how.rows_per_piece).cast("int").alias("cuts")
     )
     marked = materialise(
-        balanced_join(mixed, materialise(largest, "largest"), "key", "inner").select(
+        balanced_join(mixed, materialise(largest, "largest"), "key", "inner", keys_from=mixed).select(
             "key", "cls", "comp", "cuts", (F.col("comp") == F.col("main")).alias("in_main")
         ).join(classes.select("cls", *how.by), "cls"), "crossing",
     )
@@ -147,15 +146,17 @@ def linked(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
             F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", "key", F.lit(round_))).alias("pick"),
         ).filter("lo <> hi").select("key", "pick")
-        at = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner"), "met")
+        met = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner", keys_from=members), "met")
+        members = met.select("key", "cls")
         if round_ < how.rounds:
-            apart = at.filter(F.col("comp") != F.col("pick.comp"))
+            apart = met.filter(F.col("comp") != F.col("pick.comp"))
             pairs = _likeliest(apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct(), classes, how)
         else:
-            pairs = _crossing(at.select("key", "cls", "comp"), classes, how)
-        members = at.select("key", "cls")
-        links = links.union(verified(materialise(pairs, "pairs"), rows, classes, how))
-        roots = materialise(components(links), "roots")
+            pairs = _crossing(met.select("key", "cls", "comp"), classes, how)
+        new = verified(materialise(pairs, "pairs"), rows, classes, how)
+        if not new.isEmpty():
+            links = links.union(new)
+            roots = components(links)
     return roots
 
 

@@ -47,7 +47,7 @@ class Settings:
     bits: int = 4
     band_rows: int = 4
     bands: int = 32
-    rounds: int = 2
+    rounds: int = 1
 
     def __post_init__(self):
         if self.bits != 4 or self.minima % 16 or self.bands * self.band_rows > self.minima:
@@ -155,7 +155,7 @@ def link(
     )
     placed = classes.select("cls", F.explode("bands").alias("key"))
     crowded = materialise(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "buckets")
-    members = materialise(balanced_join(placed, crowded, "key", "left_semi"), "members")
+    members = materialise(balanced_join(placed, crowded, "key", "left_semi", keys_from=placed), "members")
     roots = linked(rows, classes, members, own_links(named), _comparison(settings))
     done = with_component(signed.select("id", "n_shingles", "cls"), classes, roots)
     return done.select(

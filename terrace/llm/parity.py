@@ -54,7 +54,6 @@ from pyspark.sql import types as T
 
 from terrace.llm.common import mixed, only, pieces, shingle_set, small
 from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
-from terrace.operators.joins import balanced_join
 from terrace.sources.tables import materialise
 
 
@@ -64,7 +63,7 @@ class Settings:
 
     shingle: int = 5
     percent: int = 80
-    rounds: int = 2
+    rounds: int = 1
     rows_per_piece: int = 1000
 
 
@@ -227,13 +226,23 @@ def _piece_rows(rows: DataFrame, settings: Settings) -> DataFrame:
     return rows.select("text").mapInArrow(run, "key long, short long")
 
 
-def _shared_pieces(rows: DataFrame, settings: Settings) -> DataFrame:
-    """(key, short, first): classes that share a piece, but for the first of each bucket."""
-    bucket = Window.partitionBy("key").orderBy("short")
+def _members(rows: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """(key, cls): the buckets that classes share, but for the most crowded ones that each may leave out.
+
+    One exchange brings the pieces of a bucket together, 24 bytes each; a bucket streams through its task.
+    """
+    bucket = Window.partitionBy("key")
     told = _piece_rows(rows, settings).select(
-        "key", "short", F.first("short").over(bucket).alias("first"), F.lag("short").over(bucket).alias("before")
+        "key", "short", F.lag("short").over(bucket.orderBy("short")).alias("before"), F.min("short").over(bucket).alias("lo"),
+        F.max("short").over(bucket).alias("hi"), F.count(F.lit(1)).over(bucket).alias("n"),
     )
-    return told.filter((F.col("short") != F.col("first")) & (F.col("short") != F.col("before"))).drop("before")
+    shared = told.filter((F.col("lo") != F.col("hi")) & (F.col("before").isNull() | (F.col("short") != F.col("before"))))
+    shared = shared.select("key", "short", "n", F.col("key").bitwiseAND(F.lit((1 << _SCHEME_BITS) - 1)).alias("scheme"))
+    least = classes.select("cls", "short", F.explode("slack").alias("slack")).select("cls", "short", "slack.*")
+    # A class has no more buckets than shingles. Any one order of the buckets will do.
+    crowded_first = Window.partitionBy("cls", "scheme").orderBy(F.desc("n"), "key")
+    ranked = shared.join(least, ["short", "scheme"]).withColumn("rank", F.row_number().over(crowded_first))
+    return materialise(ranked.filter(F.col("rank") >= F.col("least")).select("key", "cls"), "members")
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -256,19 +265,6 @@ def possible(x: str, y: str, percent: int) -> Column:
     return F.when(sized, near).otherwise(False)
 
 
-def _telling(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, cls): the buckets of each class, but for the most crowded ones that it may leave out."""
-    sizes = materialise(shared.groupBy("key").agg((F.count(F.lit(1)) + 1).alias("n"), F.min("first").alias("first")), "sizes")
-    later = balanced_join(shared.select("key", "short"), sizes.select("key", "n"), "key", "inner")
-    members = later.unionByName(sizes.select("key", F.col("first").alias("short"), "n"))
-    members = members.withColumn("scheme", F.col("key").bitwiseAND(F.lit((1 << _SCHEME_BITS) - 1)))
-    least = classes.select("cls", "short", F.explode("slack").alias("slack")).select("cls", "short", "slack.*")
-    # A class has no more buckets than shingles.
-    crowded_first = Window.partitionBy("cls", "scheme").orderBy(F.desc("n"), "key")
-    ranked = members.join(least, ["short", "scheme"]).withColumn("rank", F.row_number().over(crowded_first))
-    return ranked.filter(F.col("rank") >= F.col("least")).select("key", "cls")
-
-
 def link(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -279,9 +275,7 @@ def link(
     classes = materialise(
         named.groupBy("cls").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in _SIGNED.fieldNames() if c != "cls"]), "classes"
     )
-    shared = materialise(_shared_pieces(rows.filter("id IS NOT NULL"), settings), "shared")
-    members = materialise(_telling(shared, classes), "members")
-
+    members = _members(rows.filter("id IS NOT NULL"), classes, settings)
     how = Comparison(
         settings.shingle, settings.percent, ("n_shingles", "sketch"),
         lambda x, y: possible(x, y, settings.percent), lambda x, y: hamming(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")),
