@@ -9,7 +9,8 @@ classes of one component need no comparison: a link between them would change no
 decided on full sets, made anew from the texts of the classes in question.
 
 Buckets travel as (key, class) alone; what classes are compared by is joined to the few that are
-compared. Fixed cases: no buckets give no links; a class in no shared bucket has no root; rows
+compared. Rounds go on while they find links worth another one; the last step finds the rest, however
+many rounds there were. Fixed cases: no buckets give no links; a class in no shared bucket has no root; rows
 under one id are told apart by their class; columns of the caller's tables other than those named
 are not looked at.
 """
@@ -46,10 +47,14 @@ class Comparison:
     by: tuple[str, ...]
     likely: Callable[[str, str], Column]
     unlike: Callable[[str, str], Column]
-    rounds: int = 1
+    rounds: int = 6
     rows_per_piece: int = 1000
 
 
+# Rounds end when one finds fewer new links than this share of all links so far.
+_WORTH_A_ROUND = 0.01
+
+
 def digest(hashes: np.ndarray) -> bytes:
     """The class of a set."""
     return blake2b(hashes.tobytes(), digest_size=16).digest()
@@ -80,7 +85,8 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     # Stored, so that Spark knows the size of the ids beforehand and moves them, not the texts, while they are few.
     ids = materialise(named.join(classes, "cls").select(F.col("rep").alias("id")).distinct(), "wanted-ids")
-    texts = rows.join(ids, "id", "left_semi")
+    # Stored too: Spark would else make sets of all texts first and look the ids up afterwards.
+    texts = materialise(rows.join(ids, "id", "left_semi"), "texts")
     # Rows with one id may hold several texts, or the same one twice.
     sets = materialise(
         texts.select(full("text").alias("f")).select("f.*").join(named, "cls", "left_semi").dropDuplicates(["cls"]),
@@ -137,8 +143,8 @@ def linked(
     ``rows`` (id, text), ``classes`` (cls, rep: an id whose text it is, n_shingles, what they are compared by),
     ``members`` (key, cls), ``links`` (a, b) known beforehand.
     """
-    roots = components(links)
-    for round_ in range(how.rounds + 1):
+    roots, found, picking, round_ = components(links), 0, how.rounds > 0, 0
+    while True:
         at = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
             "key", "cls", F.coalesce("root", "cls").alias("comp")
         )
@@ -148,16 +154,21 @@ def linked(
         ).filter("lo <> hi").select("key", "pick")
         met = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner", keys_from=members), "met")
         members = met.select("key", "cls")
-        if round_ < how.rounds:
+        if picking:
             apart = met.filter(F.col("comp") != F.col("pick.comp"))
             pairs = _likeliest(apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct(), classes, how)
         else:
             pairs = _crossing(met.select("key", "cls", "comp"), classes, how)
         new = verified(materialise(pairs, "pairs"), rows, classes, how)
-        if not new.isEmpty():
+        more = new.count()
+        if more:
             links = links.union(new)
             roots = components(links)
-    return roots
+        if not picking:
+            return roots
+        found, round_ = found + more, round_ + 1
+        # Whatever picks leave apart is compared in full.
+        picking = round_ < how.rounds and more > _WORTH_A_ROUND * found
 
 
 def own_links(named: DataFrame) -> DataFrame:

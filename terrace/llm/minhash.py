@@ -47,7 +47,7 @@ class Settings:
     bits: int = 4
     band_rows: int = 4
     bands: int = 32
-    rounds: int = 1
+    rounds: int = 6
 
     def __post_init__(self):
         if self.bits != 4 or self.minima % 16 or self.bands * self.band_rows > self.minima:

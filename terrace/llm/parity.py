@@ -63,7 +63,7 @@ class Settings:
 
     shingle: int = 5
     percent: int = 80
-    rounds: int = 1
+    rounds: int = 6
     rows_per_piece: int = 1000
 
 
@@ -146,7 +146,12 @@ def _pieces(hashes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]
 
 def slack(hashes: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """(scheme, buckets that a linked set shares at least) for all schemes of a set."""
-    return [(s.number, max(len(_pieces(hashes, s)[1]) - s.spread, 1)) for s in schemes(len(hashes), percent)]
+    out, high = [], hashes >> np.uint64(32)
+    for scheme in schemes(len(hashes), percent):
+        piece = (high * np.uint64(scheme.blocks)) >> np.uint64(32)
+        told = 1 + int(np.count_nonzero(piece[1:] != piece[:-1]))
+        out.append((scheme.number, max(told - scheme.spread, 1)))
+    return out
 
 
 def piece_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
@@ -162,7 +167,7 @@ def piece_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
             keys.append(mixed(empty + base + np.uint64(1 << 39)))
         low = np.uint64((1 << _SCHEME_BITS) - 1)
         out.append((np.concatenate(keys) & ~low) | (np.uint64(scheme.number) & low))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return np.concatenate(out).view(np.int64)
 
 
 def _short(cls: bytes) -> int:
