@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import decontaminate, forest, line_chunks, minhash, spm
-from terrace.llm.common import quoted, table
+from terrace.llm.common import in_short_batches, quoted, table
 from terrace.llm.queries import MODEL
 from terrace.sources.tables import materialise
 
 
+@in_short_batches
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the forest reject go."""
     return forest.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -31,16 +32,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else left
 
 
+@in_short_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by five-word shingles, similarity 0.8 or more."""
     return minhash.keep_one(docs)
 
 
+@in_short_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, or a segment of one, go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_short_batches
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document."""
     ids = spm.token_ids(spm.model_bytes(spark, MODEL), F.col("text"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# So many rows travel to or from a Python worker at once.
+_BATCH_ROWS = 500
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_short_batches(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query over texts, its first argument the session, which from then on sends short Arrow batches.
+
+    Spark's own 10,000 rows of long texts are held several times over by the executor and each of its
+    workers. A smaller limit set by the user stays.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, *args, **options) -> DataFrame:
+        if not 0 < int(spark.conf.get(_BATCH_CONF)) <= _BATCH_ROWS:
+            spark.conf.set(_BATCH_CONF, str(_BATCH_ROWS))
+        return query(spark, *args, **options)
+
+    return run
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, whatever its case."""
     taken = {name.lower() for name in df.columns}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import decontaminate, forest, gam, line_chunks, minhash, parity, runs, sharding, spm, token_shards, toxicity, trie, windows
-from terrace.llm.common import table
+from terrace.llm.common import in_short_batches, table
 from terrace.session import work_folder
 from terrace.sources import storage
 
@@ -31,17 +31,20 @@ def _scored(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:
     )
 
 
+@in_short_batches
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(_fold(F.col("doc_id"), 5) != 0))
     return _scored(docs, _fold(F.col("doc_id"), 5) == 0, toxicity.score(model, F.col("text")))
 
 
+@in_short_batches
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = minhash.Settings(shingle=3, percent=85, band_rows=5, bands=25)
     return minhash.link(table(spark, sf_dir, "documents"), settings=settings)
 
 
+@in_short_batches
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"))
     found = table(spark, sf_dir, "documents").select("doc_id", decontaminate.leaks(blocks, F.col("text")).alias("leaks"))
@@ -52,11 +55,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@in_short_batches
 def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL) -> DataFrame:
     model = spm.model_bytes(spark, model_path)
     return table(spark, sf_dir, "documents").select("doc_id", spm.digest(model, F.col("text")).alias("d")).select("doc_id", "d.*")
 
 
+@in_short_batches
 def op5_token_shards(spark: SparkSession, sf_dir: str, ranks_path: str = RANKS) -> DataFrame:
     """The manifest of shards written to the shared work folder."""
     encoder = token_shards.RankFile(spm.model_bytes(spark, ranks_path))
@@ -65,6 +70,7 @@ def op5_token_shards(spark: SparkSession, sf_dir: str, ranks_path: str = RANKS)
     return manifest.withColumn("first_doc", F.col("first_doc").cast("long"))
 
 
+@in_short_batches
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done, cut = windows.without_repeats(docs)
@@ -88,22 +94,26 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@in_short_batches
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
     )
 
 
+@in_short_batches
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = gam.fit(docs, labels.filter(_fold(F.col("doc_id"), 3) != 1))
     return _scored(docs, _fold(F.col("doc_id"), 3) == 1, gam.score(model, F.col("text")))
 
 
+@in_short_batches
 def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.link(table(spark, sf_dir, "documents"))
 
 
+@in_short_batches
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     seed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
@@ -118,6 +128,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@in_short_batches
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = trie.numbered_turns(table(spark, sf_dir, "conversations"))
     return trie.trie(*trie.with_shared_openings(turns))
