@@ -1,7 +1,7 @@
 """Components of the links between text classes that share buckets.
 
-Classes (texts with equal shingle sets) that share a bucket may be linked. A bucket is not
-expanded into pairs: in each round every class is verified against the likeliest of one pick per
+Classes (texts with equal shingle sets) that share a bucket may be linked. A bucket of a few classes
+may be compared whole (``linked_in_small``). A larger one is not expanded into pairs: in each round every class is verified against the likeliest of one pick per
 bucket, and what links is joined into components. Then, in buckets that still hold several
 components, classes outside the largest one are compared with the others, in pieces of bounded
 size spread over tasks, and only pairs that the caller's test cannot refute leave the join. Two
@@ -101,12 +101,16 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
     )
 
 
-def _likeliest(pairs: DataFrame, classes: DataFrame, how: Comparison) -> DataFrame:
-    """For every class the most similar of its possible partners."""
+def _near(pairs: DataFrame, classes: DataFrame, how: Comparison) -> DataFrame:
+    """(a, b, unlike) of the pairs (a, b) that the test does not refute."""
     met = pairs
     for end, side in (("a", "x"), ("b", "y")):
         met = met.join(classes.select(F.col("cls").alias(end), F.struct(*how.by).alias(side)), end)
-    near = met.filter(how.likely("x", "y")).select("a", "b", how.unlike("x", "y").alias("unlike"))
+    return met.filter(how.likely("x", "y")).select("a", "b", how.unlike("x", "y").alias("unlike"))
+
+
+def _likeliest(near: DataFrame) -> DataFrame:
+    """For every class ``a`` the most similar of its possible partners."""
     best = near.groupBy("a").agg(F.min(F.struct("unlike", "b")).alias("best"))
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
@@ -135,6 +139,33 @@ def _crossing(mixed: DataFrame, classes: DataFrame, how: Comparison) -> DataFram
     return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
 
 
+# Buckets of up to so many classes are compared whole: at most 3.5 pairs for each place in one.
+SMALL_BUCKET = 8
+
+
+def linked_in_small(
+    rows: DataFrame, classes: DataFrame, members: DataFrame, links: DataFrame, how: Comparison
+) -> DataFrame:
+    """``links`` and those within buckets of up to ``SMALL_BUCKET`` classes, as far as they join components.
+
+    Nothing of such a bucket is left for ``linked``: its pairs are compared once, not in every round.
+    The likeliest pair of every class is verified first, then those whose classes are still apart.
+    """
+    together = members.groupBy("key").agg(F.sort_array(F.collect_list("cls")).alias("all"))
+    pairs = together.select("all", F.posexplode("all").alias("i", "a")).select(
+        "a", F.explode(F.slice("all", F.col("i") + 2, SMALL_BUCKET)).alias("b")
+    ).distinct()
+    near = materialise(_near(pairs, classes, how), "near")
+    turned = near.select(F.col("b").alias("a"), F.col("a").alias("b"), "unlike")
+    likeliest = materialise(_likeliest(near.union(turned)), "pairs")
+    links = links.union(verified(likeliest, rows, classes, how))
+    roots, apart = components(links), near.select("a", "b").join(likeliest, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    apart = apart.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    return links.union(verified(materialise(apart, "pairs"), rows, classes, how))
+
+
 def linked(
     rows: DataFrame, classes: DataFrame, members: DataFrame, links: DataFrame, how: Comparison
 ) -> DataFrame:
@@ -152,11 +183,15 @@ def linked(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
             F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", "key", F.lit(round_))).alias("pick"),
         ).filter("lo <> hi").select("key", "pick")
-        met = materialise(balanced_join(at, materialise(mixed, "mixed"), "key", "inner", keys_from=members), "met")
+        mixed = materialise(mixed, "mixed")
+        if mixed.isEmpty():
+            return roots
+        met = materialise(balanced_join(at, mixed, "key", "inner", keys_from=members), "met")
         members = met.select("key", "cls")
         if picking:
             apart = met.filter(F.col("comp") != F.col("pick.comp"))
-            pairs = _likeliest(apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct(), classes, how)
+            picks = apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct()
+            pairs = _likeliest(_near(picks, classes, how))
         else:
             pairs = _crossing(met.select("key", "cls", "comp"), classes, how)
         new = verified(materialise(pairs, "pairs"), rows, classes, how)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm.common import fresh, mixed, only, quoted, shingle_set, small
-from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
+from terrace.llm.linking import SMALL_BUCKET, Comparison, digest, linked, linked_in_small, own_links, with_component
 from terrace.llm.parity import possible, sketch
 from terrace.operators.joins import balanced_join
 from terrace.sources.tables import materialise
@@ -154,9 +154,12 @@ def link(
         named.groupBy("cls").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in _SIGNED.fieldNames() if c != "cls"]), "classes"
     )
     placed = classes.select("cls", F.explode("bands").alias("key"))
-    crowded = materialise(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "buckets")
-    members = materialise(balanced_join(placed, crowded, "key", "left_semi", keys_from=placed), "members")
-    roots = linked(rows, classes, members, own_links(named), _comparison(settings))
+    crowded = materialise(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    members = materialise(balanced_join(placed, crowded, "key", "inner", keys_from=placed), "members")
+    how = _comparison(settings)
+    small = F.col("n") <= SMALL_BUCKET
+    links = linked_in_small(rows, classes, members.filter(small).select("key", "cls"), own_links(named), how)
+    roots = linked(rows, classes, members.filter(~small).select("key", "cls"), links, how)
     done = with_component(signed.select("id", "n_shingles", "cls"), classes, roots)
     return done.select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),

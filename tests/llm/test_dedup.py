@@ -5,10 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from terrace.llm import common, line_chunks, minhash, queries, windows
+import corpus_pipeline
+from terrace.llm import common, line_chunks, linking, minhash, queries, windows
 from terrace.llm.components import components
+from terrace.sources.tables import materialise
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,6 +80,47 @@ def test_near_duplicates_lose_no_link(spark, tricky_docs, tricky, rounds):
     assert found == groups(crowd, 3, 85)
 
 
+def test_small_buckets_are_compared_once(spark, monkeypatch):
+    """Groups of three, two of them linked: no round after the first looks at their buckets again."""
+    rng = random.Random(9)
+    rows = []
+    for group in range(12):
+        base = [f"w{group}_{i}" for i in range(120)]
+        for k, changed in enumerate((0, 1, 9)):
+            text = list(base)
+            for at in rng.sample(range(120), changed):
+                text[at] = f"x{rng.randint(0, 10**6)}"
+            rows.append((3 * group + k, " ".join(text)))
+    visited = []
+
+    def counting(df, name):
+        stored = materialise(df, name)
+        if name == "met":
+            visited.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(linking, "materialise", counting)
+    settings = minhash.Settings(shingle=3, percent=85, band_rows=5, bands=25)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.link(frame, settings=settings).collect()} == groups(rows, 3, 85)
+    assert sum(visited) == 0
+
+
+def test_texts_travel_in_short_batches(spark):
+    @F.pandas_udf("int")
+    def rows_of_batch(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        corpus_pipeline.encoding(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), SF)
+        sent = spark.range(1500).coalesce(1).select(rows_of_batch(F.col("id").cast("string")).alias("n"))
+        assert sent.agg(F.max("n")).first()[0] <= 500
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_near_duplicates_keep_one_of_each_group(spark, tricky_docs, tricky, no_docs):
     kept = minhash.keep_one(tricky_docs)
     assert kept.columns == tricky_docs.columns
