@@ -37,6 +37,20 @@ class Written:
     metrics: dict[str, int] = field(default_factory=dict)
 
 
+# Spark's own setting. Without it the exchanges of a query stay on disk until the driver's JVM happens to collect its plan.
+_FREE_EXCHANGES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _stored(df: DataFrame, path: str, file_format: str = "parquet") -> None:
+    """Write to a path; from then on the session deletes a query's exchanges when it has ended."""
+    conf = df.sparkSession.conf
+    # Whoever set it before, either way, is followed.
+    if conf.get(_FREE_EXCHANGES, None) is None:
+        conf.set(_FREE_EXCHANGES, "true")
+    writer = df.write.format(file_format)
+    (writer.option("compression", "zstd") if file_format == "parquet" else writer).save(path)
+
+
 def load_folder(root: str, table: str, load_id: str) -> str:
     return f"{root.rstrip('/')}/{table}/load_id={load_id}"
 
@@ -88,7 +102,7 @@ def write_table(
     watch = Observation(f"{table}-{uuid.uuid4().hex[:8]}")
     extra = [expr.alias(name) for name, expr in (metrics or {}).items()]
     observed = df.observe(watch, F.count(F.lit(1)).alias("rows"), *extra).drop(*helpers)
-    observed.write.format(file_format).save(path)
+    _stored(observed, path, file_format)
     seen = {name: value or 0 for name, value in watch.get.items()}
     return Written(table, commit(df.sparkSession, path), seen.pop("rows"), seen)
 
@@ -171,5 +185,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the true size of what follows.
     """
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    _stored(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -15,6 +16,7 @@ from terrace.operators.joins import hot_keys, salted_join
 from terrace.operators.keys import dense_key
 from terrace.operators.profile import KeyPair, approximate_profile, key_differences, missing_members, profile
 from terrace.operators.rules import AcceptedValues, Between, InSet, LengthEquals, NotNull, Relationship, Unique, evaluate
+from terrace.sources.tables import materialise
 
 
 def plan(df) -> str:
@@ -322,3 +324,25 @@ def test_missing_members_match_null(spark):
     assert {tuple(r) for r in missing_members(df, "c", known, "c").collect()} == {("a", 2), (None, 1)}
     with_null = spark.createDataFrame([("b",), (None,)], "c string")
     assert {tuple(r) for r in missing_members(df, "c", with_null, "c").collect()} == {("a", 2)}
+
+
+# ------------------------------------------------------------------- storage
+
+
+def test_exchanges_go_when_a_result_is_stored(spark):
+    """Many stored steps in a row must not pile up their exchanges on disk."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanges():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before = exchanges()
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    stored = materialise(counted, "counted")
+    for _ in range(50):
+        if not exchanges() - before:
+            break
+        time.sleep(0.1)
+    assert not exchanges() - before
+    assert {tuple(row) for row in stored.collect()} == {(k, 100) for k in range(10)}
