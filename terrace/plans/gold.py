@@ -134,15 +134,19 @@ def fact_order_items(
     """One row per order line that belongs to an order; unmatched keys stay null.
 
     Customer and purchase date were looked up per order already; they are taken
-    from the stored order rows instead of being looked up again per line.
+    from the stored order rows instead of being looked up again per line. They come
+    last and each id goes when its key is known, so lines move as narrow as they can.
     """
     heads = fact_orders.select("order_id", "purchase_date_key", "customer_key")
-    lines = staging.order_items(order_items).withColumn(
-        "shipping_limit_date_key", date_key(F.col("shipping_limit_date"))
-    ).drop("shipping_limit_date")
-    found = balanced_join(lines, heads, "order_id", "inner")
-    found = balanced_join(found, dim_products.select("product_id", "product_key"), "product_id", "left", lines)
-    found = balanced_join(found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left", lines)
+    lines = staging.order_items(order_items)
+    found = balanced_join(
+        lines.withColumn("shipping_limit_date_key", date_key(F.col("shipping_limit_date"))).drop("shipping_limit_date"),
+        dim_products.select("product_id", "product_key"), "product_id", "left", lines,
+    ).drop("product_id")
+    found = balanced_join(
+        found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left", lines
+    ).drop("seller_id")
+    found = balanced_join(found, heads, "order_id", "inner", lines)
     return found.select(
         "order_id", "order_item_id",
         "product_key", "seller_key", "customer_key",
@@ -178,12 +182,6 @@ def fact_orders(
     need no salting, all three sides have one row per order (the raw gate has
     checked orders for that).
     """
-    heads = balanced_join(staging.orders(orders), bridge, "customer_id", "left", keys_from=orders)
-    measured = (
-        heads
-        .join(payment_rollup(order_payments), "order_id", "left")
-        .join(review_rollup(order_reviews), "order_id", "left")
-    )
     dates = {
         "purchase_date_key": "order_purchase_timestamp",
         "approval_date_key": "order_approved_at",
@@ -191,10 +189,19 @@ def fact_orders(
         "delivery_date_key": "order_delivered_customer_date",
         "estimated_delivery_date_key": "order_estimated_delivery_date",
     }
-    return measured.select(
-        "order_id", "customer_key",
-        *[date_key(F.col(source)).alias(name) for name, source in dates.items()],
+    # Date keys are made first: five integers move through the joins, not five moments.
+    keyed = staging.orders(orders).select(
+        "order_id", "customer_id", *[date_key(F.col(source)).alias(name) for name, source in dates.items()],
         "order_status", "delivery_delay_days",
+    )
+    heads = balanced_join(keyed, bridge, "customer_id", "left", keys_from=orders).drop("customer_id")
+    measured = (
+        heads
+        .join(payment_rollup(order_payments), "order_id", "left")
+        .join(review_rollup(order_reviews), "order_id", "left")
+    )
+    return measured.select(
+        "order_id", "customer_key", *dates, "order_status", "delivery_delay_days",
         F.coalesce("total_payment_value", F.lit(0.0)).alias("total_payment_value"),
         F.coalesce("payment_method_count", F.lit(0)).alias("payment_method_count"),
         "avg_review_score",

@@ -287,6 +287,29 @@ def test_items_without_an_order_are_dropped(spark, finished):
     assert rows(fact, "order_id", "product_key") == {("o1", 1), ("o1", 2), ("o2", 3), ("o4", None)}
 
 
+def _last_join_input(df) -> set[str]:
+    """Names of the columns that enter the last join of a plan from the left."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    names = node.left().output()
+    return {names.apply(i).name() for i in range(names.size())}
+
+
+def test_facts_move_keys_instead_of_ids_and_moments(spark, finished):
+    places = finished[0]
+    silver_of = {t: read_table(spark, places.silver, t) for t in config.SILVER_TABLES}
+    gold_of = {t: read_table(spark, places.gold, t) for t in config.GOLD_TABLES}
+    lines = gold.fact_order_items(
+        silver_of["order_items"], gold_of["fact_orders"], gold_of["dim_products"], gold_of["dim_sellers"]
+    )
+    assert not _last_join_input(lines) & {"product_id", "seller_id", "shipping_limit_date"}
+    bridge = gold.customer_bridge(silver_of["customers"], gold_of["dim_customers"])
+    orders = gold.fact_orders(silver_of["orders"], silver_of["order_payments"], silver_of["order_reviews"], bridge)
+    assert not _last_join_input(orders) & {"customer_id", *config.ORDER_DATE_COLUMNS}
+    assert rows(lines) == rows(gold_of["fact_order_items"]) and rows(orders) == rows(gold_of["fact_orders"])
+
+
 def test_default_calendar(spark):
     days = {r["date_key"]: r for r in gold.dim_date(gold.fixed_days(spark)).collect()}
     assert len(days) == 1201 and max(days) == 20190414
