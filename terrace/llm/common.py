@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import wraps
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,8 +114,6 @@ def crc32_sql(number: str) -> str:
 
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_KNOWN_WORDS = 100_000
-_hashes: dict[bytes, int] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -122,17 +122,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes; words seen before by this worker are looked up."""
-    new = set(words).difference(_hashes)
-    if new:
-        if len(_hashes) > _KNOWN_WORDS:
-            _hashes.clear()
-            new = set(words)
-        _hashes.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 # Every byte value has a random 64-bit number; a word is the polynomial of its bytes' numbers.
 _BYTES = np.random.default_rng(71).integers(0, 2**64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -151,30 +140,82 @@ def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def lower_word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the text's words, A-Z counting as a-z, all words at once."""
-    raw = np.frombuffer(text.encode().lower(), np.uint8) if text else np.zeros(0, np.uint8)
+@dataclass(frozen=True)
+class Words:
+    """The words of texts that lie one after the other: where each starts and ends, its 64-bit hash, and the texts' first words."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+
+    @property
+    def text_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
+
+def words_of(raw: np.ndarray, edges: np.ndarray) -> Words:
+    """All words at once of the texts ``raw[edges[i]:edges[i + 1]]``, bytes in UTF-8."""
     word = ~_BLANK[raw]
-    edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
-    if not len(edges):
-        return np.zeros(0, np.uint64)
+    cut = edges[(edges > 0) & (edges < len(raw))]
+    opens, closes = word.copy(), word.copy()
+    opens[1:] &= ~word[:-1]
+    opens[cut] = word[cut]
+    closes[:-1] &= ~word[1:]
+    closes[cut - 1] = word[cut - 1]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     up, down = _powers_up_to(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTES[raw] * up[: len(raw)], out=sums[1:])
-    starts, ends = edges[::2], edges[1::2]
     # Shifted to the word's own start, so that a word hashes alike wherever it stands.
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return Words(starts, ends, hashes, np.searchsorted(starts, edges))
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
-    h = lower_word_hashes(text)
-    if not len(h):
-        return h
-    width = min(width, len(h))
+def raw_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, edges) of an Arrow column of texts, not copied; a null has no bytes."""
+    if texts.null_count:
+        texts = texts.fill_null("")
+    texts = texts.cast(pa.large_string())
+    _, places, data = texts.buffers()
+    edges = np.frombuffer(places, np.int64, len(texts) + 1, texts.offset * 8) if places else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data else np.zeros(0, np.uint8)
+    return raw, edges - edges[0]
+
+
+# Texts are hashed together up to so many bytes: what is made of them fits a processor's cache.
+_BYTES_AT_ONCE = 1 << 18
+
+
+def in_pieces(texts: pa.Array) -> Iterator[slice]:
+    return pieces(len(texts), pc.fill_null(pc.binary_length(texts), 0).to_pylist(), _BYTES_AT_ONCE)
+
+
+def _shingles(h: np.ndarray, width: int) -> np.ndarray:
     n = len(h) - width + 1
     joined = np.full(n, width, np.uint64)
     for k in range(width):
         joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
-    joined.sort()
-    return joined[np.concatenate([[True], joined[1:] != joined[:-1]])]
+    return joined
+
+
+def shingle_sets(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its shingles; A-Z count as a-z."""
+    coded = [t.encode().lower() if t else b"" for t in texts]
+    for part in pieces(len(coded), [len(c) for c in coded], _BYTES_AT_ONCE):
+        edges = np.cumsum([0, *map(len, coded[part])])
+        words = words_of(np.frombuffer(b"".join(coded[part]), np.uint8), edges)
+        joined = _shingles(words.hashes, width) if len(words.hashes) >= width else None
+        for start, end in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            if end - start >= width:
+                found = joined[start : end - width + 1]
+                found.sort()
+                # Not a view: a set that is kept shall not keep all of them.
+                yield found[np.concatenate([[True], found[1:] != found[:-1]])]
+            else:
+                yield _shingles(words.hashes[start:end], end - start) if end > start else np.zeros(0, np.uint64)
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
+    return next(shingle_sets([text], width))

@@ -20,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import fresh, only, quoted, word_hashes, word_list
+from terrace.llm.common import Words, fresh, in_pieces, mixed, only, quoted, raw_texts, words_of
 from terrace.sources.tables import materialise
 
 
@@ -42,27 +43,59 @@ _BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 def rolled(hashes: np.ndarray, width: int, base: int = 0) -> np.ndarray:
-    """Rabin-Karp hash of every window: the words as digits of a number modulo 2**64."""
-    n = len(hashes) - width + 1
-    if n <= 0:
+    """Rabin-Karp hash of every window: the words as digits of a number modulo 2**64.
+
+    Windows are put together from shorter ones, half as long or shorter by one word.
+    """
+    if len(hashes) < width:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(width):
-        out *= _BASES[base]
-        out += hashes[k : k + n]
+    digit = int(_BASES[base])
+    out, wide = hashes.astype(np.uint64), 1
+    for bit in f"{width:b}"[1:]:
+        out, wide = out[:-wide] * np.uint64(pow(digit, wide, 1 << 64)) + out[wide:], 2 * wide
+        if bit == "1":
+            out, wide = out[:-1] * np.uint64(digit) + hashes[wide:], wide + 1
     out ^= out >> np.uint64(31)
     out *= np.uint64(0x94D049BB133111EB)
     return out ^ (out >> np.uint64(29))
 
 
-def anchors(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all short windows, for every window the place of its anchor)."""
-    short = rolled(hashes, settings.anchor)
-    span = settings.width - settings.anchor + 1
-    if len(short) < span:
-        return short, np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(short, span)
-    return short, views.argmin(axis=1) + np.arange(len(views))
+def anchors(hashes: np.ndarray, settings: Settings) -> np.ndarray:
+    """For every window the smallest hash of the short windows it contains."""
+    least, wide, span = rolled(hashes, settings.anchor), 1, settings.width - settings.anchor + 1
+    if len(least) < span:
+        return np.zeros(0, np.uint64)
+    while wide < span:
+        step = min(wide, span - wide)
+        least, wide = np.minimum(least[:-step], least[step:]), wide + step
+    return least
+
+
+def _places(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, text) of every window that lies within one text."""
+    text = words.text_of
+    at = np.flatnonzero(text[: max(len(text) - width + 1, 0)] == text[width - 1 :])
+    return at, text[at]
+
+
+def _distinct(text: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Places of the first of each value in each text."""
+    order = np.lexsort((value, text))
+    new = np.ones(len(order), bool)
+    new[1:] = (text[order][1:] != text[order][:-1]) | (value[order][1:] != value[order][:-1])
+    return order[new]
+
+
+def _repeated(text: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Places of values that stand earlier in the same text."""
+    # Most values are alone. A sorted copy shows the others; which of them are of one text is looked at then.
+    mark = value ^ mixed(text.astype(np.uint64) + np.uint64(1))
+    ordered = np.sort(mark)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return np.zeros(0, np.int64)
+    at = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, mark), len(twice) - 1)] == mark)
+    return np.delete(at, _distinct(text[at], value[at]))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -88,30 +121,25 @@ def copies(rows: DataFrame) -> DataFrame:
     return hashed.join(first, ["text_hash", "check"]).filter(later).select("id", "part", "text_hash").distinct()
 
 
-def _emit(batch: pa.RecordBatch, per_row: list[dict[str, np.ndarray]], kept: list[str], made: dict[str, pa.DataType]) -> pa.RecordBatch:
-    """A batch with ``kept`` columns repeated for each made value."""
-    many = np.array([len(next(iter(r.values()))) for r in per_row], np.int64)
-    rows = pa.array(np.repeat(np.arange(len(per_row)), many))
-    columns = [batch.column(name).take(rows) for name in kept]
-    for name, kind in made.items():
-        values = np.concatenate([r[name] for r in per_row]) if len(per_row) else np.zeros(0)
-        columns.append(pa.array(values, type=kind))
-    return pa.RecordBatch.from_arrays(columns, names=[*kept, *made])
-
-
 def _anchor_rows(rows: DataFrame, settings: Settings) -> DataFrame:
-    """(id, part, text_hash, mark, twice): each text's anchors, and whether it has one twice."""
+    """(id, part, text_hash, mark): each text's anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column("text").to_pylist():
-                short, at = anchors(word_hashes(word_list(text)), settings)
-                mark, n = np.unique(short[np.unique(at)], return_counts=True)
-                found.append({"mark": mark.view(np.int64), "twice": n > 1})
-            yield _emit(batch, found, ["id", "part", "text_hash"], {"mark": pa.int64(), "twice": pa.bool_()})
-
-    schema = T.StructType([*rows.select("id", "part", "text_hash").schema, T.StructField("mark", T.LongType()), T.StructField("twice", T.BooleanType())])
+            for part in in_pieces(batch.column("text")):
+                cut = batch.slice(part.start, part.stop - part.start)
+                words = words_of(*raw_texts(cut.column("text")))
+                at, text = _places(words, settings.width)
+                mark = anchors(words.hashes, settings)[at]
+                # Windows side by side mostly have one anchor.
+                turn = np.ones(len(at), bool)
+                turn[1:] = (mark[1:] != mark[:-1]) | (text[1:] != text[:-1])
+                mark, text = mark[turn], text[turn]
+                own = _distinct(text, mark)
+                kept = [cut.column(c).take(pa.array(text[own])) for c in ("id", "part", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(mark[own].view(np.int64))], names=["id", "part", "text_hash", "mark"])
+
+    schema = T.StructType([*rows.select("id", "part", "text_hash").schema, T.StructField("mark", T.LongType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -120,15 +148,24 @@ def _window_rows(rows: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks"), strict=True):
-                hashes = word_hashes(word_list(text))
-                short, at = anchors(hashes, settings)
-                listed = np.isin(short[at].view(np.int64), marks.values.to_numpy(zero_copy_only=False))
-                hash_, place = np.unique(rolled(hashes, settings.width)[listed], return_index=True)
-                check = rolled(hashes, settings.width, 1)[listed][place] >> np.uint64(33)
-                found.append({"hash": hash_.view(np.int64), "check": check.astype(np.int32)})
-            yield _emit(batch, found, ["id", "part"], {"hash": pa.int64(), "check": pa.int32()})
+            for part in in_pieces(batch.column("text")):
+                cut = batch.slice(part.start, part.stop - part.start)
+                words = words_of(*raw_texts(cut.column("text")))
+                at, text = _places(words, settings.width)
+                # Every text lists those of its anchors that occur elsewhere: what one of them lists, all that have it do.
+                listed = np.unique(cut.column("marks").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+                mark = anchors(words.hashes, settings)[at]
+                if len(listed):
+                    met = listed[np.minimum(np.searchsorted(listed, mark), len(listed) - 1)] == mark
+                else:
+                    met = np.zeros(len(mark), bool)
+                at, text = at[met], text[met]
+                hash_ = rolled(words.hashes, settings.width)[at]
+                own = _distinct(text, hash_)
+                check = rolled(words.hashes, settings.width, 1)[at[own]] >> np.uint64(33)
+                kept = [cut.column(c).take(pa.array(text[own])) for c in ("id", "part")]
+                made = [pa.array(hash_[own].view(np.int64)), pa.array(check.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=["id", "part", "hash", "check"])
 
     schema = T.StructType([*rows.select("id", "part").schema, T.StructField("hash", T.LongType()), T.StructField("check", T.IntegerType())])
     return rows.mapInArrow(run, schema)
@@ -138,11 +175,10 @@ def earlier_windows(rows: DataFrame, copied: DataFrame, settings: Settings = Set
     """(id, part, hashes): windows of a document that a smaller id holds too."""
     hashed = rows.filter("text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
     marks = materialise(_anchor_rows(hashed, settings), "anchors")
-    # A mark in copies of one text only says nothing: the copies are dealt with.
+    # A mark in copies of one text only says nothing, however often: the copies are dealt with, and so are repeats within it.
     repeated = materialise(
-        marks.groupBy("mark").agg(
-            F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"), F.max("twice").alias("twice")
-        ).filter("lo <> hi OR twice").select("mark"), "repeated-anchors",
+        marks.groupBy("mark").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")).filter("lo <> hi").select("mark"),
+        "repeated-anchors",
     )
     asked = marks.join(repeated, "mark", "left_semi").groupBy("id", "part", "text_hash").agg(F.collect_list("mark").alias("marks"))
     asked = asked.alias("x").join(
@@ -173,29 +209,46 @@ _CUT = T.StructType([
 ])
 
 
-def cut(text: str | None, earlier: np.ndarray | None, copied: bool, settings: Settings) -> tuple[int, list[tuple[int, int]], str]:
-    """(words, removed spans [from, to), kept words joined by blanks) of one text."""
-    words = word_list(text)
-    n = len(words)
-    if n < settings.width:
-        return n, [], b" ".join(words).decode()
-    if copied:
-        return n, [(0, n)], ""
-    h = rolled(word_hashes(words), settings.width)
-    gone = np.ones(len(h), bool)
-    gone[np.unique(h, return_index=True)[1]] = False  # first places in this text
-    if earlier is not None and len(earlier):
-        gone |= np.isin(h.view(np.int64), earlier)
-    if not gone.any():
-        return n, [], b" ".join(words).decode()
-    edges = np.zeros(n + 1, np.int64)
-    starts = np.flatnonzero(gone)
-    edges[starts] += 1
-    edges[starts + settings.width] -= 1
-    covered = np.cumsum(edges[:-1]) > 0
-    turns = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
-    kept = b" ".join(w for w, out in zip(words, covered.tolist(), strict=True) if not out)
-    return n, list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True)), kept.decode()
+def cut(texts: pa.Array, earlier: pa.Array, copied: pa.Array, settings: Settings = Settings()) -> pa.Array:
+    """Of each text (words, removed spans [from, to), kept words joined by blanks), as ``_CUT``."""
+    raw, edges = raw_texts(texts)
+    words = words_of(raw, edges)
+    first = words.first
+    n = np.diff(first)
+    at, text = _places(words, settings.width)
+    window = rolled(words.hashes, settings.width)[at]
+    gone = np.zeros(len(at), bool)
+    gone[_repeated(text, window)] = True
+    bounds = np.searchsorted(text, np.arange(len(n) + 1))
+    for i in np.flatnonzero(pc.fill_null(pc.list_value_length(earlier), 0).to_numpy(zero_copy_only=False)).tolist():
+        own = slice(bounds[i], bounds[i + 1])
+        gone[own] |= np.isin(window[own].view(np.int64), earlier[i].values.to_numpy(zero_copy_only=False))
+    turns = np.zeros(len(words.hashes) + 1, np.int64)
+    starts = at[gone]
+    turns[starts] += 1
+    turns[starts + settings.width] -= 1
+    covered = np.cumsum(turns[:-1]) > 0
+    whole = copied.to_numpy(zero_copy_only=False).astype(bool) & (n >= settings.width)
+    covered |= np.repeat(whole, n)
+    opens, closes = covered.copy(), covered.copy()
+    # Spans end with their text.
+    inner = first[(first > 0) & (first < len(covered))]
+    opens[1:] &= ~covered[:-1]
+    opens[inner] = covered[inner]
+    closes[:-1] &= ~covered[1:]
+    closes[inner - 1] = covered[inner - 1]
+    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    base = first[np.searchsorted(first, start, "right") - 1]
+    spans = pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(start, first).astype(np.int32)),
+        pa.StructArray.from_arrays([pa.array((x - base).astype(np.int32)) for x in (start, end)], ["from_word", "to_word"]),
+    )
+    blob, kept = raw.tobytes(), []
+    touched = np.add.reduceat(np.append(covered, False), first[:-1]) * (n > 0) if len(n) else n
+    for i, (a, b, hit) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), touched.tolist(), strict=True)):
+        found = blob[a:b].split()
+        kept.append(b" ".join(compress(found, (~covered[first[i] : first[i + 1]]).tolist()) if hit else found))
+    return pa.StructArray.from_arrays([pa.array(n, pa.int64()), spans, pa.array(kept, pa.string())], _CUT.fieldNames())
 
 
 def without_repeats(
@@ -206,11 +259,11 @@ def without_repeats(
     copied = materialise(copies(rows), "copies")
     earlier = earlier_windows(rows, copied, settings)
 
-    @F.pandas_udf(_CUT)
-    def cutting(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, hashes, whole in batches:
-            found = [cut(t, h, c, settings) for t, h, c in zip(texts, hashes, whole, strict=True)]
-            yield pd.DataFrame(found, columns=_CUT.fieldNames())
+    @F.arrow_udf(_CUT)
+    def cutting(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            parts = [[c.slice(p.start, p.stop - p.start) for c in columns] for p in in_pieces(columns[0])]
+            yield pa.concat_arrays([cut(*part, settings) for part in parts] or [cut(*columns, settings)])
 
     name = fresh(docs, "cut")
     own = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), quoted(id_col).alias("id"), quoted(text_col).alias("text"))

@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,40 @@ def test_small_buckets_are_compared_once(spark, monkeypatch):
     assert sum(visited) == 0
 
 
+def test_texts_hashed_together_fare_as_each_alone(tricky):
+    texts = [t for _, t in tricky] + ["", None, "end", "\x1cno blank\x0b", "ab", "a b"]
+    both = list(common.shingle_sets(texts, 3))
+    for t, found in zip(texts, both, strict=True):
+        assert found.tolist() == next(common.shingle_sets([t], 3)).tolist()
+        assert len(found) == len(shingles(t, 3))
+    raw, edges = common.raw_texts(pa.array(["cut off", *texts])[1:])
+    words = common.words_of(raw, edges)
+    known: dict = {}
+    for k, t in enumerate(texts):
+        own = common.word_list(t)
+        hashes = words.hashes[words.first[k] : words.first[k + 1]].tolist()
+        assert len(own) == len(hashes) and all(known.setdefault(w, h) == h for w, h in zip(own, hashes, strict=True))
+    assert len(set(known.values())) == len(known)
+
+
+def test_repeats_within_one_text_send_no_windows(spark, monkeypatch):
+    """They are cut in their own text: nothing of them is stored or exchanged."""
+    line = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, " ".join([line] * 4)), (2, " ".join([line] * 4)), (3, " ".join(f"v{i}" for i in range(50)))]
+    stored = {}
+
+    def counting(df, name):
+        out = materialise(df, name)
+        stored[name] = stored.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(windows, "materialise", counting)
+    done, name = windows.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = {r["doc_id"]: r[name]["kept_text"] for r in done.collect()}
+    assert kept == {1: line, 2: "", 3: rows[2][1]}
+    assert stored["repeated-anchors"] == stored["windows"] == 0
+
+
 def test_texts_travel_in_short_batches(spark):
     @F.pandas_udf("int")
     def rows_of_batch(texts: pd.Series) -> pd.Series:
