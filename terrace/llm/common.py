@@ -214,8 +214,3 @@ def shingle_sets(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray
                 yield found[np.concatenate([[True], found[1:] != found[:-1]])]
             else:
                 yield _shingles(words.hashes[start:end], end - start) if end > start else np.zeros(0, np.uint64)
-
-
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles; A-Z count as a-z."""
-    return next(shingle_sets([text], width))

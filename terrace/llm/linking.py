@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import shingle_set, small
+from terrace.llm.common import shingle_sets, small
 from terrace.llm.components import components
 from terrace.operators.joins import balanced_join
 from terrace.sources.tables import materialise
@@ -79,7 +79,7 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
     @F.pandas_udf(_SET)
     def full(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in small(batches, 100):
-            found = [shingle_set(t, width).tobytes() for t in texts]
+            found = [s.tobytes() for s in shingle_sets(texts, width)]
             yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
 
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import fresh, mixed, only, quoted, shingle_set, small
+from terrace.llm.common import fresh, mixed, only, quoted, shingle_sets, small
 from terrace.llm.linking import SMALL_BUCKET, Comparison, digest, linked, linked_in_small, own_links, with_component
 from terrace.llm.parity import possible, sketch
 from terrace.operators.joins import balanced_join
@@ -111,8 +111,7 @@ def _signed(settings: Settings, text: Column) -> Column:
         seeds = mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
         for texts in small(batches):
             out = []
-            for t in texts:
-                s = shingle_set(t, settings.shingle)
+            for s in shingle_sets(texts, settings.shingle):
                 if not len(s):
                     out.append((0, None, None, None, None))
                     continue

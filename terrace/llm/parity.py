@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import mixed, only, pieces, shingle_set, small
+from terrace.llm.common import mixed, only, pieces, shingle_sets, small
 from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
 from terrace.sources.tables import materialise
 
@@ -188,8 +188,7 @@ def _signed(settings: Settings, text: Column) -> Column:
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in small(batches):
             out = []
-            for t in texts:
-                s = shingle_set(t, settings.shingle)
+            for s in shingle_sets(texts, settings.shingle):
                 if not len(s):
                     out.append((0, None, 0, None, None))  # a null would make pandas round the longs
                     continue
@@ -214,8 +213,7 @@ def _piece_rows(rows: DataFrame, settings: Settings) -> DataFrame:
             texts = batch.column("text")
             for part in pieces(len(texts), pc.fill_null(pc.binary_length(texts), 0).to_pylist(), _BYTES_AT_ONCE):
                 keys, shorts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for text in texts.slice(part.start, part.stop - part.start).to_pylist():
-                    s = shingle_set(text, settings.shingle)
+                for s in shingle_sets(texts.slice(part.start, part.stop - part.start).to_pylist(), settings.shingle):
                     if not len(s):
                         continue
                     short = _short(digest(s))
