@@ -3,8 +3,8 @@
 Windows are compared by Rabin-Karp hashes that Spark counts over all documents. Windows
 that cannot repeat are not shuffled: each contains ``width - anchor + 1`` shorter ones, of
 which the one with the smallest hash is its anchor, and equal windows have equal anchors.
-Only windows whose anchor occurs twice are counted, which loses none. Repeats within a
-document need no exchange at all. Overlapping repeated windows merge into maximal spans.
+Only windows whose anchor occurs in two different texts are counted, which loses none. Repeats
+within a document need no exchange at all. Overlapping repeated windows merge into maximal spans.
 
 A window is earlier if it starts in a document with a smaller id, or earlier in the same
 text. Copies of a whole text meet by hash first and take no part in the counting. Window
