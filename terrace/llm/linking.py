@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from terrace.llm.common import shingle_sets, small
 from terrace.llm.components import components
 from terrace.operators.joins import balanced_join
-from terrace.sources.tables import materialise
+from terrace.sources.tables import few, materialise
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,8 @@ class Comparison:
     rows_per_piece: int = 1000
 
 
-# Rounds end when one finds fewer new links than this share of all links so far.
-_WORTH_A_ROUND = 0.01
+# Rounds end when one finds fewer new links than this share of all that rounds found so far.
+_WORTH_A_ROUND = 0.1
 
 
 def digest(hashes: np.ndarray) -> bytes:
@@ -74,7 +74,7 @@ _SET = T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("set",
 
 def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Comparison) -> DataFrame:
     """The pairs (a, b) of classes whose full sets link, made from one text of each class."""
-    width = how.width
+    width, ends = how.width, 2 * pairs.count()
 
     @F.pandas_udf(_SET)
     def full(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -82,9 +82,9 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, how: Compari
             found = [s.tobytes() for s in shingle_sets(texts, width)]
             yield pd.DataFrame({"cls": [blake2b(s, digest_size=16).digest() for s in found], "set": found})
 
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    named = materialise(few(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), ends), "named")
     # Stored, so that Spark knows the size of the ids beforehand and moves them, not the texts, while they are few.
-    ids = materialise(named.join(classes, "cls").select(F.col("rep").alias("id")).distinct(), "wanted-ids")
+    ids = materialise(few(named.join(classes, "cls").select(F.col("rep").alias("id")).distinct(), ends), "wanted-ids")
     # Stored too: Spark would else make sets of all texts first and look the ids up afterwards.
     texts = materialise(rows.join(ids, "id", "left_semi"), "texts")
     # Rows with one id may hold several texts, or the same one twice.
@@ -144,9 +144,9 @@ SMALL_BUCKET = 8
 
 
 def linked_in_small(
-    rows: DataFrame, classes: DataFrame, members: DataFrame, links: DataFrame, how: Comparison
+    rows: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame, how: Comparison
 ) -> DataFrame:
-    """``links`` and those within buckets of up to ``SMALL_BUCKET`` classes, as far as they join components.
+    """``roots`` grown by the links within buckets of up to ``SMALL_BUCKET`` classes.
 
     Nothing of such a bucket is left for ``linked``: its pairs are compared once, not in every round.
     The likeliest pair of every class is verified first, then those whose classes are still apart.
@@ -157,24 +157,24 @@ def linked_in_small(
     ).distinct()
     near = materialise(_near(pairs, classes, how), "near")
     turned = near.select(F.col("b").alias("a"), F.col("a").alias("b"), "unlike")
-    likeliest = materialise(_likeliest(near.union(turned)), "pairs")
-    links = links.union(verified(likeliest, rows, classes, how))
-    roots, apart = components(links), near.select("a", "b").join(likeliest, ["a", "b"], "left_anti")
+    likeliest = materialise(few(_likeliest(near.union(turned)), 2 * near.count()), "pairs")
+    roots = components(verified(likeliest, rows, classes, how), roots)
+    apart = near.select("a", "b").join(likeliest, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
     apart = apart.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    return links.union(verified(materialise(apart, "pairs"), rows, classes, how))
+    return components(verified(materialise(apart, "pairs"), rows, classes, how), roots)
 
 
 def linked(
-    rows: DataFrame, classes: DataFrame, members: DataFrame, links: DataFrame, how: Comparison
+    rows: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame, how: Comparison
 ) -> DataFrame:
     """(node, root) of the classes that link: root is the smallest class reachable.
 
     ``rows`` (id, text), ``classes`` (cls, rep: an id whose text it is, n_shingles, what they are compared by),
-    ``members`` (key, cls), ``links`` (a, b) known beforehand.
+    ``members`` (key, cls), ``roots`` (node, root) known beforehand.
     """
-    roots, found, picking, round_ = components(links), 0, how.rounds > 0, 0
+    found, picking, round_ = 0, how.rounds > 0, 0
     while True:
         at = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
             "key", "cls", F.coalesce("root", "cls").alias("comp")
@@ -191,14 +191,13 @@ def linked(
         if picking:
             apart = met.filter(F.col("comp") != F.col("pick.comp"))
             picks = apart.select(F.col("cls").alias("a"), F.col("pick.cls").alias("b")).distinct()
-            pairs = _likeliest(_near(picks, classes, how))
+            pairs = few(_likeliest(_near(picks, classes, how)), met.count())
         else:
             pairs = _crossing(met.select("key", "cls", "comp"), classes, how)
         new = verified(materialise(pairs, "pairs"), rows, classes, how)
         more = new.count()
         if more:
-            links = links.union(new)
-            roots = components(links)
+            roots = components(new, roots)
         if not picking:
             return roots
         found, round_ = found + more, round_ + 1

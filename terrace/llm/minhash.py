@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm.common import fresh, mixed, only, quoted, shingle_sets, small
+from terrace.llm.components import components
 from terrace.llm.linking import SMALL_BUCKET, Comparison, digest, linked, linked_in_small, own_links, with_component
 from terrace.llm.parity import possible, sketch
 from terrace.operators.joins import balanced_join
@@ -157,8 +158,8 @@ def link(
     members = materialise(balanced_join(placed, crowded, "key", "inner", keys_from=placed), "members")
     how = _comparison(settings)
     small = F.col("n") <= SMALL_BUCKET
-    links = linked_in_small(rows, classes, members.filter(small).select("key", "cls"), own_links(named), how)
-    roots = linked(rows, classes, members.filter(~small).select("key", "cls"), links, how)
+    roots = linked_in_small(rows, classes, members.filter(small).select("key", "cls"), components(own_links(named)), how)
+    roots = linked(rows, classes, members.filter(~small).select("key", "cls"), roots, how)
     done = with_component(signed.select("id", "n_shingles", "cls"), classes, roots)
     return done.select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),

@@ -53,6 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm.common import mixed, only, pieces, shingle_sets, small
+from terrace.llm.components import components
 from terrace.llm.linking import Comparison, digest, linked, own_links, with_component
 from terrace.sources.tables import materialise
 
@@ -284,7 +285,7 @@ def link(
         lambda x, y: possible(x, y, settings.percent), lambda x, y: hamming(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")),
         settings.rounds, settings.rows_per_piece,
     )
-    roots = linked(rows, classes, members, own_links(named), how)
+    roots = linked(rows, classes, members, components(own_links(named)), how)
     return with_component(signed.select("id", "n_shingles", "cls"), classes, roots).select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id")
     )

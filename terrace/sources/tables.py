@@ -187,3 +187,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:8]}"
     _stored(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_ROWS_PER_FILE = 5_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most so many rows, in no more tasks than they need.
+
+    A shuffle leaves a result of some thousand rows in as many tasks and files as one of billions
+    where Spark does not coalesce it, and the files' footers outweigh the rows. What is computed in
+    the last stage runs in these tasks too, so it should follow an exchange or read as few rows.
+    """
+    return df.coalesce(max(1, -(-rows // _ROWS_PER_FILE)))

@@ -194,6 +194,37 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_known_components_grow_by_new_links(spark, monkeypatch):
+    """Only what new links join is followed, in as many tasks as it needs, however many partitions a shuffle has."""
+    known = spark.createDataFrame(
+        [(f"c{i}", "c0") for i in range(40)] + [(f"m{i}", "m0") for i in range(40)] + [("p", "p"), ("q", "p")], "node string, root string"
+    )
+    new = [("c30", "m7"), ("m1", "c0"), ("a", "m3"), ("x", "y"), ("y", "z"), ("c1", "c9"), ("w", "w")]
+    frames = [spark.createDataFrame(rows, "a string, b string") for rows in (new, new[-1:])]
+    stored = []
+
+    def counting(df, name):
+        out = materialise(df, name)
+        stored.append((name, out.count(), len(out.inputFiles())))
+        return out
+
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        monkeypatch.setattr("terrace.llm.components.materialise", counting)
+        grown, steps = components(frames[0], known).collect(), list(stored)
+        assert components(frames[1], known).count() == 82
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    joined = ["a", *[f"{x}{i}" for x in "cm" for i in range(40)]]
+    assert sorted(grown) == sorted([(n, "a") for n in joined] + [("p", "p"), ("q", "p"), ("x", "x"), ("y", "x"), ("z", "x")])
+    assert max(rows for name, rows, _ in steps if name in ("edges", "hooks")) <= 2 * 4
+    assert all(files == 1 for _, _, files in steps)
+
+
 def brute_windows(rows, width=20) -> list[tuple[int, int, str]]:
     first: dict = {}
     split = [(i, common.word_list(t)) for i, t in rows]
