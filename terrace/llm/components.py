@@ -19,7 +19,8 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     Every node hooks to its smallest neighbour, the hooks are followed a few times, and the
     graph is contracted to the nodes reached, until no edge is left. Each round is written
     to the shared work folder, so a lost executor costs one round at most, by as many tasks
-    as the edges then left need. Hubs are no burden: all a hub's task keeps is a minimum, taken partly before the shuffle.
+    as the edges then left need. Hubs are no burden: all a hub's task keeps is a minimum,
+    taken partly before the shuffle.
     """
     spark = edges.sparkSession
     rows = 2 * edges.count()
