@@ -135,17 +135,18 @@ def fact_order_items(
 
     Customer and purchase date were looked up per order already; they are taken
     from the stored order rows instead of being looked up again per line. They come
-    last and each id goes when its key is known, so lines move as narrow as they can.
+    last and each id goes when its key is known, so lines move as narrow as they can;
+    sellers, the fewest, come first, as lines often need not move to meet them.
     """
     heads = fact_orders.select("order_id", "purchase_date_key", "customer_key")
     lines = staging.order_items(order_items)
     found = balanced_join(
         lines.withColumn("shipping_limit_date_key", date_key(F.col("shipping_limit_date"))).drop("shipping_limit_date"),
-        dim_products.select("product_id", "product_key"), "product_id", "left", lines,
-    ).drop("product_id")
-    found = balanced_join(
-        found, dim_sellers.select("seller_id", "seller_key"), "seller_id", "left", lines
+        dim_sellers.select("seller_id", "seller_key"), "seller_id", "left", lines,
     ).drop("seller_id")
+    found = balanced_join(
+        found, dim_products.select("product_id", "product_key"), "product_id", "left", lines
+    ).drop("product_id")
     found = balanced_join(found, heads, "order_id", "inner", lines)
     return found.select(
         "order_id", "order_item_id",

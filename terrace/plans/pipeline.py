@@ -6,6 +6,7 @@ not depend on each other and are written side by side in one Spark application.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,12 +16,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import config
-from terrace.functions.dates import form_of, parse_timestamp
+from terrace.functions.dates import form_of
 from terrace.plans import checks, silver
 from terrace.plans import ledger as ledgers
 from terrace.plans.ledger import Ledger, Line
 from terrace.plans.warehouse import Warehouse, silver_table
-from terrace.sources import bronze
+from terrace.session import work_folder
+from terrace.sources import bronze, storage
 from terrace.sources.tables import Written, materialise, publish, write_table
 
 
@@ -43,21 +45,15 @@ def _nulls(columns: list[str], stem: str) -> dict[str, Column]:
     return {f"{stem}.{c}": F.count_if(F.col(c).isNull()) for c in columns}
 
 
-def raw_metrics(table: str, forms: silver.Forms | None = None) -> dict[str, Column]:
+def raw_metrics(table: str) -> dict[str, Column]:
     """Counts taken while a raw table streams into its silver job, made from the table's columns.
 
-    Rows, nulls per column, values that cleaning changes per cleaned column, and moments that
-    cannot be read; plus what the table's own rule leaves out or fills.
+    Rows, nulls per column and values that cleaning changes per cleaned column; plus what the
+    table's own rule leaves out or fills.
     """
     counts = {"rows_in": F.count(F.lit(1))} | _nulls(list(config.RAW_COLUMNS[table]), "nulls_in")
     for column, cleaned in silver.cleaners(table).items():
         counts[f"changed.{column}"] = F.count_if(~cleaned.eqNullSafe(F.col(column)))
-    dated = config.DATE_COLUMNS.get(table, ())
-    if dated:
-        counts["unparsed"] = sum(
-            (F.count_if(F.col(c).isNotNull() & parse_timestamp(F.col(c), (forms or {}).get(c)).isNull()) for c in dated[1:]),
-            F.count_if(F.col(dated[0]).isNotNull() & parse_timestamp(F.col(dated[0]), (forms or {}).get(dated[0])).isNull()),
-        )
     if table == "geolocation":
         place = {c: F.col(c).try_cast("double") for c in ("geolocation_lat", "geolocation_lng")}
         inside = place["geolocation_lat"].between(*config.LATITUDE_RANGE) & place[
@@ -75,15 +71,16 @@ def _first_value(column: str) -> Column:
 
 
 def parsed_raw(
-    spark: SparkSession, places: Places, sources: Mapping[str, config.Source], until: str | None = None
+    spark: SparkSession, places: Places, sources: Mapping[str, config.Source], until: str | None = None, scratch: str = ""
 ) -> tuple[dict[str, DataFrame], dict[str, str | None]]:
     """The newest raw tables, up to a load date if one is given, and the form of each moment column.
 
     Gated tables are scanned once per rule group and again by silver, so their text is parsed once
     and kept in columns. The first value of a moment column, seen as the rows go by, decides its
-    form. Only customers need to know later where a row stood in its file.
+    form. Only customers need to know later where a row stood in its file. Whatever is stored for
+    this lies below ``scratch`` in the work folder.
     """
-    tables = bronze.bronze_tables(spark, places.bronze, sources, until)
+    tables = bronze.bronze_tables(spark, places.bronze, sources, until, scratch)
     forms: dict[str, str | None] = {}
     for entity, df in tables.items():
         dated = config.DATE_COLUMNS.get(entity, ())
@@ -92,7 +89,7 @@ def parsed_raw(
             df = df.observe(watch, *[_first_value(c).alias(c) for c in dated])
         if entity != "customers":
             df = df.drop(config.POSITION)
-        tables[entity] = materialise(df, f"raw-{entity}") if entity in checks.RAW_SUITES or dated else df
+        tables[entity] = materialise(df, "/".join(filter(None, (scratch, f"raw-{entity}")))) if entity in checks.RAW_SUITES or dated else df
         if dated:
             forms |= {c: form_of(watch.get[c]) for c in dated}
     return tables, forms
@@ -105,13 +102,17 @@ def build_silver(
 
     def job(table: str) -> Written:
         watch = Observation(f"raw-{table}")
-        watched = raw[table].observe(watch, *[c.alias(n) for n, c in raw_metrics(table, forms).items()])
+        watched = raw[table].observe(watch, *[c.alias(n) for n, c in raw_metrics(table).items()])
         metrics, helpers = {}, ()
         if table == "products":
             result = silver.products(watched, raw["category_translation"], flags=True)
             metrics, helpers = {"untranslated": F.count_if(F.col("_untranslated"))}, ("_untranslated",)
+        elif table in config.DATE_COLUMNS:
+            # Every moment is parsed once, for the table and for the count.
+            result = getattr(silver, table)(watched, forms, flags=True)
+            metrics, helpers = {"unparsed": F.sum("_unparsed")}, ("_unparsed",)
         else:
-            result = silver_table({table: watched}, table, forms)
+            result = silver_table({table: watched}, table)
         metrics |= _nulls([c for c in result.columns if c not in helpers], "nulls")
         written = write_table(result, root, table, load_id, metrics, helpers)
         found = {**{name: value or 0 for name, value in watch.get.items()}, **written.metrics}
@@ -163,6 +164,7 @@ def run(
     calendar: tuple[str, int] | None = None,
     databases: tuple[str, str] | None = None,
     resume: bool = False,
+    consume: bool = False,
 ) -> DataFrame:
     """Run every step for one date and return its report.
 
@@ -173,7 +175,8 @@ def run(
     test or calendar check raises after its results were added to the report. Every
     step is recorded as it finishes; ``resume`` takes up the date's last run after its
     last good step. ``databases`` names the catalog databases to publish silver and
-    gold in.
+    gold in. ``consume`` deletes the raw folder once its files are landed. The parsed
+    raw text is deleted when silver is written or the gate has refused it.
     """
     sources = sources or config.sources()
     ledger = Ledger(spark, places.runs, ingestion_date, resume)
@@ -208,11 +211,12 @@ def run(
             lines.append(("bronze", name, "load_date", int("".join(filter(str.isdigit, day)) or 0), None))
         return lines
 
+    scratch = f"parsed-{uuid.uuid4().hex[:8]}"
     parsed: list[tuple[dict[str, DataFrame], dict[str, str | None]]] = []
 
     def raw() -> tuple[dict[str, DataFrame], dict[str, str | None]]:
         if not parsed:
-            parsed.append(parsed_raw(spark, places, sources, until=ingestion_date))
+            parsed.append(parsed_raw(spark, places, sources, ingestion_date, scratch))
         return parsed[0]
 
     def silver_lines() -> list[Line]:
@@ -231,8 +235,14 @@ def run(
         return {subject: spark.read.parquet(path) for _, subject, metric, _, path in lines if metric == "rows"}
 
     ledger.step("bronze", landed)
-    judged("gate", lambda: checks.raw_results(raw()[0]).select("suite", "rule", "column", "failures", "success"))
-    silver_tables = tables_of(ledger.step("silver", silver_lines))
+    if consume:
+        storage.delete(spark, raw_dir)
+    try:
+        judged("gate", lambda: checks.raw_results(raw()[0]).select("suite", "rule", "column", "failures", "success"))
+        silver_tables = tables_of(ledger.step("silver", silver_lines))
+    finally:
+        # Nothing reads the raw text any more.
+        storage.delete(spark, f"{work_folder(spark)}/{scratch}")
     gold = tables_of(ledger.step("gold", gold_lines))
     judged("tests", lambda: checks.model_results(gold).select("model", "test", "column", "failures", "success"))
     judged("calendar", lambda: checks.calendar_coverage(gold).select("model", "test", "column", "failures", "success"))

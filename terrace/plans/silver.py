@@ -51,6 +51,12 @@ def _moments(table: str, forms: Forms | None) -> dict[str, Column]:
     return {c: parse_timestamp(F.col(c), (forms or {}).get(c)) for c in config.DATE_COLUMNS[table]}
 
 
+def _unparsed(moments: dict[str, Column], flags: bool) -> dict[str, Column]:
+    """With ``flags``, ``_unparsed``: how many moments of a row cannot be read. The table writer is told to drop it."""
+    lost = [(F.col(c).isNotNull() & moment.isNull()).cast("int") for c, moment in moments.items()]
+    return {"_unparsed": sum(lost[1:], lost[0])} if flags else {}
+
+
 def customers(raw: DataFrame) -> DataFrame:
     """Clean addresses; one row per customer_id, the first in file order (one shuffle).
 
@@ -120,8 +126,9 @@ def _most_frequent(kind: str) -> Column:
     return F.min(F.when(named, F.struct(-F.col("points"), F.col("value"))))["value"]
 
 
-def orders(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
-    typed = raw.select(*config.RAW_COLUMNS["orders"]).withColumns(_moments("orders", forms) | cleaners("orders"))
+def orders(raw: DataFrame, forms: Forms | None = None, flags: bool = False) -> DataFrame:
+    moments = _moments("orders", forms)
+    typed = raw.select(*config.RAW_COLUMNS["orders"]).withColumns(moments | cleaners("orders") | _unparsed(moments, flags))
     return typed.withColumns({
         "is_delivered": F.coalesce(F.col("order_status") == "delivered", F.lit(False)),
         "delivery_delay_days": elapsed_days(
@@ -130,11 +137,12 @@ def orders(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
     })
 
 
-def order_items(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["order_items"]).withColumns(_moments("order_items", forms) | {
+def order_items(raw: DataFrame, forms: Forms | None = None, flags: bool = False) -> DataFrame:
+    moments = _moments("order_items", forms)
+    return raw.select(*config.RAW_COLUMNS["order_items"]).withColumns(moments | {
         "price": strict_double(F.col("price")),
         "freight_value": strict_double(F.col("freight_value")),
-    })
+    } | _unparsed(moments, flags))
 
 
 def order_payments(raw: DataFrame) -> DataFrame:
@@ -144,10 +152,11 @@ def order_payments(raw: DataFrame) -> DataFrame:
     })
 
 
-def order_reviews(raw: DataFrame, forms: Forms | None = None) -> DataFrame:
-    return raw.select(*config.RAW_COLUMNS["order_reviews"]).withColumns(_moments("order_reviews", forms) | {
+def order_reviews(raw: DataFrame, forms: Forms | None = None, flags: bool = False) -> DataFrame:
+    moments = _moments("order_reviews", forms)
+    return raw.select(*config.RAW_COLUMNS["order_reviews"]).withColumns(moments | {
         "review_score": strict_int(F.col("review_score"), "review_score"),
-    })
+    } | _unparsed(moments, flags))
 
 
 def products(raw: DataFrame, translation: DataFrame, flags: bool = False) -> DataFrame:

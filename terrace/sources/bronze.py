@@ -17,7 +17,7 @@ from terrace import config
 from terrace.functions.text import blank_to_null
 from terrace.operators.union import union_all
 from terrace.sources import storage
-from terrace.sources.cuts import cut_between_records
+from terrace.sources.cuts import PACKED, cut_between_records
 from terrace.sources.tables import current_attempt, load_folder, materialise, write_table
 
 MANIFEST_COLUMNS = (
@@ -66,7 +66,8 @@ def _file_worker(job: str):
                 to_fs.create_dir(folder, recursive=True)
                 partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
                 size = 0
-                with from_fs.open_input_stream(from_path) as reader, to_fs.open_output_stream(partial) as writer:
+                # Arrow would unpack what is named like a compressed file.
+                with from_fs.open_input_stream(from_path, compression=None) as reader, to_fs.open_output_stream(partial, compression=None) as writer:
                     while chunk := reader.read(chunk_bytes):
                         writer.write(chunk)
                         size += len(chunk)
@@ -239,21 +240,27 @@ CUT_BYTES = 256 << 20
 
 
 def read_load(
-    spark: SparkSession, bronze_dir: str, source: config.Source, until: str | None = None, cut_bytes: int = CUT_BYTES
+    spark: SparkSession,
+    bronze_dir: str,
+    source: config.Source,
+    until: str | None = None,
+    cut_bytes: int = CUT_BYTES,
+    scratch: str = "",
 ) -> DataFrame:
     """The newest load (up to a date) as text columns, missing-value tokens turned into null.
 
     Adds the position of each row in its file. Within one scanned split the
     generated id grows in file order, and splits are ordered by their start. Where records may
     hold line breaks and a file is larger than ``cut_bytes``, the load is cut between records
-    first, and its pieces are read by a task each.
+    first, and its pieces are read by a task each. The pieces lie below ``scratch`` in the work folder.
+    A compressed file is not cut; one task reads it.
     """
     day = load_date(spark, bronze_dir, source, until)
     path = f"{bronze_dir.rstrip('/')}/{source.entity}/ingestion_date={day}"
     if source.multi_line:
         files = listed(spark, path, below=True)
-        if not files.filter(F.col("bytes") > cut_bytes).isEmpty():
-            path = cut_between_records(spark, files, cut_bytes)
+        if not files.filter((F.col("bytes") > cut_bytes) & ~F.col("uri").rlike(PACKED)).isEmpty():
+            path = cut_between_records(spark, files, cut_bytes, scratch)
     # Compare the header with the schema instead of trusting the order.
     scan = _csv(spark, source).option("enforceSchema", False).option("recursiveFileLookup", True).csv(path)
     position = F.struct(
@@ -268,7 +275,11 @@ def read_load(
 
 
 def bronze_tables(
-    spark: SparkSession, bronze_dir: str, sources: Mapping[str, config.Source] | None = None, until: str | None = None
+    spark: SparkSession,
+    bronze_dir: str,
+    sources: Mapping[str, config.Source] | None = None,
+    until: str | None = None,
+    scratch: str = "",
 ) -> dict[str, DataFrame]:
     sources = sources or config.sources()
-    return {entity: read_load(spark, bronze_dir, source, until) for entity, source in sources.items()}
+    return {entity: read_load(spark, bronze_dir, source, until, scratch=scratch) for entity, source in sources.items()}

@@ -8,7 +8,8 @@ stretches between these places are copied, each behind the file's header, to fil
 in the shared work folder, and Spark's CSV reader parses those.
 
 A quote within a quoted field is written twice, which leaves the parity as it is. A file with an
-odd number of quotes has a stray one; it is copied whole and parsed as one piece.
+odd number of quotes has a stray one; it is copied whole and parsed as one piece. So is a compressed
+file: its bytes are not the text that the CSV reader unpacks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from terrace.session import work_folder
 from terrace.sources import storage
 from terrace.sources.tables import materialise
 
+# Names that the CSV reader takes for compressed files.
+PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
+
 _SCANNED = "uri string, bytes long, no long, odd int, outside long, inside long"
 
 
@@ -76,7 +80,7 @@ def _range_worker(job: str, range_bytes: int):
                 folder, _, name = out_path.rpartition("/")
                 out_store.create_dir(folder, recursive=True)
                 partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
-                with store.open_input_file(path) as file, out_store.open_output_stream(partial) as out:
+                with store.open_input_file(path) as file, out_store.open_output_stream(partial, compression=None) as out:
                     if start:
                         # The header: everything up to the first line break outside of quotes.
                         parity, place = 0, -1
@@ -95,10 +99,11 @@ def _range_worker(job: str, range_bytes: int):
     return {"scan": scan, "copy": copy}[job]
 
 
-def cut_between_records(spark: SparkSession, files: DataFrame, range_bytes: int) -> str:
-    """Folder with the pieces of the files (uri, bytes), in name order as the files and their records are."""
-    folder = storage.qualified(spark, f"{work_folder(spark)}/cuts-{uuid.uuid4().hex[:8]}")
-    last = F.greatest(F.ceil(F.col("bytes") / range_bytes) - 1, F.lit(0))
+def cut_between_records(spark: SparkSession, files: DataFrame, range_bytes: int, scratch: str = "") -> str:
+    """Folder, below ``scratch`` in the work folder, with the pieces of the files (uri, bytes), in name order as the files and their records are."""
+    folder = storage.qualified(spark, "/".join(filter(None, (work_folder(spark), scratch, f"cuts-{uuid.uuid4().hex[:8]}"))))
+    packed = F.col("uri").rlike(PACKED)
+    last = F.when(packed, F.lit(0)).otherwise(F.greatest(F.ceil(F.col("bytes") / range_bytes) - 1, F.lit(0)))
     ranges = files.select("uri", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("no"))
     scanned = materialise(ranges.repartition("uri", "no").mapInPandas(_range_worker("scan", range_bytes), _SCANNED), "ranges")
     # One row per range: a file of a terabyte has a few thousand.
@@ -109,7 +114,7 @@ def cut_between_records(spark: SparkSession, files: DataFrame, range_bytes: int)
     start = F.when(F.col("no") == 0, F.lit(0)).when(~stray & (begun >= 0) & (begun < F.col("bytes")), begun)
     starts = scanned.select("uri", "bytes", "no", start.alias("start")).filter("start IS NOT NULL")
     pieces = starts.withColumn("stop", F.coalesce(F.lead("start").over(by_file), F.col("bytes"))).filter("start < stop OR no = 0")
-    name = F.concat(F.lit(f"{folder}/"), F.regexp_extract("uri", r"ingestion_date=[^/]+/(.+)$", 1), F.format_string("/part-%08d.csv", "no"))
+    name = F.concat(F.lit(f"{folder}/"), F.regexp_extract("uri", r"ingestion_date=[^/]+/(.+)$", 1), F.format_string("/part-%08d.csv", "no"), F.regexp_extract("uri", PACKED, 0))
     targets = pieces.select("uri", "start", "stop", name.alias("target"))
     targets.repartition("uri", "start").mapInPandas(_range_worker("copy", range_bytes), "target string").write.format("noop").mode("overwrite").save()
     return folder

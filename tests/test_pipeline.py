@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import random
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 import retail
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from terrace import config
 from terrace.plans import checks, gold, pipeline, silver
 from terrace.plans.pipeline import Places
+from terrace.session import work_folder
 from terrace.sources import bronze
 from terrace.sources.tables import commit, latest_load, new_attempt, publish, published, read_table, write_table
 
@@ -95,6 +98,48 @@ def test_land_keeps_equal_names_apart_and_drops_what_left_the_feed(spark, tmp_pa
     assert rows(bronze.read_load(spark, target, source), "seller_id") == {("s2",)}
 
 
+@pytest.mark.parametrize("cut_bytes", [64, 1 << 20])
+def test_packed_files_are_copied_as_they_are_and_read_whole(spark, tmp_path, cut_bytes):
+    """A load of packed and plain files, the plain one large enough to be cut: order and quoted breaks as in the files."""
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    raw, target = tmp_path / "raw", str(tmp_path / "b")
+    raw.mkdir()
+    texts = {f"part-{n}.csv{ending}": header + "".join(f'{n}{i},1,"a\n{"b" * (i % 40)}""",SP\n' for i in range(60))
+             for n, ending in enumerate((".gz", "", ".gz"))}
+    for name, text in texts.items():
+        (raw / name).write_bytes(gzip.compress(text.encode()) if name.endswith(".gz") else text.encode())
+    source = config.Source("sellers", "part-*")
+    done = bronze.land(spark, str(raw), target, "2026-01-01", {"sellers": source})
+    for name in texts:
+        assert (tmp_path / "b/sellers/ingestion_date=2026-01-01" / name).read_bytes() == (raw / name).read_bytes()
+    assert rows(done.manifest, "source_file", "row_count", "file_size_bytes") == {(n, 60, (raw / n).stat().st_size) for n in texts}
+    read = bronze.read_load(spark, target, source, cut_bytes=cut_bytes).orderBy(config.POSITION)
+    assert [(r["seller_id"], r["seller_city"]) for r in read.collect()] == [
+        (f"{n}{i}", f'a\n{"b" * (i % 40)}"') for n in range(3) for i in range(60)
+    ]
+
+
+def test_a_run_leaves_no_copies_of_the_raw_text_behind(spark, tmp_path, monkeypatch):
+    """Neither parsed tables nor cut pieces, whether the gate refuses the load or not; a consumed feed goes too."""
+    monkeypatch.setattr(bronze.read_load, "__defaults__", (None, 600, ""))
+    kept = lambda: {str(p) for p in Path(work_folder(spark)).rglob("*") if p.name.startswith(("raw-", "cuts-", "parsed-"))}
+    before, places = kept(), Places.under(str(tmp_path / "lake"))
+    bad = retail.write(tmp_path / "bad", customers=retail.FILES["customers.csv"].replace(",SP", ",SPX"))
+    with pytest.raises(checks.DataQualityError):
+        pipeline.run(spark, bad, places, "2026-01-01")
+    assert kept() == before and Path(bad).exists()
+
+    def stopped(*_):
+        assert kept() == before
+        raise InterruptedError
+
+    monkeypatch.setattr(pipeline, "build_gold", stopped)
+    raw = retail.write(tmp_path / "raw")
+    with pytest.raises(InterruptedError):
+        pipeline.run(spark, raw, places, "2026-01-02", consume=True)
+    assert not Path(raw).exists() and read_table(spark, places.silver, "sellers").count() == 2
+
+
 def test_a_run_for_an_older_date_reads_that_date(spark, tmp_path):
     header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
     places = Places.under(str(tmp_path / "lake"))
